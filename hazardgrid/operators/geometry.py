@@ -157,8 +157,9 @@ def zone_cells(edges: DataFrame, grid: GridSpec, mode: str = "coverage") -> Data
       round and holes the other, as in valid polygon files; which way does not matter.
     """
     if mode == "coverage":
-        share = lambda level: F.least(F.round(F.abs(level), 9), F.lit(1.0))
-        return _runs_to_cells(_coverage_changes(edges, grid), grid, share)
+        return _runs_to_cells(
+            _coverage_changes(edges, grid), grid, lambda level: F.least(F.abs(level), F.lit(1.0))
+        )
     inside = _runs_to_cells(_center_changes(edges, grid), grid, lambda level: level % 2)
     if mode == "center":
         return inside

@@ -164,7 +164,7 @@ g AS (SELECT *, (POWER(GREATEST(u0, 0), 2) - POWER(GREATEST(u0 - 1, 0), 2)) / 2
   (POWER(GREATEST(u1, 0), 2) - POWER(GREATEST(u1 - 1, 0), 2)) / 2 AS g1 FROM u),
 zc AS (SELECT gadm_id, gid0, r AS lat_idx, c AS lon_idx,
   ABS(SUM(sgn * (yb - ya) * CASE WHEN u0 = u1 THEN LEAST(GREATEST(u0, 0), 1) ELSE (g1 - g0) / (u1 - u0) END)) AS coverage
-  FROM g GROUP BY 1, 2, 3, 4 HAVING coverage >= 1e-6)"""
+  FROM g GROUP BY 1, 2, 3, 4 HAVING coverage > 1e-9)"""
 
 CENTER = [_EDGES, _NEAR, _INSIDE, _CENTER]
 TOUCHED = [_EDGES, _NEAR, _INSIDE, _PIECES, _TOUCHED]

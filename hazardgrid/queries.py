@@ -285,7 +285,7 @@ def zone_cells_touched(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def zone_cells_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    return _round(_zone_cells(spark, sf, "coverage").filter("coverage >= 1e-6"), "coverage")
+    return _round(_zone_cells(spark, sf, "coverage"), "coverage")
 
 
 @query
