@@ -3,6 +3,7 @@
 from hazardgrid.functions.scoring import (
     composite,
     minmax_score,
+    nonzero,
     protect,
     rescale_hundred,
     rescore_quantiles,
@@ -14,6 +15,7 @@ from hazardgrid.functions.scoring import (
 __all__ = [
     "composite",
     "minmax_score",
+    "nonzero",
     "protect",
     "rescale_hundred",
     "rescore_quantiles",

@@ -15,6 +15,11 @@ def present(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(value)
 
 
+def nonzero(c: Column) -> Column:
+    """A divisor: NULL instead of 0, so that a division gives NULL instead of an error."""
+    return F.when(c != 0, c)
+
+
 def threshold_score(value: Column, thresholds: list[float], scores: list[int]) -> Column:
     """Ordinal score of a value.
 
@@ -37,7 +42,7 @@ def minmax_score(value: Column, lo: Column, hi: Column) -> Column:
     Without usable bounds (missing or equal) every cell scores 0, missing ones too. The scale is
     not turned round for hazards where a low value is the severe one.
     """
-    scaled = (value - lo) / F.nullif(hi - lo, F.lit(0.0)) * F.lit(100.0)
+    scaled = (value - lo) / nonzero(hi - lo) * F.lit(100.0)
     clipped = F.when(present(scaled), F.least(F.greatest(scaled, F.lit(0.0)), F.lit(100.0)))
     return F.when(lo.isNull() | hi.isNull() | (lo == hi), F.lit(0.0)).otherwise(clipped)
 

@@ -85,15 +85,20 @@ def build_combined(
     level: int = 1,
     fill: float = 0,
     ord_by: tuple[str, ...] = (),
+    empty_without_data: bool = True,
 ) -> DataFrame | None:
-    """Wide table of one threshold scale, statistic and scenario; empty when there is no data."""
+    """Wide table of one threshold scale, statistic and scenario; empty when there is no data.
+
+    The test for data looks at the statistics a second time, which is nothing on a written table;
+    where they are still to be computed and known to exist, it can be left out.
+    """
     tidy = _tidy(select_stats(stats, scale, scenario), stat)
     if tidy is None:
         return None
     rounded = tidy.withColumn(stat, round_stat(F.col(stat), scale, stat))
     wide = pivot_time(rounded, stat, ord_by)
     table = _finish(meta, wide, level, whole=stat != "score_stdev" and str(scale) != "100", fill=fill)
-    return table.filter(tidy.exists())
+    return table.filter(tidy.exists()) if empty_without_data else table
 
 
 def hundred_bounds(

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hazardgrid.functions import nonzero
 from hazardgrid.schema import ZONE, GridSpec
 
 _TINY = 1e-9  # running sums of fractions leave rounding dust
@@ -79,7 +80,7 @@ def _row_pieces(edges: DataFrame, grid: GridSpec) -> DataFrame:
     rows = _over(
         _whole(F.floor("y1")), F.greatest(_whole(F.floor("y1")), _whole(F.ceil("y2")) - 1), grid.n_lat
     )
-    slope = (F.col("x2") - F.col("x1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0))
+    slope = (F.col("x2") - F.col("x1")) / nonzero(F.col("y2") - F.col("y1"))
     e = e.withColumn("slope", slope).withColumn("lat_idx", F.explode(rows))
     ya, yb = F.greatest("y1", F.col("lat_idx").cast("double")), F.least("y2", (F.col("lat_idx") + 1).cast("double"))
     level = F.col("slope").isNull()
@@ -96,7 +97,7 @@ def _center_changes(edges: DataFrame, grid: GridSpec) -> DataFrame:
     rows = _over(_whole(F.ceil(F.col("y1") - 0.5)), _whole(F.ceil(F.col("y2") - 0.5)) - 1, grid.n_lat)
     e = e.withColumn("lat_idx", F.explode(rows))
     x = F.col("x1") + (F.col("lat_idx") + 0.5 - F.col("y1")) * (
-        (F.col("x2") - F.col("x1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0))
+        (F.col("x2") - F.col("x1")) / nonzero(F.col("y2") - F.col("y1"))
     )
     column = F.greatest(_whole(F.ceil(x - 0.5)), F.lit(0))
     return e.select(*ZONE, "lat_idx", column.alias("lon_idx"), F.lit(1.0).alias("change")).filter(
@@ -107,7 +108,7 @@ def _center_changes(edges: DataFrame, grid: GridSpec) -> DataFrame:
 def _covered_right(column: Column) -> Column:
     """Area of one cell that lies to the right of an edge piece, per unit of signed height."""
     xlo, xhi = F.col("xlo"), F.col("xhi")
-    width = F.nullif(xhi - xlo, F.lit(0.0))
+    width = nonzero(xhi - xlo)
 
     def share_below(x: Column) -> Column:  # share of the piece's height where it runs left of x
         part = F.least(F.greatest((x - xlo) / width, F.lit(0.0)), F.lit(1.0))
@@ -181,7 +182,7 @@ def zones_in_bbox(edges: DataFrame, minx: float, miny: float, maxx: float, maxy:
 
     def slab(a: Column, d: Column, lo: float, hi: float) -> tuple[Column, Column]:
         """Part of the edge (0…1) within one slab of the box; an empty range when outside."""
-        t1, t2 = (F.lit(lo) - a) / F.nullif(d, F.lit(0.0)), (F.lit(hi) - a) / F.nullif(d, F.lit(0.0))
+        t1, t2 = (F.lit(lo) - a) / nonzero(d), (F.lit(hi) - a) / nonzero(d)
         within = a.between(lo, hi)
         enter = F.when(d == 0, F.when(within, 0.0).otherwise(2.0)).otherwise(F.least(t1, t2))
         leave = F.when(d == 0, F.when(within, 1.0).otherwise(-1.0)).otherwise(F.greatest(t1, t2))
@@ -190,7 +191,7 @@ def zones_in_bbox(edges: DataFrame, minx: float, miny: float, maxx: float, maxy:
     (ex, lx), (ey, ly) = slab(x1, dx, minx, maxx), slab(y1, dy, miny, maxy)
     meets = F.greatest(ex, ey, F.lit(0.0)) <= F.least(lx, ly, F.lit(1.0))
     straddles = (y1 <= miny) != (y2 <= miny)
-    left_of_corner = x1 + (F.lit(miny) - y1) * dx / F.nullif(dy, F.lit(0.0)) <= minx
+    left_of_corner = x1 + (F.lit(miny) - y1) * dx / nonzero(dy) <= minx
     return (
         edges.groupBy(*ZONE)
         .agg(F.bool_or(meets).alias("_meets"), F.count(F.when(straddles & left_of_corner, 1)).alias("_crossings"))

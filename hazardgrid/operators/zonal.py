@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hazardgrid.functions import nonzero
 from hazardgrid.schema import CELL, LABELS, ZONE
 
 
@@ -38,7 +39,7 @@ def _statistics(name: str, missing: str) -> list[Column]:
     that a difference of squares has. Zero filling needs no extra rows: the absent part of the
     zone is one block of zeros, merged in closed form.
     """
-    n, w, mean = F.col(f"n_{name}"), F.col(f"w_{name}"), F.col(f"ws_{name}") / F.nullif(F.col(f"w_{name}"), F.lit(0.0))
+    n, w, mean = F.col(f"n_{name}"), F.col(f"w_{name}"), F.col(f"ws_{name}") / nonzero(F.col(f"w_{name}"))
     m2 = F.greatest(n * (F.col(f"c2_{name}") - mean * F.col(f"c1_{name}")), F.lit(0.0))
     peak = F.col(f"max_{name}")
     if missing == "zero":
@@ -49,20 +50,28 @@ def _statistics(name: str, missing: str) -> list[Column]:
         m2 = m2 + w * absent / total * mean * mean
         peak = F.when(partial, F.greatest(F.coalesce(peak, F.lit(0.0)), F.lit(0.0))).otherwise(peak)
         w, mean = total, F.when(partial, mean * w / total).otherwise(mean)
-    spread = F.sqrt(m2 / F.nullif(w, F.lit(0.0)))
+    spread = F.sqrt(m2 / nonzero(w))
     return [mean.alias("score_mean"), peak.cast("double").alias("score_max"), spread.alias("score_stdev")]
 
 
 def zonal_multi(
-    df: DataFrame, zone_cells: DataFrame, values: dict[str, str], missing: str = "skip", labels: list[str] | None = None
+    df: DataFrame,
+    zone_cells: DataFrame,
+    values: dict[str, str],
+    missing: str = "skip",
+    labels: list[str] | None = None,
+    combos: DataFrame | None = None,
 ) -> DataFrame:
     """Zonal statistics of several columns from one join and one grouped aggregate.
 
     ``values`` maps the ``scoring`` label of the result to the column it comes from. Keeping the
     scales as columns until the statistics are small saves a shuffle of the cells per scale.
 
+    ``zone_cells`` is read twice when zeros are filled in; hazards share it, so stage it first.
+
     ``missing='skip'`` leaves missing cells out, and zones without a value with them;
-    ``missing='zero'`` counts every cell of the zone, missing or absent ones as 0.
+    ``missing='zero'`` counts every cell of the zone, missing or absent ones as 0, for every label
+    combination in ``combos`` (a frame that lists them more cheaply than ``df``, by default ``df``).
     """
     if missing not in ("skip", "zero"):
         raise ValueError(f"unknown missing mode {missing!r}")
@@ -75,7 +84,8 @@ def zonal_multi(
     moments = cells.join(weights, list(CELL)).groupBy(*keys).agg(*[m for c in columns for m in _moments(c, c)])
     if missing == "zero":
         zones = weights.groupBy(*ZONE).agg(F.sum("coverage").alias("zone_weight"), F.count(F.lit(1)).alias("zone_cells"))
-        moments = labels_by_zone(zones, df, labels).join(moments, keys, "left") if labels else zones.join(moments, keys, "left")
+        wanted = labels_by_zone(zones, df if combos is None else combos, labels) if labels else zones
+        moments = wanted.join(moments, keys, "left")
     results = [
         F.struct(F.lit(label).alias("scoring"), *_statistics(column, missing)) for label, column in values.items()
     ]
@@ -83,16 +93,16 @@ def zonal_multi(
     return out if missing == "zero" else out.filter(F.col("score_mean").isNotNull())
 
 
-def zonal_stats(scored: DataFrame, zone_cells: DataFrame, missing: str = "skip", value: str = "score") -> DataFrame:
+def zonal_stats(
+    scored: DataFrame, zone_cells: DataFrame, missing: str = "skip", value: str = "score", combos: DataFrame | None = None
+) -> DataFrame:
     """Mean, max and standard deviation per zone and label combination, weighted by coverage.
 
     The join key is the cell, which no zone or hazard can skew; the aggregate by zone combines
     before its shuffle, so a zone that holds a third of all cells costs no more than another.
-    The weights are broadcast only if the planner finds them small at run time.
     """
-    if "scoring" not in scored.columns:
-        return zonal_multi(scored, zone_cells, {"": value}, missing).drop("scoring")
-    per_scale = scored.withColumnRenamed("scoring", "_scale")
-    labels = ["_scale", *[c for c in LABELS if c in per_scale.columns]]
-    out = zonal_multi(per_scale, zone_cells, {"": value}, missing, labels).drop("scoring")
-    return out.withColumnRenamed("_scale", "scoring")
+    labels = [c for c in LABELS if c in scored.columns]
+    stats = zonal_multi(scored.withColumnRenamed("scoring", "_scale"), zone_cells, {"": value}, missing,
+                        ["_scale" if c == "scoring" else c for c in labels],
+                        None if combos is None else combos.withColumnRenamed("scoring", "_scale"))
+    return stats.drop("scoring").withColumnRenamed("_scale", "scoring")

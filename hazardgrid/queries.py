@@ -273,6 +273,15 @@ def _zone_cells(spark: SparkSession, sf: str, mode: str) -> DataFrame:
     return geo.zone_cells(view(spark, sf, "edges_fx"), raster(spark, sf), mode)
 
 
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """Aggregation reads written tables: scores, and zone cells that all hazards of a grid share."""
+    return stage.stage(df, name, reuse=False)
+
+
+def _zones(spark: SparkSession, sf: str, mode: str) -> DataFrame:
+    return _staged(_zone_cells(spark, sf, mode), f"zone-cells-{mode}")
+
+
 @query
 def zone_cells_center(spark: SparkSession, sf: str) -> DataFrame:
     return _zone_cells(spark, sf, "center")
@@ -354,21 +363,21 @@ def _heat_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def zonal_stats(spark: SparkSession, sf: str) -> DataFrame:
-    out = zn.zonal_stats(_heat_scores(spark, sf), _zone_cells(spark, sf, "center"), missing="zero")
+    out = zn.zonal_stats(_heat_scores(spark, sf), _zones(spark, sf, "center"), missing="zero")
     return _rounded_stats(out)
 
 
 @query
 def zonal_stats_weighted(spark: SparkSession, sf: str) -> DataFrame:
     scored = sc.score_minmax(view(spark, sf, "grid_fx"), "value")
-    return _rounded_stats(zn.zonal_stats(scored, _zone_cells(spark, sf, "coverage"), missing="skip"))
+    return _rounded_stats(zn.zonal_stats(scored, _zones(spark, sf, "coverage"), missing="skip"))
 
 
 @query
 def zonal_multi(spark: SparkSession, sf: str) -> DataFrame:
     grid = view(spark, sf, "grid_fx")
     wide = grid.withColumns({f"s{k}": threshold_score(F.col("value"), *thresholds("HS", k)) for k in ("5", "10")})
-    out = zn.zonal_multi(wide, _zone_cells(spark, sf, "all_touched"), {"5": "s5", "10": "s10"}, missing="zero")
+    out = zn.zonal_multi(wide, _zones(spark, sf, "all_touched"), {"5": "s5", "10": "s10"}, missing="zero")
     return _rounded_stats(out)
 
 
@@ -384,26 +393,26 @@ def _flood_scores(spark: SparkSession, sf: str, job, scales=("5", "10", "100"))
 @query
 def rp_weighted_rf(spark: SparkSession, sf: str) -> DataFrame:
     scored = _flood_scores(spark, sf, score_rf, ("5",))
-    return _round(wt.rp_weighted(scored, _zone_cells(spark, sf, "center"), "RF"), "score_max")
+    return _round(wt.rp_weighted(scored, _zones(spark, sf, "center"), "RF"), "score_max")
 
 
 @query
 def rp_weighted_cf(spark: SparkSession, sf: str) -> DataFrame:
     scored = _flood_scores(spark, sf, score_cf, ("5",))
     coast = view(spark, sf, "coast_fx")
-    return _round(wt.rp_weighted(scored, _zone_cells(spark, sf, "center"), "CF", 1, coast), "score_max")
+    return _round(wt.rp_weighted(scored, _zones(spark, sf, "center"), "CF", 1, coast), "score_max")
 
 
 @query
 def weighted_risk(spark: SparkSession, sf: str) -> DataFrame:
     scored = _flood_scores(spark, sf, score_rf, ("5", "10"))
-    return _round(wt.weighted_risk(scored, _zone_cells(spark, sf, "coverage")), "weighted_risk", "score_max", places=7)
+    return _round(wt.weighted_risk(scored, _zones(spark, sf, "coverage")), "weighted_risk", "score_max", places=7)
 
 
 @query
 def calibrate_bins(spark: SparkSession, sf: str) -> DataFrame:
     scored = _flood_scores(spark, sf, score_rf, ("5", "10"))
-    risk = wt.weighted_risk(scored, _zone_cells(spark, sf, "center"))
+    risk = wt.weighted_risk(scored, _zones(spark, sf, "center"))
     return _round(wt.calibrate_bins(risk, ("scoring",)), "q20", "q40", "q60", "q80", places=7)
 
 
@@ -601,20 +610,22 @@ QUERIES["score_hazard"] = QUERIES.pop("score_one_hazard")
 def aggregate_standard(spark: SparkSession, sf: str) -> DataFrame:
     grid = view(spark, sf, "grid_fx").withColumns({"statistic": F.lit("mean"), "model": F.lit("ENSEMBLE")})
     scored = sc.score_scales(grid, "value", {k: thresholds("HS", k) for k in ("5", "10")})
-    return _rounded_stats(aggregate_hazard(scored, _zone_cells(spark, sf, "coverage"), "HS"))
+    cells = _zones(spark, sf, "coverage")
+    return _rounded_stats(aggregate_hazard(_staged(scored, "scored"), cells, "HS"))
 
 
 @query
 def aggregate_rf(spark: SparkSession, sf: str) -> DataFrame:
-    scored = _flood_scores(spark, sf, score_rf)
-    return _rounded_stats(aggregate_hazard(scored, _zone_cells(spark, sf, "center"), "RF"))
+    scored = _staged(_flood_scores(spark, sf, score_rf), "scored")
+    cells = _zones(spark, sf, "center")
+    return _rounded_stats(aggregate_hazard(scored, cells, "RF"))
 
 
 @query
 def aggregate_cf(spark: SparkSession, sf: str) -> DataFrame:
-    scored = _flood_scores(spark, sf, score_cf)
-    coast = view(spark, sf, "coarse_coast_fx")
-    return _rounded_stats(aggregate_hazard(scored, _zone_cells(spark, sf, "center"), "CF", 1, coast))
+    scored = _staged(_flood_scores(spark, sf, score_cf), "scored")
+    cells = _zones(spark, sf, "center")
+    return _rounded_stats(aggregate_hazard(scored, cells, "CF", 1, view(spark, sf, "coarse_coast_fx")))
 
 
 def _combined(spark: SparkSession, sf: str, scale: str, stat: str, scenario: str, level: int = 1) -> DataFrame:
@@ -655,7 +666,8 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     bins = threshold_table(spark).filter(F.col("threshold_type").isin("scoring", "thresholds", "thresholds_final"))
     grid = view(spark, sf, "hazard_grid_fx").select("hazard", "scenario", "time", *CELL, "value")
     scored = sc.threshold_join(grid, bins.filter(F.col("scale") == "5"))
-    stats = zn.zonal_stats(scored, _zone_cells(spark, sf, "center"), missing="zero")
-    return cb.build_combined(stats, view(spark, sf, "zones_fx"), "5", "score_mean", "RCP85")
+    labels = _cells(spark, sf).select("hazard", "scenario", "time", F.lit("5").alias("scoring"))
+    stats = zn.zonal_stats(scored, _zones(spark, sf, "center"), missing="zero", combos=labels)
+    return cb.build_combined(stats, view(spark, sf, "zones_fx"), "5", "score_mean", "RCP85", empty_without_data=False)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import logging
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,23 +32,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stage_name(df: DataFrame, name: str, inputs: tuple[str, ...] = ()) -> str:
-    """Stage name that changes with the plan and with the inputs it reads.
+    """Stage name that changes with the plan and with the files it reads.
 
-    ``inputs`` are version marks of the sources (a snapshot id, a modification time); the files
-    the plan reads are part of the hash already.
+    Spark gives every file it writes a new name, so a rewritten input changes the stage. For
+    sources whose files are replaced under their old names, pass a version mark in ``inputs``
+    (a snapshot id, a modification time).
     """
-    parts = [name, str(df.semanticHash()), df.schema.json(), *sorted(df.inputFiles()), *inputs]
-    return f"{name}-{hashlib.sha256('|'.join(parts).encode()).hexdigest()[:16]}"
+    plan = df._jdf.queryExecution().analyzed().canonicalized().toString()
+    parts = [name, str(df.semanticHash()), plan, df.schema.json(), *sorted(df.inputFiles()), *inputs]
+    return f"{name}-{hashlib.sha256('|'.join(parts).encode()).hexdigest()[:32]}"
 
 
 def stage(df: DataFrame, name: str, reuse: bool = True, inputs: tuple[str, ...] = ()) -> DataFrame:
     """Materialise an intermediate as a Parquet table in the shared folder and read it back.
 
-    An identical stage that was finished before is reused. Written tables survive the loss of
-    executors and cut the lineage, which cached blocks do not.
+    An identical stage that was finished before is reused; with ``reuse=False`` a new one is
+    written beside it. Written tables survive the loss of executors and cut the lineage, which
+    cached blocks do not.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stages/{stage_name(df, name, inputs)}"
+    if not reuse:
+        path = f"{path}-{uuid.uuid4().hex}"
     if reuse and path_exists(spark, f"{path}/_SUCCESS"):
         log.info("stage %s reused from %s", name, path)
     else:
