@@ -629,7 +629,8 @@ def aggregate_cf(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _combined(spark: SparkSession, sf: str, scale: str, stat: str, scenario: str, level: int = 1) -> DataFrame:
-    stats = view(spark, sf, "stats_fx" if level == 1 else "country_stats_fx")
+    # The job reads the statistics that aggregation wrote.
+    stats = _staged(view(spark, sf, "stats_fx" if level == 1 else "country_stats_fx"), "stats")
     meta = view(spark, sf, "zones_fx" if level == 1 else "countries_fx")
     scenarios = ("RCP45", "RCP85") if scale == "100" else (scenario,)
     return combine({level: stats}, {level: meta}, (level,), scenarios, (scale,))[level, scale, stat, scenario]
