@@ -24,7 +24,7 @@ def scale_values(df: DataFrame, value: str, factor: float | None) -> DataFrame:
 
 
 def drop_singleton_dims(df: DataFrame, keep: tuple[str, ...] = ("hazard", "scenario", "time", "scoring")) -> DataFrame:
-    """Drop label columns that hold one label, except those whose meaning later steps need.
+    """Drop label columns that hold one label or none, except those whose meaning later steps need.
 
     The schema of the result depends on the data, so this runs one aggregate over the label
     columns (nothing else is read) that returns a single row.
@@ -32,8 +32,8 @@ def drop_singleton_dims(df: DataFrame, keep: tuple[str, ...] = ("hazard", "scena
     candidates = labels_of(df, without=keep)
     if not candidates:
         return df
-    spread = df.agg(*[(F.min(c) == F.max(c)).alias(c) for c in candidates]).first()
-    return df.drop(*[c for c in candidates if spread[c]])
+    single = df.agg(*[F.min(c).eqNullSafe(F.max(c)).alias(c) for c in candidates]).first()
+    return df.drop(*[c for c in candidates if single[c]])
 
 
 def fill_missing(df: DataFrame, value: str = "score", fill: float = 0.0) -> DataFrame:
@@ -73,10 +73,11 @@ def keep_label(df: DataFrame, pick: Column, column: str, by: tuple[str, ...]) ->
     """Keep the rows whose label equals the one an aggregate picks per hazard."""
     keys = [c for c in by if c in df.columns]
     if not keys:
-        return df.filter(F.col(column) == df.agg(pick).scalar())
+        return df.filter(F.col(column).eqNullSafe(df.agg(pick).scalar()))
     # One row per hazard, so this side always broadcasts.
     chosen = df.groupBy(*keys).agg(pick.alias("_label"))
-    return df.join(F.broadcast(chosen), keys).filter(F.col(column) == F.col("_label")).drop("_label")
+    # A hazard without such labels keeps its rows: NULL equals NULL here.
+    return df.join(F.broadcast(chosen), keys).filter(F.col(column).eqNullSafe(F.col("_label"))).drop("_label")
 
 
 def label_preference(column: str, wanted: tuple[str, ...], order: tuple[str, ...], any_case: bool) -> Column:
@@ -124,7 +125,7 @@ def reference_slice(
     # One row per hazard, so this side always broadcasts.
     matched = left.join(F.broadcast(chosen), keys or ["_all"])
     for c in picks:
-        matched = matched.filter(F.col(c) == F.col(f"_{c}"))
+        matched = matched.filter(F.col(c).eqNullSafe(F.col(f"_{c}")))
     return matched.drop("_all", *[f"_{c}" for c in picks])
 
 
@@ -137,7 +138,8 @@ def dedupe_coords(df: DataFrame, by: tuple[str, ...] = ("hazard",)) -> DataFrame
     keys = [c for c in by if c in df.columns]
     kept = df
     for label, index in (("lat", "lat_idx"), ("lon", "lon_idx")):
-        first = df.groupBy(*keys, label).agg(F.min(index).alias(index)).select(*keys, index)
+        unlabelled = F.when(F.col(label).isNull(), F.col(index))  # cells without coordinates all stay
+        first = df.groupBy(*keys, label, unlabelled).agg(F.min(index).alias(index)).select(*keys, index)
         kept = kept.join(F.broadcast(first), [*keys, index], "left_semi")
     return kept
 

@@ -56,10 +56,10 @@ def minmax_bounds(
         tests = [F.lit(True)]
         if "scenario" in axes:
             pref = label_preference("scenario", wanted_scenarios(scenario), SCENARIOS, any_case=True)
-            tests.append(F.col("scenario") == F.max_by("scenario", pref).over(whole))
+            tests.append(F.col("scenario").eqNullSafe(F.max_by("scenario", pref).over(whole)))
         if "time" in axes:
             pref = label_preference("time", wanted_times(time), TIMES, any_case=False)
-            tests.append(F.col("time") == F.max_by("time", pref).over(whole))
+            tests.append(F.col("time").eqNullSafe(F.max_by("time", pref).over(whole)))
         is_slice[name] = reduce(lambda a, b: a & b, tests)
     flagged = slices.select("*", *[c.alias(f"_{n}") for n, c in is_slice.items()])
     lo = F.coalesce(F.min(F.when(F.col("_mild"), F.col("_min"))), F.min(F.when(F.col("_historical"), F.col("_min"))))

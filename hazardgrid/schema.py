@@ -43,6 +43,24 @@ HAZARD_STATS = T.StructType(
     ]
 )
 
+# Hazards differ in the labels they carry; read with this schema, absent ones are NULL.
+SCORED = T.StructType(
+    [
+        T.StructField("scenario", T.StringType()),
+        T.StructField("time", T.StringType()),
+        T.StructField("statistic", T.StringType()),
+        T.StructField("model", T.StringType()),
+        T.StructField("metric", T.StringType()),
+        T.StructField("lat_idx", T.IntegerType()),
+        T.StructField("lon_idx", T.IntegerType()),
+        T.StructField("lat", T.DoubleType()),
+        T.StructField("lon", T.DoubleType()),
+        T.StructField("score", T.FloatType()),
+        T.StructField("hazard", T.StringType()),
+        T.StructField("scoring", T.StringType()),
+    ]
+)
+
 THRESHOLDS = T.StructType(
     [
         T.StructField("hazard", T.StringType()),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardgrid.schema import HAZARD_STATS, SCALE_FOLDER
+from hazardgrid.schema import HAZARD_STATS, SCALE_FOLDER, SCORED
 
 
 def _overwrite_partitions(df: DataFrame, path: str, *columns: str) -> None:
@@ -36,7 +36,7 @@ def write_scored(df: DataFrame, path: str) -> None:
 
 def read_scored(spark: SparkSession, path: str, hazard: str | None = None, scales: list[str] | None = None) -> DataFrame:
     """Scores of a table written by ``write_scored``; both filters prune partitions."""
-    df = spark.read.parquet(path).withColumn("scoring", F.col("scoring").cast("string"))
+    df = spark.read.schema(SCORED).parquet(path)
     if hazard is not None:
         df = df.filter(F.col("hazard") == hazard)
     if scales is not None:

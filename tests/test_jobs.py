@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from hazardgrid.operators.geometry import ring_edges, zone_cells
 from hazardgrid.plans import aggregate_hazard, full_run, score_all, score_cf, score_hazard, score_ls, score_rf, score_standard, score_sub, score_wf
+from hazardgrid.plans.aggregate import prepare_scored
 from hazardgrid.schema import GridSpec
 from hazardgrid.sources import readers, writers
 from hazardgrid.sources.stage import shared_dir, stage, stage_name, unstage
@@ -124,6 +125,21 @@ def test_upsert_leaves_other_scales_untouched(spark, tmp_path):
     assert writers.read_scored(spark, path, scales=["5"]).count() == 100
 
 
+def test_hazards_with_different_labels_share_a_table(spark, tmp_path):
+    path = str(tmp_path / "scored")
+    heat = spark.createDataFrame([("RCP85", "Cc", r, c, 40.0) for r in range(3) for c in range(4)], CELLS)
+    flood_cells, protection = flood(spark)
+    writers.write_scored(score_rf(flood_cells, protection, "v", "p", ("5",)).withColumn("hazard", F.lit("RF")), path)
+    score_hazard("HS", heat, value="v", scales=("5",), out=path)
+    for code, n in (("HS", 12), ("RF", 5)):
+        scored = writers.read_scored(spark, path, code)
+        assert "statistic" in scored.columns
+        cells = prepare_scored(scored)
+        # No label and no coordinate: nothing to choose from, so nothing is dropped.
+        assert cells.count() == n and "statistic" not in cells.columns
+    assert prepare_scored(writers.read_scored(spark, path)).count() == 17
+
+
 def test_stage_is_reused_until_its_input_changes(spark, tmp_path):
     source = str(tmp_path / "in")
     spark.range(5).write.parquet(source)
