@@ -9,6 +9,34 @@ from hazardgrid.functions import nonzero
 from hazardgrid.schema import CELL, LABELS, ZONE
 
 
+TILE = 32  # raster rows and columns of a tile
+
+
+def join_cells(cells: DataFrame, zone_cells: DataFrame) -> DataFrame:
+    """Cells with the zones they belong to and their weight.
+
+    Weights below the planner's broadcast size are left to it. Larger ones meet the cells by square
+    tiles of the raster: a task then sees few zones, so the aggregate that follows combines nearly
+    everything before its shuffle, where cells scattered one by one would leave a row per zone in
+    every task. Tiles hold the same number of cells, so none is hot. Partitioning by the tile
+    alone needs a session that accepts part of the join keys (``session.tuned`` sets it).
+    """
+    spark = cells.sparkSession
+    weights = zone_cells.select(*ZONE, *CELL, "coverage")
+    if spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true" or _broadcasts(weights):
+        return cells.join(weights, list(CELL))
+    tile = {"_row": F.floor(F.col("lat_idx") / TILE), "_column": F.floor(F.col("lon_idx") / TILE)}
+    left, right = (df.withColumns(tile).repartition(*tile) for df in (cells, weights))
+    return left.join(right, [*tile, *CELL]).drop(*tile)
+
+
+def _broadcasts(df: DataFrame) -> bool:
+    """Whether the planner's size estimate is below its broadcast threshold."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 def labels_by_zone(zones: DataFrame, df: DataFrame, labels: list[str]) -> DataFrame:
     """Every zone with every label combination of a frame.
 
@@ -81,7 +109,7 @@ def zonal_multi(
     cells = df.filter(some).select(*CELL, *labels, *columns)
     weights = zone_cells.select(*ZONE, *CELL, "coverage")
     keys = [*ZONE, *labels]
-    moments = cells.join(weights, list(CELL)).groupBy(*keys).agg(*[m for c in columns for m in _moments(c, c)])
+    moments = join_cells(cells, weights).groupBy(*keys).agg(*[m for c in columns for m in _moments(c, c)])
     if missing == "zero":
         zones = weights.groupBy(*ZONE).agg(F.sum("coverage").alias("zone_weight"), F.count(F.lit(1)).alias("zone_cells"))
         wanted = labels_by_zone(zones, df if combos is None else combos, labels) if labels else zones

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution sizes and splits shuffles at run time. The last setting lets it hash a
+# Adaptive execution sizes and splits shuffles at run time. The hash-map threshold lets it hash a
 # shuffled join side instead of sorting both, but only where every partition of that side was
-# measured to be small.
+# measured to be small. The last setting accepts data that is partitioned by part of the join
+# keys, which lets the zonal join work by raster tiles.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

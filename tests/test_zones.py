@@ -140,6 +140,25 @@ def test_zonal_statistics_against_arrays(spark, missing):
         assert (got["score_mean"], got["score_max"], got["score_stdev"]) == pytest.approx((mean, s[use].max(), std), abs=1e-9)
 
 
+def test_large_weights_meet_the_cells_by_tile(spark):
+    scored, weights, _, _ = dense_case(spark)
+    stored = lambda df: {tuple(r) for r in df.selectExpr("gadm_id", "round(score_mean, 9)", "score_max", "round(score_stdev, 9)").collect()}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    small = stored(zonal_stats(scored, weights, "zero"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tiled = zonal_stats(scored, weights, "zero")
+        assert stored(tiled) == small
+        plan = tiled._jdf.queryExecution().executedPlan().toString()
+        by_tile = [line for line in plan.splitlines() if "Exchange hashpartitioning(_row" in line]
+        # Both sides are exchanged by tile and not again by cell.
+        assert len(by_tile) == 2 and "hashpartitioning(lat_idx" not in plan
+        risk = weighted_risk(scored, weights)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(_row" in risk
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_deviation_keeps_its_digits_far_from_zero(spark):
     data = [(0, c, 1e9 + (c % 2)) for c in range(8)]
     scored = spark.createDataFrame(data, "lat_idx int, lon_idx int, score double")
