@@ -30,6 +30,21 @@ def join_cells(cells: DataFrame, zone_cells: DataFrame) -> DataFrame:
     return left.join(right, [*tile, *CELL]).drop(*tile)
 
 
+def clip_to_zones(cells: DataFrame, zone_cells: DataFrame) -> DataFrame:
+    """Cells inside the box of rows and columns that the zones cover.
+
+    For runs over some countries of a global grid: the bounds come back as one row and go into the
+    plan as literals, so that Parquet skips every row group outside.
+    """
+    box = zone_cells.agg(
+        F.min("lat_idx").alias("top"), F.max("lat_idx").alias("bottom"),
+        F.min("lon_idx").alias("left"), F.max("lon_idx").alias("right"),
+    ).first()
+    if box["top"] is None:
+        return cells.limit(0)
+    return cells.filter(F.col("lat_idx").between(box["top"], box["bottom"]) & F.col("lon_idx").between(box["left"], box["right"]))
+
+
 def _broadcasts(df: DataFrame) -> bool:
     """Whether the planner's size estimate is below its broadcast threshold."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()

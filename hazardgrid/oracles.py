@@ -174,6 +174,10 @@ add("zone_cells_center", ("edges_fx",), CENTER, "SELECT * FROM zc")
 add("zone_cells_touched", ("edges_fx",), TOUCHED, "SELECT * FROM zc")
 add("zone_cells_coverage", ("edges_fx",), COVER, "SELECT gadm_id, gid0, lat_idx, lon_idx, ROUND(coverage, 6) AS coverage FROM zc")
 
+add("clip_to_zones", ("cells_fx", "edges_fx"), CENTER, """SELECT hazard, l_orderkey, l_linenumber, lat_idx, lon_idx FROM cells_fx, (
+  SELECT MIN(lat_idx) AS r0, MAX(lat_idx) AS r1, MIN(lon_idx) AS c0, MAX(lon_idx) AS c1 FROM zc WHERE gid0 = 'NATION_7') b
+WHERE lat_idx >= r0 AND lat_idx <= r1 AND lon_idx >= c0 AND lon_idx <= c1""")
+
 # A box meets a polygon if a corner of one lies in the other or two of their edges cross.
 add("zones_in_bbox", ("edges_fx",), [
     """sides AS (SELECT * FROM (VALUES (3.3, 20.2, 8.1, 20.2), (8.1, 20.2, 8.1, 26.4), (8.1, 26.4, 3.3, 26.4), (3.3, 26.4, 3.3, 20.2)) t(px, py, qx, qy))""",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hazardgrid.operators.prepare import dedupe_coords, drop_singleton_dims, prefer_statistic, split_hundred
 from hazardgrid.operators.regrid import coast_on_grid
 from hazardgrid.operators.weighted import rp_weighted
-from hazardgrid.operators.zonal import zonal_stats
+from hazardgrid.operators.zonal import clip_to_zones, zonal_stats
 from hazardgrid.schema import HAZARD_STATS
 from hazardgrid.sources.writers import write_hazard_stats
 
@@ -39,14 +39,17 @@ def aggregate_hazard(
     coast: DataFrame | None = None,
     coast_aligned: bool = False,
     prepare: bool = True,
+    clip: bool = False,
 ) -> DataFrame:
     """Statistics of one hazard for all zones of a level at once.
 
     Most hazards: plain zonal statistics with missing cells as 0. CF and RF: return-period
     weighting for the threshold scales (CF over coastal cells) and plain statistics without zero
-    filling for the 0–100 scale.
+    filling for the 0–100 scale. ``clip`` reads only the box the zones cover, for runs over some
+    countries; label combinations are then those that occur in the box.
     """
-    df = prepare_scored(scored) if prepare else scored
+    df = clip_to_zones(scored, zone_cells) if clip else scored
+    df = prepare_scored(df) if prepare else df
     df = df.filter(F.col("hazard") == hazard) if "hazard" in df.columns else df
     if hazard not in WEIGHTED:
         return _tidy(zonal_stats(df, zone_cells, missing="zero"), hazard, level)

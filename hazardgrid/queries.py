@@ -229,6 +229,13 @@ def bbox_filter(spark: SparkSession, sf: str) -> DataFrame:
     return geo.bbox_filter(cells, 3.2, 4.1, 40.7, 41.4)
 
 
+@query
+def clip_to_zones(spark: SparkSession, sf: str) -> DataFrame:
+    country = view(spark, sf, "edges_fx").filter(F.col("gid0") == "NATION_7")
+    cells = geo.zone_cells(country, raster(spark, sf), "center")
+    return zn.clip_to_zones(_cells(spark, sf).select("hazard", "l_orderkey", "l_linenumber", *CELL), cells)
+
+
 @query
 def split_scales(spark: SparkSession, sf: str) -> DataFrame:
     discrete, hundred = pr.split_hundred(view(spark, sf, "stats_fx").select("hazard", "gadm_id", "scoring", "scenario", "time"))

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from hazardgrid.operators.geometry import bbox_filter, ring_edges, zone_bounds, zone_cells, zones_in_bbox
 from hazardgrid.operators.weighted import calibrate_bins, rp_weighted, weighted_risk
-from hazardgrid.operators.zonal import zonal_multi, zonal_stats
+from hazardgrid.operators.zonal import clip_to_zones, zonal_multi, zonal_stats
 from hazardgrid.schema import GridSpec
 
 GRID = GridSpec(0.5, 1.0, 30, 0.5, 1.0, 40)
@@ -159,6 +159,19 @@ def test_large_weights_meet_the_cells_by_tile(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_clipping_reaches_the_scan(spark, tmp_path):
+    scored, weights, _, _ = dense_case(spark)
+    path = str(tmp_path / "scored")
+    scored.write.parquet(path)
+    some = weights.filter("gadm_id = 'E'")
+    clipped = clip_to_zones(spark.read.parquet(path), some)
+    assert "GreaterThanOrEqual(lat_idx,0" in clipped._jdf.queryExecution().executedPlan().toString()
+    assert clipped.count() == 0  # the zone's only row holds no value in its columns
+    assert clip_to_zones(scored, weights.limit(0)).count() == 0
+    whole = clip_to_zones(scored, weights)
+    assert zonal_stats(whole, weights).count() == zonal_stats(scored, weights).count()
+
+
 def test_deviation_keeps_its_digits_far_from_zero(spark):
     data = [(0, c, 1e9 + (c % 2)) for c in range(8)]
     scored = spark.createDataFrame(data, "lat_idx int, lon_idx int, score double")
