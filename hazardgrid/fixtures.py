@@ -35,6 +35,21 @@ def _outline() -> str:
     )
 
 
+# Rings of rectangles on quarters of a cell: part, ring, left, bottom, right, top.
+_BOXES = ((0, 0, -4, -3.5, 3.25, 2.75), (0, 1, -3.25, -2.5, 1.5, 1.25), (1, 0, 3.25, -1.25, 5.5, 1.5), (2, 0, -2.5, -1.75, 0.75, 0.25))
+
+
+def _boxes() -> str:
+    """Edges of the rectangles as rows, anticlockwise."""
+    rows = []
+    for part, ring, left, bottom, right, top in _BOXES:
+        points = ((left, bottom), (right, bottom), (right, top), (left, top))
+        for seq, ((ax, ay), (bx, by)) in enumerate(zip(points, points[1:] + points[:1], strict=True)):
+            numbers = ", ".join(f"CAST({v} AS DOUBLE) AS {n}" for v, n in ((ax, "ax"), (ay, "ay"), (bx, "bx"), (by, "by_")))
+            rows.append(f"SELECT {part} AS part, {ring} AS ring, {seq} AS seq, {numbers}")
+    return " UNION ALL ".join(rows)
+
+
 # Views in order of dependency; {table} marks a driver table.
 VIEWS = {
     # Grid cells of 14 hazards, 3 scenarios, 4 times and 2 models, some missing, some infinite.
@@ -93,6 +108,15 @@ FROM (SELECT GID_1, GID_0, zone_no / CAST(15.0 AS DOUBLE) AS cx, CAST(zone_no *
     CAST(zone_no % 3 AS DOUBLE) AS k3, CASE WHEN zone_no % 4 = 0 THEN 'holed' ELSE 'plain' END AS shape FROM zones_fx) z
 JOIN (SELECT shape, ring, seq, CAST(ax AS DOUBLE) AS ax, CAST(ay AS DOUBLE) AS ay, CAST(af AS DOUBLE) AS af,
     CAST(bx AS DOUBLE) AS bx, CAST(by_ AS DOUBLE) AS by_, CAST(bf AS DOUBLE) AS bf FROM ({_outline()}) t) v ON z.shape = v.shape""",
+    # The same provinces with two more parts each, rings in all directions: an outline with a hole
+    # that runs its way or the other, a part beside it in the same cells, a part inside the hole.
+    "windings_fx": f"""
+SELECT GID_1 AS gadm_id, GID_0 AS gid0, part, ring, seq,
+  cx + CASE WHEN turned THEN bx ELSE ax END AS x1, cy + CASE WHEN turned THEN by_ ELSE ay END AS y1,
+  cx + CASE WHEN turned THEN ax ELSE bx END AS x2, cy + CASE WHEN turned THEN ay ELSE by_ END AS y2
+FROM (SELECT GID_1, GID_0, part, ring, seq, CAST(FLOOR(zone_no / 15) AS DOUBLE) AS cx, CAST(zone_no * 7 % 60 AS DOUBLE) AS cy,
+    ax, ay, bx, by_, FLOOR(zone_no / CASE part * 2 + ring WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 4 ELSE 8 END) % 2 = 1 AS turned
+  FROM zones_fx CROSS JOIN ({_boxes()}) b) t""",
     # Tidy statistics per hazard and province on three scales.
     "base_stats_fx": """
 SELECT c.hazard, CONCAT('Z', CAST(o_custkey AS VARCHAR(20))) AS gadm_id, c.scenario, c.time,

@@ -1,7 +1,7 @@
 """Polygon ↔ cell joins on ring edges, by relational scanline.
 
 Zones come as one row per ring edge (``gadm_id, gid0, part, ring, seq, x1, y1, x2, y2``, in
-degrees). Every edge is exploded over the raster rows it crosses and contributes a change of
+degrees; ring 0 of a part is its outline, the others are its holes). Every edge is exploded over the raster rows it crosses and contributes a change of
 coverage at a column; changes are summed per (zone, row, column), so what a raster row of one
 zone holds is bounded by the raster's width however detailed the outline is. A running sum along
 the row then gives the coverage, and runs of equal coverage are widened to cells.
@@ -9,15 +9,105 @@ the row then gives the coverage, and runs of equal coverage are widened to cells
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardgrid.functions import nonzero
 from hazardgrid.schema import ZONE, GridSpec
 
+# The readers below run on executors, which need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _TINY = 1e-9  # running sums of fractions leave rounding dust
 
 
+def read_wkb(wkb: bytes) -> list[tuple[int, int, np.ndarray]]:
+    """Rings of a WKB polygon or multipolygon: part, ring and its points as an n × 2 array.
+
+    Further coordinates (height, measure) are read over; an empty geometry has no rings.
+    """
+    rings, at, part = [], 0, 0
+
+    def number(order: str) -> int:
+        nonlocal at
+        at += 4
+        return int(np.frombuffer(wkb, f"{order}u4", 1, at - 4)[0])
+
+    def geometry() -> None:
+        nonlocal at, part
+        order = "<" if wkb[at] else ">"
+        at += 1
+        kind = number(order)
+        if kind & 0x20000000:  # a reference system comes first
+            number(order)
+        width = 2 + bool(kind & 0x80000000) + bool(kind & 0x40000000)
+        kind &= 0x0FFFFFFF
+        width, kind = max(width, {0: 2, 1: 3, 2: 3, 3: 4}[kind // 1000]), kind % 1000
+        if kind == 6:
+            for _ in range(number(order)):
+                geometry()
+        elif kind == 3:
+            for ring in range(number(order)):
+                n = number(order)
+                points = np.frombuffer(wkb, f"{order}f8", n * width, at).reshape(n, width)[:, :2]
+                at += 8 * n * width
+                rings.append((part, ring, points.astype("<f8")))
+            part += 1
+        else:
+            raise ValueError(f"geometry type {kind} is no polygon")
+
+    if wkb:
+        geometry()
+    return rings
+
+
+def write_wkb(rings: list[tuple[int, int, np.ndarray]]) -> bytes:
+    """A WKB multipolygon of rings given as part, ring and points; rings are closed if they aren't."""
+    parts: dict[int, list[np.ndarray]] = {}
+    for part, _, points in sorted(rings, key=lambda r: r[:2]):
+        points = np.asarray(points, "<f8").reshape(-1, 2)
+        closed = len(points) and (points[0] == points[-1]).all()
+        parts.setdefault(part, []).append(points if closed else np.concatenate([points, points[:1]]))
+    head = np.array([6, len(parts)], "<u4").tobytes()
+    body = [b"\x01" + np.array([3, len(held)], "<u4").tobytes() + b"".join(np.array([len(p)], "<u4").tobytes() + p.tobytes() for p in held) for held in parts.values()]
+    return b"\x01" + head + b"".join(body)
+
+
+def zone_rings(zones: DataFrame, zone_id: str, geometry: str = "geometry") -> DataFrame:
+    """Rings of zones whose boundary is a WKB polygon or multipolygon: the input of ``ring_edges``.
+
+    One zone at a time, its points as arrays; a zone without geometry has no rings.
+    """
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, wkb in enumerate(batch.column(2)):
+                rings = read_wkb(wkb.as_py() or b"")
+                if not rings:
+                    continue
+                sizes = np.cumsum([0, *[len(p) for _, _, p in rings]])
+                points = np.concatenate([p for _, _, p in rings])
+                pairs = pa.StructArray.from_arrays([pa.array(points[:, 0]), pa.array(points[:, 1])], ["x", "y"])
+                owner = batch.slice(i, 1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[pa.repeat(owner.column(k)[0], len(rings)) for k in range(2)],
+                        pa.array([p for p, _, _ in rings], pa.int32()), pa.array([r for _, r, _ in rings], pa.int32()),
+                        pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pairs),
+                    ],
+                    names=[*ZONE, "part", "ring", "points"],
+                )
+
+    rows = zones.select(F.col(zone_id).cast("string").alias("gadm_id"), F.col("GID_0").cast("string").alias("gid0"), geometry)
+    return rows.mapInArrow(parse, "gadm_id string, gid0 string, part int, ring int, points array<struct<x double, y double>>")
+
+
 def ring_edges(rings: DataFrame) -> DataFrame:
     """Edges of rings given as one row per ring with ``points ARRAY<STRUCT<x, y>>``.
 
@@ -50,20 +140,35 @@ def _grid_units(edges: DataFrame, grid: GridSpec) -> DataFrame:
     """Edges in grid units, pointing upwards, with the original direction as ``sign``."""
     x1, y1 = grid.x(F.col("x1")), grid.y(F.col("y1"))
     x2, y2 = grid.x(F.col("x2")), grid.y(F.col("y2"))
-    up = edges.select(*ZONE, x1.alias("ax"), y1.alias("ay"), x2.alias("bx"), y2.alias("by"))
+    rest = [c for c in ("part", "ring") if c in edges.columns]
+    up = edges.select(*ZONE, *rest, x1.alias("ax"), y1.alias("ay"), x2.alias("bx"), y2.alias("by"))
     flip = F.col("ay") > F.col("by")
 
     def pick(a: str, b: str) -> Column:
         return F.when(flip, F.col(b)).otherwise(F.col(a))
 
     return up.select(
-        *ZONE,
+        *ZONE, *rest,
         F.when(flip, -1.0).otherwise(1.0).alias("sign"),
         pick("ax", "bx").alias("x1"), pick("ay", "by").alias("y1"),
         pick("bx", "ax").alias("x2"), pick("by", "ay").alias("y2"),
     )
 
 
+def _wound(e: DataFrame) -> DataFrame:
+    """Edges in grid units signed so that outlines add coverage and holes take it away.
+
+    Files don't agree on which way round rings run. The signed area of a ring, one grouped
+    aggregate, tells; a ring without area has no sign and no effect.
+    """
+    ring = [*ZONE, "part", "ring"]
+    twice = F.col("sign") * (F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1"))
+    turns = e.groupBy(*ring).agg(F.signum(F.sum(twice)).alias("_turn"))
+    # An edge covers what lies to its right, so an outline counts when it runs clockwise.
+    wanted = F.when(F.col("ring") == 0, -1.0).otherwise(1.0)
+    return e.join(turns, ring).withColumn("sign", F.col("sign") * F.col("_turn") * wanted).drop("_turn")
+
+
 def _whole(c: Column) -> Column:
     return c.cast("int")
 
@@ -74,9 +179,8 @@ def _over(lo: Column, hi: Column, size: int) -> Column:
     return F.when(first <= last, F.sequence(first, last))
 
 
-def _row_pieces(edges: DataFrame, grid: GridSpec) -> DataFrame:
-    """Every edge cut at the raster rows: column range and height of the part inside each row."""
-    e = _grid_units(edges, grid)
+def _row_pieces(e: DataFrame, grid: GridSpec) -> DataFrame:
+    """Every edge (grid units) cut at the raster rows: column range and height inside each row."""
     rows = _over(
         _whole(F.floor("y1")), F.greatest(_whole(F.floor("y1")), _whole(F.ceil("y2")) - 1), grid.n_lat
     )
@@ -122,7 +226,7 @@ def _covered_right(column: Column) -> Column:
 
 def _coverage_changes(edges: DataFrame, grid: GridSpec) -> DataFrame:
     """Change of the exact covered area from one cell to the next along a raster row."""
-    pieces = _row_pieces(edges, grid).filter("dy > 0")
+    pieces = _row_pieces(_wound(_grid_units(edges, grid)), grid).filter("dy > 0")
     first, last = _whole(F.floor("xlo")), _whole(F.floor("xhi")) + 1
     columns = _over(F.least(first, F.lit(grid.n_lon)), F.greatest(last, F.lit(0)), grid.n_lon)
     at = pieces.withColumn("lon_idx", F.explode(columns))
@@ -154,19 +258,17 @@ def zone_cells(edges: DataFrame, grid: GridSpec, mode: str = "coverage") -> Data
 
     * ``center`` – cells whose centre lies inside (even-odd rule), weight 1;
     * ``all_touched`` – these and every cell an edge passes through, weight 1;
-    * ``coverage`` – every cell with the exact share of its area inside. Outer rings run one way
-      round and holes the other, as in valid polygon files; which way does not matter.
+    * ``coverage`` – every cell with the exact share of its area inside. Which way round a ring runs
+      does not matter; ring 0 of a part is its outline, the others are holes in it.
     """
     if mode == "coverage":
-        return _runs_to_cells(
-            _coverage_changes(edges, grid), grid, lambda level: F.least(F.abs(level), F.lit(1.0))
-        )
+        return _runs_to_cells(_coverage_changes(edges, grid), grid, lambda level: F.least(level, F.lit(1.0)))
     inside = _runs_to_cells(_center_changes(edges, grid), grid, lambda level: level % 2)
     if mode == "center":
         return inside
     if mode == "all_touched":
         columns = _over(_whole(F.floor("xlo")), _whole(F.floor("xhi")), grid.n_lon)
-        touched = _row_pieces(edges, grid).select(*ZONE, "lat_idx", F.explode(columns).alias("lon_idx"))
+        touched = _row_pieces(_grid_units(edges, grid), grid).select(*ZONE, "lat_idx", F.explode(columns).alias("lon_idx"))
         cells = inside.drop("coverage").unionByName(touched).distinct()
         return cells.withColumn("coverage", F.lit(1.0))
     raise ValueError(f"unknown mode {mode!r}")

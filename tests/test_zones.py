@@ -4,9 +4,10 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from hazardgrid.operators.geometry import bbox_filter, ring_edges, zone_bounds, zone_cells, zones_in_bbox
-from hazardgrid.operators.weighted import calibrate_bins, rp_weighted, weighted_risk
+from hazardgrid.operators.geometry import bbox_filter, read_wkb, ring_edges, write_wkb, zone_bounds, zone_cells, zone_rings, zones_in_bbox
+from hazardgrid.operators.weighted import bins_of, calibrate_bins, flood_statistics, rp_weighted, weighted_risk
 from hazardgrid.operators.zonal import clip_to_zones, zonal_multi, zonal_stats
 from hazardgrid.schema import GridSpec
 
@@ -75,6 +76,40 @@ def test_holes_parts_and_direction(spark):
         assert zone_cells(edges, GRID, "center").count() == 84 + 4  # centres on a right-hand edge are outside
 
 
+def turned(rings, mask):
+    return [(z, p, r, pts[::-1] if mask >> i & 1 else pts) for i, (z, p, r, pts) in enumerate(rings)]
+
+
+@pytest.mark.parametrize("mask", range(16))
+def test_ring_directions_do_not_matter(spark, mask):
+    """A hole that runs its outline's way, parts that share cells, a part inside another's hole."""
+    square = lambda x, y, w, h: [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+    rings = [("Z", 0, 0, square(2, 2, 10, 10)), ("Z", 0, 1, square(4, 4, 6, 6)), ("Z", 1, 0, square(5.25, 5.5, 3, 2.5)), ("Z", 2, 0, square(12, 3.5, 1.5, 2))]
+    cells = {(r["lat_idx"], r["lon_idx"]): r["coverage"] for r in zone_cells(edges_of(spark, turned(rings, mask)), GRID, "coverage").collect()}
+    assert sum(cells.values()) == pytest.approx(100 - 36 + 7.5 + 3)
+    assert cells[5, 5] == pytest.approx(0.75 * 0.5) and (4, 4) not in cells and cells[3, 12] == pytest.approx(0.5)
+    assert max(cells.values()) <= 1 + 1e-9
+
+
+def test_boundaries_as_wkb(spark):
+    poly, hole, island = star(3), [(18.0, 14.0), (18.5, 14.0), (18.5, 14.5)], [(1.0, 1.0), (3.0, 1.0), (3.0, 4.0)]
+    multi = write_wkb([(0, 0, np.array(poly)), (0, 1, np.array(hole)), (1, 0, np.array(island))])
+    assert [(p, r, len(x)) for p, r, x in read_wkb(multi)] == [(0, 0, 10), (0, 1, 4), (1, 0, 4)]
+    # A big-endian polygon with heights and a reference system, as other writers make it.
+    ring = np.array([(0.0, 0.0, 7.0), (4.0, 0.0, 7.0), (4.0, 3.0, 7.0), (0.0, 0.0, 7.0)], ">f8")
+    other = b"\x00" + np.array([0xA0000003, 4326, 1, 4], ">u4").tobytes() + ring.tobytes()
+    assert read_wkb(other)[0][2].tolist() == [[0, 0], [4, 0], [4, 3], [0, 0]]
+    iso = b"\x01" + np.array([1003, 1, 4], "<u4").tobytes() + ring.astype("<f8").tobytes()
+    assert read_wkb(iso)[0][2].shape == (4, 2) and read_wkb(b"") == []
+    with pytest.raises(ValueError):
+        read_wkb(b"\x01" + np.array([1], "<u4").tobytes())
+    zones = spark.createDataFrame([("A", "C", bytearray(multi)), ("B", "C", bytearray(other)), ("E", "C", None)], "GID_1 string, GID_0 string, geometry binary")
+    edges = ring_edges(zone_rings(zones, "GID_1"))
+    same = edges_of(spark, [("A", 0, 0, poly), ("A", 0, 1, hole), ("A", 1, 0, island), ("B", 0, 0, [(0, 0), (4, 0), (4, 3)])])
+    columns = ("gadm_id", "part", "ring", "x1", "y1", "x2", "y2")
+    assert sorted(map(tuple, edges.select(*columns).collect())) == sorted(map(tuple, same.select(*columns).collect()))
+
+
 def test_zones_partly_outside_the_raster(spark):
     box = [(-5.0, -5.0), (3.5, -5.0), (3.5, 2.0), (-5.0, 2.0)]
     edges = edges_of(spark, [("Z", 0, 0, box)])
@@ -140,19 +175,17 @@ def test_zonal_statistics_against_arrays(spark, missing):
         assert (got["score_mean"], got["score_max"], got["score_stdev"]) == pytest.approx((mean, s[use].max(), std), abs=1e-9)
 
 
-def test_large_weights_meet_the_cells_by_tile(spark):
+def test_cells_and_weights_meet_by_tile_in_every_session(spark):
     scored, weights, _, _ = dense_case(spark)
-    stored = lambda df: {tuple(r) for r in df.selectExpr("gadm_id", "round(score_mean, 9)", "score_max", "round(score_stdev, 9)").collect()}
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    small = stored(zonal_stats(scored, weights, "zero"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "true")  # Spark's default
     try:
         tiled = zonal_stats(scored, weights, "zero")
-        assert stored(tiled) == small
         plan = tiled._jdf.queryExecution().executedPlan().toString()
         by_tile = [line for line in plan.splitlines() if "Exchange hashpartitioning(_row" in line]
         # Both sides are exchanged by tile and not again by cell.
-        assert len(by_tile) == 2 and "hashpartitioning(lat_idx" not in plan
+        assert len(by_tile) == 2 and "hashpartitioning(lat_idx" not in plan and tiled.count() == 3
         risk = weighted_risk(scored, weights)._jdf.queryExecution().executedPlan().toString()
         assert "Exchange hashpartitioning(_row" in risk
     finally:
@@ -242,5 +275,28 @@ def test_uncalibrated_scale(spark):
 
 def test_calibration(spark):
     risk = spark.createDataFrame([("RF", "5", float(v)) for v in (0, 1, 2, 3, 4, 5, 6)], "hazard string, scoring string, weighted_risk double")
-    assert tuple(calibrate_bins(risk).first())[2:] == (2.0, 3.0, 4.0, 5.0)
-    assert tuple(calibrate_bins(risk, accuracy=1000).first())[:2] == ("RF", "5")
+    assert tuple(calibrate_bins(risk, accuracy=None).first())[2:] == (2.0, 3.0, 4.0, 5.0)
+    sketched = calibrate_bins(risk)
+    assert tuple(sketched.first())[:2] == ("RF", "5")
+    assert bins_of(sketched, "RF", 1)["RF", 1, "5"] == tuple(sketched.first())[2:]
+
+
+def test_floods_in_one_pass_equal_the_parts(spark, caplog):
+    scored, cells, coast = weighted_case(spark)
+    ten, hundred = (scored.withColumn("scoring", F.lit(k)) for k in ("10", "100"))
+    every = scored.unionByName(ten).unionByName(hundred)
+    combos = every.select("scoring", "scenario", "time").distinct()
+    zones = spark.createDataFrame([("islet", "C"), ("mix", "C")], "gadm_id string, gid0 string")
+    with caplog.at_level("WARNING"):
+        out = flood_statistics(every, cells, "RF", combos, zones=zones)
+    assert "scale 10 skipped" in caplog.text
+    columns = ["gadm_id", "gid0", "scoring", "scenario", "time", "score_mean", "score_max", "score_stdev"]
+    parts = rp_weighted(scored, cells, "RF", zones=zones).select(columns).unionByName(zonal_stats(hundred, cells, "skip").select(columns))
+    rounded = lambda df: sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select(columns).collect()), key=str)
+    assert rounded(out) == rounded(parts)
+    assert ("islet", "5", 0.0, None) in {(r["gadm_id"], r["scoring"], r["score_mean"], r["score_max"]) for r in out.collect()}
+    caplog.clear()
+    with caplog.at_level("WARNING"):
+        coastal = flood_statistics(scored, cells, "CF", combos.filter("scoring = '5'"), coast=coast)
+    assert "skipped" not in caplog.text
+    assert rounded(coastal) == rounded(rp_weighted(scored, cells, "CF", coast=coast))
