@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardgrid.schema import CELL, LABELS, SPATIAL
+from hazardgrid.schema import CELL, SPATIAL, labels_of
 
 
 def align(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -14,16 +14,19 @@ def align(left: DataFrame, right: DataFrame) -> DataFrame:
     The variable with fewer dimensions (a static raster) is matched to every label combination
     of the other. Join keys are the integer cell indexes and shared labels, never coordinates.
     """
-    shared = [c for c in (*LABELS, *CELL) if c in left.columns and c in right.columns and c != "hazard"]
+    shared = [c for c in (*labels_of(left, without=("hazard",)), *CELL) if c in left.columns and c in right.columns]
     spare = [c for c in ("hazard", "lat", "lon") if c in left.columns]
     return left.join(right.drop(*spare), shared)
 
 
 def ensemble_mean(df: DataFrame, value: str, over: str = "model") -> DataFrame:
-    """Mean over the models, missing ones ignored, labelled ``statistic = 'mean'``."""
+    """Mean over the models, missing ones ignored, labelled ``statistic = 'mean'``.
+
+    Every other label stays a label of the result; only ``over`` and ``statistic`` are averaged over.
+    """
     if over not in df.columns:
         return df
-    keep = [c for c in (*LABELS, *SPATIAL) if c in df.columns and c not in (over, "statistic")]
+    keep = [*labels_of(df, without=(over, "statistic")), *[c for c in SPATIAL if c in df.columns]]
     return df.groupBy(*keep).agg(F.avg(value).alias(value)).withColumn("statistic", F.lit("mean"))
 
 

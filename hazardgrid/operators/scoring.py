@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from hazardgrid.functions import minmax_score, threshold_score
 from hazardgrid.operators.prepare import label_preference, wanted_scenarios, wanted_times
-from hazardgrid.schema import LABELS, SCENARIOS, SPATIAL, TIMES
+from hazardgrid.schema import SCENARIOS, SPATIAL, TIMES, labels_of
 
 
 def fan_out(df: DataFrame, scores: dict[str, Column]) -> DataFrame:
-    """One row per input row and scale, from a single scan of the input."""
+    """One row per input row and scale, from a single scan of the input; every label is kept."""
     if not scores:
         raise ValueError("at least one scale is needed")
-    keep = [c for c in (*LABELS, *SPATIAL) if c in df.columns and c != "scoring"]
+    keep = [*labels_of(df, without=("scoring",)), *[c for c in SPATIAL if c in df.columns]]
     cells = [F.struct(F.lit(str(k)).alias("scoring"), v.cast("double").alias("score")) for k, v in scores.items()]
     return df.select(*keep, F.inline(F.array(*cells)))
 
@@ -43,8 +43,12 @@ def minmax_bounds(
     axes = [c for c in ("scenario", "time") if c in df.columns]
     v = F.col(value).cast("double")
     v = F.when(~F.isnan(v), v)
-    slices = df.groupBy(*keys, *axes).agg(F.min(v).alias("_min"), F.max(v).alias("_max"))
+    return bounds_of(df.groupBy(*keys, *axes).agg(F.min(v).alias("_min"), F.max(v).alias("_max")), keys, ref_scenario, ref_time)
 
+
+def bounds_of(slices: DataFrame, keys: list[str], ref_scenario: str | None = None, ref_time: str | None = None) -> DataFrame:
+    """``minmax_bounds`` from the least and greatest value (``_min``, ``_max``) of each slice."""
+    axes = [c for c in ("scenario", "time") if c in slices.columns]
     wanted = {
         "mild": (ref_scenario or "RCP45", ref_time or "Cc"),
         "severe": (ref_scenario or "RCP85", ref_time or "Lt"),

@@ -96,8 +96,14 @@ class GridSpec:
 
 
 def labels_of(df: DataFrame, without: tuple[str, ...] = ()) -> list[str]:
-    """The label (non-spatial dimension) columns that a frame carries."""
-    return [c for c in LABELS if c in df.columns and c not in without]
+    """The label (non-spatial dimension) columns that a frame carries.
+
+    The vocabulary's labels in their order, then any other text column: labels are text, variables
+    are numbers. Zones aren't labels.
+    """
+    known = [c for c in LABELS if c in df.columns]
+    other = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in (*LABELS, *ZONE)]
+    return [c for c in (*known, *other) if c not in without]
 
 
 def position(label: Column, order: tuple[str, ...]) -> Column:

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from hazardgrid.operators.geometry import bbox_filter
 from hazardgrid.operators.prepare import normalize_numeric
-from hazardgrid.schema import HAZARD_STATS, HAZARDS, LABELS, SPATIAL
+from hazardgrid.schema import HAZARD_STATS, HAZARDS, SPATIAL, labels_of
+
+#: CSV options of all exports: a missing value differs from an empty text.
+CSV = {"header": "true", "nullValue": "\\N"}
 
 log = logging.getLogger(__name__)
 
@@ -29,7 +32,7 @@ def read_cells(
     scenarios: list[str] | None = None,
     times: list[str] | None = None,
 ) -> DataFrame:
-    """Cells of a grid table: needed variables only, label filters pruning its partitions."""
+    """Cells of a grid table: needed variables only, all labels, label filters pruning partitions."""
     df = spark.read.parquet(path)
     if hazard is not None and "hazard" in df.columns:
         df = df.filter(F.col("hazard") == hazard)
@@ -37,7 +40,8 @@ def read_cells(
         df = df.filter(F.col("scenario").isin(*scenarios))
     if times is not None:
         df = df.filter(F.col("time").isin(*times))
-    return normalize_numeric(df.select(*[c for c in (*LABELS, *SPATIAL) if c in df.columns], *variables))
+    labels = [c for c in labels_of(df) if c not in variables]
+    return normalize_numeric(df.select(*labels, *[c for c in SPATIAL if c in df.columns], *variables))
 
 
 def read_zones(spark: SparkSession, base: str, level: int, iso3: str | None = None) -> DataFrame:
@@ -77,7 +81,7 @@ def read_hazard_stats(spark: SparkSession, base: str, level: int, codes: tuple[s
             log.warning("%s: no statistics at %s, skipped", code, path)
             continue
         try:
-            frames.append(_by_name(spark.read.option("header", True).csv(path)))
+            frames.append(_by_name(spark.read.options(**CSV).csv(path)))
         except PySparkException as error:
             log.error("%s: statistics at %s not readable, skipped: %s", code, path, error)
     if not frames:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import logging
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,29 +16,44 @@ log = logging.getLogger(__name__)
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without: it gets a folder of its own, once.
+    Where that is unset, a folder in the warehouse, which all executors share by its own definition;
+    never a machine-local one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    own = spark.conf.get("spark.hazardgrid.localDir", None)
-    if not own:
-        own = tempfile.mkdtemp(prefix="hazardgrid-")
-        spark.conf.set("spark.hazardgrid.localDir", own)
-    return own
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+
+
+def _roots(df: DataFrame) -> list[str]:
+    """Folders and files the frame's plan names as its sources; no file list is made."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    found = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and hasattr(leaf.relation(), "location"):
+            found += [p for p in leaf.relation().location().rootPaths().mkString("\n").split("\n") if p]
+    return sorted(set(found))
+
+
+def _version(spark: SparkSession, root: str) -> str:
+    """A root with the time it was last written: its own and that of its success mark."""
+    marks = [root]
+    for name in (root, f"{root}/_SUCCESS"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if system.exists(path):
+            marks.append(str(system.getFileStatus(path).getModificationTime()))
+    return "@".join(marks)
 
 
 def stage_name(df: DataFrame, name: str, inputs: tuple[str, ...] = ()) -> str:
-    """Stage name that changes with the plan and with the files it reads.
+    """Stage name that changes with the plan and with the state of the tables it reads.
 
-    Spark gives every file it writes a new name, so a rewritten input changes the stage. For
-    sources whose files are replaced under their old names, pass a version mark in ``inputs``
-    (a snapshot id, a modification time).
+    A table counts as changed when its folder or its success mark was written later. For sources
+    that change in another way, pass a version mark in ``inputs`` (a snapshot id, say).
     """
+    spark = df.sparkSession
     plan = df._jdf.queryExecution().analyzed().canonicalized().toString()
-    parts = [name, str(df.semanticHash()), plan, df.schema.json(), *sorted(df.inputFiles()), *inputs]
+    parts = [name, str(df.semanticHash()), plan, df.schema.json(), *[_version(spark, r) for r in _roots(df)], *inputs]
     return f"{name}-{hashlib.sha256('|'.join(parts).encode()).hexdigest()[:32]}"
 
 
@@ -48,7 +62,7 @@ def stage(df: DataFrame, name: str, reuse: bool = True, inputs: tuple[str, ...]
 
     An identical stage that was finished before is reused; with ``reuse=False`` a new one is
     written beside it. Written tables survive the loss of executors and cut the lineage, which
-    cached blocks do not.
+    cached blocks do not. ``unstage`` deletes them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stages/{stage_name(df, name, inputs)}"
@@ -63,10 +77,9 @@ def stage(df: DataFrame, name: str, reuse: bool = True, inputs: tuple[str, ...]
 
 def unstage(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete the stages the frames read, after the final write; a failure is only logged."""
-    root = f"{shared_dir(spark)}/stages/"
-    folders = {f.rsplit("/", 1)[0] for df in frames for f in df.inputFiles()}
-    for folder in sorted(folders):
-        if root.split(":", 1)[-1].lstrip("/") not in folder:
+    root = f"{shared_dir(spark)}/stages/".split(":", 1)[-1].lstrip("/")
+    for folder in sorted({r for df in frames for r in _roots(df)}):
+        if root not in folder:
             log.warning("%s is not a stage, kept", folder)
             continue
         try:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hazardgrid.schema import HAZARD_STATS, SCALE_FOLDER, SCORED
+from hazardgrid.schema import HAZARD_STATS, SCALE_FOLDER, SCORED, labels_of
+from hazardgrid.sources.readers import CSV
 
 
 def _overwrite_partitions(df: DataFrame, path: str, *columns: str) -> None:
@@ -35,8 +37,15 @@ def write_scored(df: DataFrame, path: str) -> None:
 
 
 def read_scored(spark: SparkSession, path: str, hazard: str | None = None, scales: list[str] | None = None) -> DataFrame:
-    """Scores of a table written by ``write_scored``; both filters prune partitions."""
-    df = spark.read.schema(SCORED).parquet(path)
+    """Scores of a table written by ``write_scored``; both filters prune partitions.
+
+    Hazards differ in their labels: those of the vocabulary are always there, NULL where a hazard
+    lacks them, and any other label that a hazard was written with as well (file footers tell).
+    """
+    part = path if hazard is None else f"{path}/hazard={hazard}"
+    found = spark.read.option("basePath", path).option("mergeSchema", True).parquet(part)
+    extra = [found.schema[c] for c in labels_of(found) if c not in SCORED.fieldNames()]
+    df = spark.read.schema(T.StructType([*extra, *SCORED.fields])).parquet(path)
     if hazard is not None:
         df = df.filter(F.col("hazard") == hazard)
     if scales is not None:
@@ -54,7 +63,7 @@ def export_hazard_stats(df: DataFrame, base: str, hazard: str, level: int) -> st
     path = f"{base}/{hazard}_adm{level}.csv"
     columns = [f.name for f in HAZARD_STATS.fields if f.name in df.columns]
     rows = df.filter((F.col("hazard") == hazard) & (F.col("gadm_level") == level)).select(*columns)
-    rows.write.mode("overwrite").option("header", True).csv(path)
+    rows.write.mode("overwrite").options(**CSV).csv(path)
     return path
 
 
@@ -65,10 +74,13 @@ def combined_path(base: str, scale: str, stat: str, scenario: str, level: int) -
     return f"{base}/{folder}/hazard_score_{area}_{stat}_{scenario.upper().replace('RCP', '')}.csv"
 
 
-def write_combined(df: DataFrame, base: str, scale: str, stat: str, scenario: str, level: int) -> str:
-    """CSV of one wide table; one row per zone, so a single file holds it."""
+def write_combined(df: DataFrame, base: str, scale: str, stat: str, scenario: str, level: int, single: bool = False) -> str:
+    """CSV of one wide table, written in parallel; ``single`` gathers it into one file.
+
+    Missing values are written as ``\\N``, so that empty texts come back as such (``readers.CSV``).
+    """
     path = combined_path(base, scale, stat, scenario, level)
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    (df.coalesce(1) if single else df).write.mode("overwrite").options(**CSV).csv(path)
     return path
 
 

@@ -17,18 +17,19 @@ def spark(tmp_path_factory):
 
     from hazardgrid.session import tuned
 
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         tuned(SparkSession.builder)
         .master("local[4]")
         .appName("hazardgrid-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", str(shared))
+        .config("spark.sql.warehouse.dir", str(shared / "warehouse"))
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.hazardgrid.localDir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

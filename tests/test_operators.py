@@ -14,10 +14,13 @@ from hazardgrid.operators.prepare import (
     prefer_statistic,
     reference_slice,
     scale_values,
+    scored_dims,
     select_metric,
+    tidy_scored,
 )
 from hazardgrid.operators.regrid import coast_on_grid, nearest_grid, nearest_index
 from hazardgrid.operators.scoring import concat_scales, fan_out, minmax_bounds, score_scales, with_bounds
+from hazardgrid.schema import GridSpec
 
 
 def rows(df, *columns):
@@ -153,6 +156,40 @@ def test_gap_fill_equals_a_loop(spark, seed, limit):
     assert densify(df, "v", 17, 23).count() == 17 * 23
 
 
+def test_dense_grid_refuses_what_does_not_fit(spark):
+    schema = "scenario string, lat_idx int, lon_idx int, v double"
+    fits = spark.createDataFrame([("A", 0, 0, 1.0), ("A", 1, 2, None)], schema)
+    assert densify(fits, "v", 2, 3).count() == 6
+    for bad in (("A", 2, 0, 1.0), ("A", 0, 3, 1.0), ("A", -1, 0, 1.0), ("A", None, 0, 1.0)):
+        with pytest.raises(Exception, match="outside the raster"):
+            densify(fits.union(spark.createDataFrame([bad], schema)), "v", 2, 3).collect()
+    with pytest.raises(Exception, match="more than one row for cell 0, 0"):
+        densify(fits.union(fits), "v", 2, 3).collect()
+    placed = densify(fits, "v", 2, 3, GridSpec(10.0, -1.0, 2, 0.5, 2.0, 3))
+    assert rows(placed.filter("lat_idx = 1 AND lon_idx = 2"), "lat", "lon") == [(9.0, 4.5)]
+
+
+def test_every_dimension_is_kept(spark):
+    data = [("A", "p5", "M1", 0, 0, 1.0), ("A", "p95", "M1", 0, 0, 9.0), ("A", "p95", "M2", 0, 0, 7.0)]
+    df = spark.createDataFrame(data, "scenario string, percentile string, model string, lat_idx int, lon_idx int, v double")
+    assert rows(ensemble_mean(df, "v"), "percentile", "v") == [("p5", 1.0), ("p95", 8.0)]
+    out = score_scales(df, "v", {"5": ([0, 5], [1, 2])})
+    assert rows(out, "percentile", "model", "score") == [("p5", "M1", 1), ("p95", "M1", 2), ("p95", "M2", 2)]
+    assert rows(densify(df.filter("model = 'M1'").drop("model"), "v", 1, 1), "percentile", "v") == [("p5", 1.0), ("p95", 9.0)]
+
+
+def test_tidy_scores_from_their_dimensions(spark):
+    data = [("Cc", s, "M1", i, 0, (0.5, 0.5, 2.5)[i], 0.5, float(i)) for s in ("q1", "max") for i in range(3)] + [("Lt", "max", "M1", 3, 0, None, None, 9.0)]
+    df = spark.createDataFrame(data, "time string, statistic string, model string, lat_idx int, lon_idx int, lat double, lon double, score double")
+    dims = scored_dims(df)
+    assert {r["kind"]: r["n"] for r in dims.groupBy("kind").agg(F.count("*").alias("n")).collect()} == {"labels": 3, "lat": 3, "lon": 2}
+    tidy, combos = tidy_scored(df, dims)
+    assert rows(tidy, "time", "lat_idx") == [("Cc", 0), ("Cc", 2), ("Lt", 3)] and "model" not in tidy.columns
+    assert rows(combos, "time") == [("Cc",), ("Lt",)]
+    first, combos = tidy_scored(df, dims, order=("q1", "max"))
+    assert rows(first, "score") == [(0.0,), (2.0,)] and rows(combos, "time") == [("Cc",)]
+
+
 def test_gap_fill_shuffles_once_per_axis(spark):
     df = spark.range(10).selectExpr("'A' AS scenario", "CAST(id AS INT) AS lat_idx", "CAST(id AS INT) AS lon_idx", "CAST(id AS DOUBLE) AS v")
     plan = fill_along(fill_along(df, "v", "lon_idx"), "v", "lat_idx")._jdf.queryExecution().executedPlan().toString()
