@@ -132,18 +132,79 @@ def reference_slice(
 def dedupe_coords(df: DataFrame, by: tuple[str, ...] = ("hazard",)) -> DataFrame:
     """Rows of the first index of every latitude and longitude label.
 
-    Works on the axes, which hold as many labels as the raster is high or wide and so always
-    broadcast: the cells are kept by semi-join and never shuffled.
+    Works on the axes, which hold as many labels as the raster is high or wide; adaptive execution
+    broadcasts them when they turn out small, and the cells are then kept without a shuffle.
     """
     keys = [c for c in by if c in df.columns]
     kept = df
     for label, index in (("lat", "lat_idx"), ("lon", "lon_idx")):
         unlabelled = F.when(F.col(label).isNull(), F.col(index))  # cells without coordinates all stay
         first = df.groupBy(*keys, label, unlabelled).agg(F.min(index).alias(index)).select(*keys, index)
-        kept = kept.join(F.broadcast(first), [*keys, index], "left_semi")
+        kept = kept.join(first, [*keys, index], "left_semi")
     return kept
 
 
+def scored_dims(df: DataFrame, labels: list[str] | None = None) -> DataFrame:
+    """What labels and axes of a table of scores hold, from one scan of it.
+
+    One row for each combination of labels (``kind = 'labels'``) and for each latitude and longitude
+    of a hazard (``kind = 'lat'`` or ``'lon'``, ``coord``, least and greatest index ``first`` and ``last``).
+    Its size is that of the axes, not of the table: stage it and answer from it.
+    """
+    labels = labels_of(df) if labels is None else labels
+    axes = [(c, f"{c}_idx") for c in ("lat", "lon") if c in df.columns]
+    none = {c: F.lit(None).cast("string") for c in labels}
+
+    def mark(kind: str, shown: list[str], coord: Column, index: Column) -> Column:
+        names = [F.col(c).alias(c) if c in shown else none[c].alias(c) for c in labels]
+        return F.struct(F.lit(kind).alias("kind"), *names, coord.cast("double").alias("coord"), index.cast("int").alias("at"))
+
+    nothing = F.lit(None)
+    marks = [mark("labels", labels, nothing, nothing)]
+    marks += [mark(c, [x for x in labels if x == "hazard"], F.col(c), F.col(i)) for c, i in axes]
+    rows = df.select(F.inline(F.array(*marks)))
+    return rows.groupBy("kind", *labels, "coord").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+
+
+def tidy_scored(df: DataFrame, dims: DataFrame, order: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Scores of one hazard made ready for zones, and the label combinations left, from its ``dims``.
+
+    One statistic (``mean`` in any case, else the first in ``order``, else in alphabetical order), no
+    label with a single value beyond those that later steps need, one index per coordinate. The
+    table itself isn't read: the label combinations, a few dozen, come to the driver from ``dims``,
+    and the axes are consulted only if a coordinate has several indexes.
+    """
+    labels = [c for c in dims.columns if c not in ("kind", "coord", "first", "last")]
+    doubled = F.max(F.col("coord").isNotNull() & (F.col("first") < F.col("last"))).alias("doubled")
+    found = dims.groupBy("kind", *[F.when(F.col("kind") == "labels", F.col(c)).alias(c) for c in labels]).agg(doubled).collect()
+    combos = [{c: r[c] for c in labels} for r in found if r["kind"] == "labels"]
+    uneven = {r["kind"] for r in found if r["kind"] != "labels" and r["doubled"]}
+    if "statistic" in labels and combos:
+        rank = {s: i for i, s in enumerate(order)}
+        names = {r["statistic"] for r in combos}
+        pick = min(names, key=lambda s: ((s or "").lower() != "mean", rank.get(s, len(rank)), s is None, s or ""))
+        df = df.filter(F.col("statistic").eqNullSafe(F.lit(pick)))
+        combos = [r for r in combos if r["statistic"] == pick]
+    keep = ("hazard", "scenario", "time", "scoring")
+    gone = [c for c in labels if c not in keep and len({r[c] for r in combos}) <= 1]
+    left = [c for c in labels if c not in gone]
+    for coord in ("lat", "lon"):
+        if coord in df.columns and coord in uneven:
+            axis = dims.filter((F.col("kind") == coord) & F.col("coord").isNotNull())
+            firsts = axis.groupBy(F.col("coord").alias("_coord")).agg(F.min("first").alias("_first"))
+            df = df.join(firsts, F.col(coord) == F.col("_coord"), "left")
+            df = df.filter(F.col(coord).isNull() | (F.col(f"{coord}_idx") == F.col("_first"))).drop("_coord", "_first")
+    spark = df.sparkSession
+    rows = sorted({tuple(r[c] for c in left) for r in combos}, key=str)
+    return df.drop(*gone), spark.createDataFrame(rows, T.StructType([T.StructField(c, T.StringType()) for c in left]))
+
+
+def axis_of(dims: DataFrame, coord: str) -> DataFrame:
+    """``{coord}_idx`` and ``{coord}`` of every coordinate in ``dims`` (its first index)."""
+    rows = dims.filter((F.col("kind") == coord) & F.col("coord").isNotNull())
+    return rows.groupBy(F.col("coord").alias(coord)).agg(F.min("first").alias(f"{coord}_idx"))
+
+
 def split_hundred(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The threshold scales and the 0–100 scale as two frames."""
     return df.filter(F.col("scoring") != "100"), df.filter(F.col("scoring") == "100")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardgrid.functions import nonzero
-from hazardgrid.schema import CELL, LABELS, ZONE
+from hazardgrid.schema import CELL, ZONE, labels_of
 
+log = logging.getLogger(__name__)
 
 TILE = 32  # raster rows and columns of a tile
 
@@ -15,41 +18,38 @@ TILE = 32  # raster rows and columns of a tile
 def join_cells(cells: DataFrame, zone_cells: DataFrame) -> DataFrame:
     """Cells with the zones they belong to and their weight.
 
-    Weights below the planner's broadcast size are left to it. Larger ones meet the cells by square
-    tiles of the raster: a task then sees few zones, so the aggregate that follows combines nearly
-    everything before its shuffle, where cells scattered one by one would leave a row per zone in
-    every task. Tiles hold the same number of cells, so none is hot. Partitioning by the tile
-    alone needs a session that accepts part of the join keys (``session.tuned`` sets it).
+    Both sides meet by square tiles of the raster: a task then sees few zones, so the aggregate that
+    follows combines nearly everything before its shuffle, where cells scattered one by one would
+    leave a row per zone in every task. Tiles hold the same number of cells, so none is hot. The
+    session must accept a partitioning by part of the join keys for that; one that doesn't is set to.
     """
-    spark = cells.sparkSession
-    weights = zone_cells.select(*ZONE, *CELL, "coverage")
-    if spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true" or _broadcasts(weights):
-        return cells.join(weights, list(CELL))
+    cells.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     tile = {"_row": F.floor(F.col("lat_idx") / TILE), "_column": F.floor(F.col("lon_idx") / TILE)}
+    weights = zone_cells.select(*ZONE, *CELL, "coverage")
     left, right = (df.withColumns(tile).repartition(*tile) for df in (cells, weights))
     return left.join(right, [*tile, *CELL]).drop(*tile)
 
 
-def clip_to_zones(cells: DataFrame, zone_cells: DataFrame) -> DataFrame:
-    """Cells inside the box of rows and columns that the zones cover.
-
-    For runs over some countries of a global grid: the bounds come back as one row and go into the
-    plan as literals, so that Parquet skips every row group outside.
-    """
+def zone_box(zone_cells: DataFrame) -> dict[str, int] | None:
+    """Rows and columns that the zones cover, one row to the driver; None without cells."""
     box = zone_cells.agg(
         F.min("lat_idx").alias("top"), F.max("lat_idx").alias("bottom"),
         F.min("lon_idx").alias("left"), F.max("lon_idx").alias("right"),
     ).first()
-    if box["top"] is None:
-        return cells.limit(0)
-    return cells.filter(F.col("lat_idx").between(box["top"], box["bottom"]) & F.col("lon_idx").between(box["left"], box["right"]))
+    return None if box["top"] is None else box.asDict()
+
 
+def clip_to_zones(cells: DataFrame, zone_cells: DataFrame) -> DataFrame:
+    """Cells inside the box of rows and columns that the zones cover.
 
-def _broadcasts(df: DataFrame) -> bool:
-    """Whether the planner's size estimate is below its broadcast threshold."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
+    For runs over some countries of a global grid: the bounds come back as one row and go into the
+    plan as literals, so that Parquet skips every row group outside. Zones without cells keep none.
+    """
+    box = zone_box(zone_cells)
+    if box is None:
+        log.warning("no zone has a cell: nothing to clip to")
+        return cells.filter(F.lit(False))
+    return cells.filter(F.col("lat_idx").between(box["top"], box["bottom"]) & F.col("lon_idx").between(box["left"], box["right"]))
 
 
 def labels_by_zone(zones: DataFrame, df: DataFrame, labels: list[str]) -> DataFrame:
@@ -61,7 +61,7 @@ def labels_by_zone(zones: DataFrame, df: DataFrame, labels: list[str]) -> DataFr
     return zones.select("*", F.inline(combos))
 
 
-def _moments(value: str, name: str) -> list[Column]:
+def moments(value: str, name: str) -> list[Column]:
     """One-pass aggregates of a weighted value, all combinable before the shuffle."""
     s, w = F.col(value), F.col("coverage")
     w = F.when(s.isNotNull(), w)
@@ -75,7 +75,7 @@ def _moments(value: str, name: str) -> list[Column]:
     ]
 
 
-def _statistics(name: str, missing: str) -> list[Column]:
+def statistics(name: str, missing: str) -> list[Column]:
     """Mean, max and population standard deviation from the moments.
 
     Σw(s-μ)² = n·(cov(ws, s) - μ·cov(w, s)): centred co-moments merge without the cancellation
@@ -118,21 +118,21 @@ def zonal_multi(
     """
     if missing not in ("skip", "zero"):
         raise ValueError(f"unknown missing mode {missing!r}")
-    labels = [c for c in LABELS if c in df.columns] if labels is None else labels
+    labels = labels_of(df) if labels is None else labels
     columns = list(dict.fromkeys(values.values()))
     some = F.coalesce(*[F.col(c).cast("double") for c in columns]).isNotNull()
     cells = df.filter(some).select(*CELL, *labels, *columns)
     weights = zone_cells.select(*ZONE, *CELL, "coverage")
     keys = [*ZONE, *labels]
-    moments = join_cells(cells, weights).groupBy(*keys).agg(*[m for c in columns for m in _moments(c, c)])
+    sums = join_cells(cells, weights).groupBy(*keys).agg(*[m for c in columns for m in moments(c, c)])
     if missing == "zero":
         zones = weights.groupBy(*ZONE).agg(F.sum("coverage").alias("zone_weight"), F.count(F.lit(1)).alias("zone_cells"))
         wanted = labels_by_zone(zones, df if combos is None else combos, labels) if labels else zones
-        moments = wanted.join(moments, keys, "left")
+        sums = wanted.join(sums, keys, "left")
     results = [
-        F.struct(F.lit(label).alias("scoring"), *_statistics(column, missing)) for label, column in values.items()
+        F.struct(F.lit(label).alias("scoring"), *statistics(column, missing)) for label, column in values.items()
     ]
-    out = moments.select(*keys, F.inline(F.array(*results)))
+    out = sums.select(*keys, F.inline(F.array(*results)))
     return out if missing == "zero" else out.filter(F.col("score_mean").isNotNull())
 
 
@@ -144,7 +144,7 @@ def zonal_stats(
     The join key is the cell, which no zone or hazard can skew; the aggregate by zone combines
     before its shuffle, so a zone that holds a third of all cells costs no more than another.
     """
-    labels = [c for c in LABELS if c in scored.columns]
+    labels = labels_of(scored)
     stats = zonal_multi(scored.withColumnRenamed("scoring", "_scale"), zone_cells, {"": value}, missing,
                         ["_scale" if c == "scoring" else c for c in labels],
                         None if combos is None else combos.withColumnRenamed("scoring", "_scale"))

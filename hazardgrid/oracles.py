@@ -171,8 +171,18 @@ TOUCHED = [_EDGES, _NEAR, _INSIDE, _PIECES, _TOUCHED]
 COVER = [_EDGES, _NEAR, _PIECES, _COVER]
 
 add("zone_cells_center", ("edges_fx",), CENTER, "SELECT * FROM zc")
+oracle("zones_to_edges", "SELECT gadm_id, gid0, part, ring, CAST(seq AS INT) AS seq, x1, y1, x2, y2 FROM edges_fx", "edges_fx")
+# Even-odd on points between the quarters of a cell, on which all vertices lie: no signs, exact shares.
+_QUARTERS = """pt AS (SELECT gadm_id, gid0, r, c, r + (q + 0.5) / 4 AS py, c + (p + 0.5) / 4 AS px
+  FROM near CROSS JOIN range(4) a(q) CROSS JOIN range(4) b(p)),
+ins AS (SELECT pt.gadm_id, pt.gid0, r, c, px, py,
+  COUNT(CASE WHEN (y1 <= py) <> (y2 <= py) AND x1 + (py - y1) * (x2 - x1) / (y2 - y1) <= px THEN 1 END) % 2 AS odd
+  FROM pt JOIN e USING (gadm_id) GROUP BY ALL)"""
+add("zone_cells_winding", ("windings_fx",), [_EDGES.replace("edges_fx", "windings_fx"), _NEAR, _QUARTERS],
+    "SELECT gadm_id, gid0, r AS lat_idx, c AS lon_idx, SUM(odd) / 16 AS coverage FROM ins GROUP BY ALL HAVING coverage > 0")
 add("zone_cells_touched", ("edges_fx",), TOUCHED, "SELECT * FROM zc")
 add("zone_cells_coverage", ("edges_fx",), COVER, "SELECT gadm_id, gid0, lat_idx, lon_idx, ROUND(coverage, 6) AS coverage FROM zc")
+ORACLES["zone_cells_wkb"] = ORACLES["zone_cells_coverage"]
 
 add("clip_to_zones", ("cells_fx", "edges_fx"), CENTER, """SELECT hazard, l_orderkey, l_linenumber, lat_idx, lon_idx FROM cells_fx, (
   SELECT MIN(lat_idx) AS r0, MAX(lat_idx) AS r1, MIN(lon_idx) AS c0, MAX(lon_idx) AS c1 FROM zc WHERE gid0 = 'NATION_7') b
@@ -236,6 +246,8 @@ UNION ALL SELECT hazard, s.scenario, time, lat_idx, lon_idx, value FROM cells_fx
 
 oracle("ensemble_mean", """SELECT hazard, scenario, time, lat_idx, lon_idx, ROUND(AVG(value), 6) AS value, 'mean' AS statistic
 FROM cells_fx GROUP BY hazard, scenario, time, lat_idx, lon_idx""", "cells_fx")
+oracle("ensemble_extra_dim", """SELECT hazard, scenario, time, metric AS percentile, lat_idx, lon_idx, ROUND(AVG(value), 6) AS value, 'mean' AS statistic
+FROM cells_fx GROUP BY ALL""", "cells_fx")
 
 
 def _bounds(source: str, value: str, lo=("RCP45", "Cc"), hi=("RCP85", "Lt"), by: str = "") -> str:
@@ -283,6 +295,11 @@ _HEAT = "heat AS (SELECT scenario, time, lat_idx, lon_idx, {five} AS s5, {ten} A
 add("zonal_stats", ("edges_fx", "grid_fx"), [*CENTER, _HEAT], _dense_zonal("heat", "5", "s5"))
 add("zonal_multi", ("edges_fx", "grid_fx"), [*TOUCHED, _HEAT],
     _dense_zonal("heat", "5", "s5") + " UNION ALL " + _dense_zonal("heat", "10", "s10"))
+_MIN_MAX = "heat AS (SELECT scenario, time, lat_idx, lon_idx, {score} AS s5 FROM grid_fx WHERE lat_idx <> 41)"
+for _name, _value, _where in (("aggregate_clip", "value", "gid0 IN ('NATION_7', 'NATION_8')"), ("aggregate_countries", "(value / 2)", "gid0 NOT IN ('NATION_3', 'NATION_5')")):
+    # Row 41 has the latitude of row 40, so it goes; labels are those of all cells.
+    add(_name, ("edges_fx", "grid_fx"), [*CENTER[:-1], _CENTER.replace("AS (SELECT", "AS (SELECT * FROM (SELECT") + f" WHERE {_where})", _MIN_MAX.format(score=digitize(_value, "HS", "5"))],
+        _dense_zonal("heat", "5", "s5", "'HS' AS hazard, 1 AS gadm_level, "))
 add("aggregate_standard", ("edges_fx", "grid_fx"), [*COVER, _HEAT],
     " UNION ALL ".join(_dense_zonal("heat", k, f"s{k}", "'HS' AS hazard, 1 AS gadm_level, ") for k in ("5", "10")))
 _GRID_BOUNDS = f"b AS ({_bounds('grid_fx', 'value')})"
@@ -293,7 +310,8 @@ add("zonal_stats_weighted", ("edges_fx", "grid_fx"), [
 
 # --- windows, sorts, sets ------------------------------------------------------------------------
 
-_FWI = "fwi AS (SELECT scenario, time, lat_idx, lon_idx, CASE WHEN value >= 46 THEN value END AS fwi FROM grid_fx)"
+_FWI = """fwi AS (SELECT scenario, time, lat_idx, lon_idx,
+  CASE WHEN (lat_idx * 7 + lon_idx * 3) % 5 <> 0 AND (FLOOR(lon_idx / 12) + lat_idx) % 3 <> 0 THEN value END AS fwi FROM grid_fx)"""
 _DENSE = f"""dense AS (SELECT k.scenario, k.time, k.lat_idx, k.lon_idx, f.fwi FROM (
   SELECT scenario, time, CAST(r AS INT) AS lat_idx, CAST(c AS INT) AS lon_idx
   FROM (SELECT DISTINCT scenario, time FROM fwi) CROSS JOIN range(0, {N_LAT}) t(r)
@@ -481,14 +499,20 @@ CAST({score} AS DOUBLE) AS score_mean, CAST(NULL AS DOUBLE) AS score_stdev FROM
 
 
 _FLOOD_VIEWS = ("cells_fx", "static_fx", "edges_fx")
-add("rp_weighted_rf", _FLOOD_VIEWS, [*_flood_ctes("RF"), *CENTER], _classes("RF", _risk("5")))
+add("rp_weighted_rf", (*_FLOOD_VIEWS, "zones_fx"), [
+    *_flood_ctes("RF"), *CENTER, f"known AS ({_classes('RF', _risk('5'))})",
+    """listed AS (SELECT UNNEST([GID_1, GID_1 || '_islet']) AS gadm_id, GID_0 AS gid0 FROM zones_fx),
+labels AS (SELECT DISTINCT scenario, time FROM fl)""",
+], """SELECT gadm_id, gid0, scenario, time, statistic, scoring, score_max, score_mean, score_stdev FROM known
+UNION ALL SELECT l.gadm_id, l.gid0, k.scenario, k.time, 'mean', '5', NULL, CAST(0 AS DOUBLE), NULL
+FROM listed l CROSS JOIN labels k WHERE l.gadm_id NOT IN (SELECT gadm_id FROM known)""")
 add("rp_weighted_cf", (*_FLOOD_VIEWS, "coast_fx"), [*_flood_ctes("CF"), *CENTER], _classes("CF", _risk("5", "coast_fx")))
 add("weighted_risk", _FLOOD_VIEWS, [*_flood_ctes("RF"), *COVER],
     " UNION ALL ".join(
         f"SELECT * REPLACE (ROUND(score_max, 7) AS score_max, ROUND(weighted_risk, 7) AS weighted_risk) FROM ({_risk(k)})" for k in ("5", "10")
     ))
 add("calibrate_bins", _FLOOD_VIEWS, [*_flood_ctes("RF"), *CENTER, f"risk AS ({_risk('5')} UNION ALL {_risk('10')})"],
-    "SELECT scoring, " + ", ".join(f"ROUND(QUANTILE_CONT(weighted_risk, 0.{q}), 7) AS q{q}0" for q in (2, 4, 6, 8))
+    "SELECT scoring, " + ", ".join(f"ROUND(list_sort(list(weighted_risk))[CAST(CEIL(COUNT(*) * 0.{q}) AS BIGINT)], 7) AS q{q}0" for q in (2, 4, 6, 8))
     + " FROM risk WHERE weighted_risk > 0 GROUP BY scoring")
 
 
@@ -523,7 +547,13 @@ def _combined(column: str, scale: str, scenario: str, views=("stats_fx", "zones_
 
 
 ORACLES["combined_mean"] = _combined("score_mean", "5", "RCP85")
-ORACLES["write_combined"] = f"SELECT * EXCLUDE (VARNAME_1) FROM ({_combined('score_mean', '5', 'RCP85')})"
+ORACLES["write_combined"] = ORACLES["combined_mean"]
+add("combined_first", ("stats_fx", "zones_fx"), [
+    """o AS (SELECT hazard, time, gadm_id, scenario, score_mean FROM stats_fx
+  WHERE scoring = '5' AND scenario <> 'HISTORICAL' AND (scenario = 'RCP85' OR time <> 'Mt'))""",
+    f"sel AS (SELECT hazard, time, gadm_id, {_rounded('5', 'score_mean')} AS v FROM o QUALIFY ROW_NUMBER() OVER (PARTITION BY hazard, time, gadm_id ORDER BY scenario) = 1)",
+    f"w AS ({_pivot('v', 'sel')})",
+], f"SELECT {_META1}, {_filled('INT')} FROM zones_fx z LEFT JOIN w ON z.GID_1 = w.gadm_id")
 ORACLES["combined_max"] = _combined("score_max", "10", "RCP45")
 ORACLES["combined_std"] = _combined("score_stdev", "10", "RCP85", kind="DOUBLE")
 ORACLES["combined_country"] = _combined("score_mean", "5", "RCP45", ("country_stats_fx", "countries_fx"), meta="GID_0, COUNTRY")
@@ -534,15 +564,86 @@ add("combined_hundred", ("stats_fx", "zones_fx"), [
     f"w AS ({_pivot('v', 's')})",
 ], f"SELECT {_META1}, {_filled('DOUBLE')} FROM zones_fx z LEFT JOIN w ON z.GID_1 = w.gadm_id")
 
-# Province means over all cells of the province, absent ones as 0, for all hazards at once.
-add("flagship", ("edges_fx", "hazard_grid_fx", "zones_fx"), [
-    *CENTER,
-    f"sg AS (SELECT hazard, scenario, time, lat_idx, lon_idx, {by_hazard('value', '5')} AS s FROM hazard_grid_fx)",
-    "zw AS (SELECT gadm_id, SUM(coverage) AS total FROM zc GROUP BY 1)",
-    """zs AS (SELECT k.gadm_id, k.hazard, k.time, round_even(CAST(COALESCE(SUM(z.s * z.coverage), 0) / ANY_VALUE(k.total) AS DOUBLE), 0) AS v
-  FROM (SELECT * FROM zw CROSS JOIN (SELECT DISTINCT hazard, scenario, time FROM sg WHERE scenario = 'RCP85')) k
-  LEFT JOIN (SELECT zc.gadm_id, zc.coverage, sg.* FROM zc JOIN sg USING (lat_idx, lon_idx) WHERE scenario = 'RCP85') z
-    ON z.gadm_id = k.gadm_id AND z.hazard = k.hazard AND z.time = k.time
-  GROUP BY 1, 2, 3)""",
-    f"w AS ({_pivot('v', 'zs')})",
-], f"SELECT {_META1}, {_filled('INT')} FROM zones_fx z LEFT JOIN w ON z.GID_1 = w.gadm_id")
+# --- the whole run -------------------------------------------------------------------------------
+
+# Province means over all cells of the province, absent ones as 0; classes for the floods.
+_RUN_RP = "('CF', 'RF', 'TC', 'TS')"
+_RUN = f"""src AS (SELECT hazard, scenario, time, lat_idx, lon_idx,
+  (CASE WHEN hazard IN {_RUN_RP} THEN rp ELSE value END) / (CASE hazard WHEN 'HP' THEN 64 WHEN 'SUB' THEN 10 ELSE 1 END) AS v FROM hazard_grid_fx)"""
+
+
+def _of(code: str, columns: str = "scenario, time, lat_idx, lon_idx, v") -> str:
+    return f"(SELECT {columns} FROM src WHERE hazard = '{code}')"
+
+
+_RUN_FIRE = [
+    f"fwi AS {_of('WF', 'scenario, time, lat_idx, lon_idx, v AS fwi')}",
+    _DENSE, *_fill("dense", "lonf", "lon_idx", "lat_idx", 30), *_fill("lonf", "latf", "lat_idx", "lon_idx", 30),
+    """wf AS (SELECT f.scenario, f.time, f.lat_idx, f.lon_idx, protection * fwi AS v FROM latf f
+  JOIN static_fx s ON f.lat_idx = s.lat_idx AND f.lon_idx = s.lon_idx WHERE protection IS NOT NULL)""",
+]
+
+
+def _run_scores(scale: str) -> list[str]:
+    """Scores of all hazards but the floods, and a table of scores for each flood."""
+    parts, ctes = [], []
+    for code, s in SETTINGS.items():
+        if s.kind in ("special_rf", "special_cf"):
+            continue
+        rows = {"special_ls": f"""(SELECT scenario, time, l.lat_idx, l.lon_idx, ({digitize('v', 'LS', '5', 'thresholds_ari')}) * ({digitize('protection', 'LS', '5', 'thresholds_susceptibility')}) AS v
+  FROM {_of('LS')} l JOIN static_fx s ON l.lat_idx = s.lat_idx AND l.lon_idx = s.lon_idx)""", "special_wf": "wf"}.get(s.kind, _of(code))
+        if scale == "100":
+            v = f"v * {_num(s.scale_factor)}" if s.scale_factor else "v"
+            source = f"(SELECT scenario, time, lat_idx, lon_idx, {v} AS v FROM {rows})"
+            bounds = _bounds(source, "v", ("RCP85", s.ref_time or "Cc"), ("RCP85", s.ref_time or "Lt"))
+            ctes += [f"v_{code} AS (SELECT * FROM {source})", f"b_{code} AS ({bounds.replace(source, f'v_{code}')})"]
+            parts.append(f"SELECT '{code}' AS hazard, scenario, time, lat_idx, lon_idx, CAST(CAST({minmax('v')} AS FLOAT) AS DOUBLE) AS s FROM v_{code}, b_{code}")
+        else:
+            v = f"v * {_num(s.scale_factor)}" if s.scale_factor else "v"
+            score = digitize(v, code, scale, "thresholds_final" if code == "LS" else None)
+            parts.append(f"SELECT '{code}' AS hazard, scenario, time, lat_idx, lon_idx, {score} AS s FROM {rows}")
+    ctes.append(f"sg AS ({' UNION ALL '.join(parts)})")
+    filled = """SELECT scenario, time, lat_idx, lon_idx, v FROM {0} WHERE scenario <> 'HISTORICAL' AND time <> 'Cc' UNION ALL
+  SELECT k.scenario, time, lat_idx, lon_idx, v FROM {0} m CROSS JOIN (SELECT DISTINCT scenario FROM {0} WHERE scenario <> 'HISTORICAL') k
+  WHERE m.scenario = 'HISTORICAL' AND time = 'Cc'""".format(_of("RF"))
+    for code, rows in (("RF", f"({filled})"), ("CF", _of("CF"))):
+        ctes += [f"i_{code} AS (SELECT * FROM {rows})", f"bf_{code} AS ({_bounds(f'i_{code}', 'v', ('RCP85', 'Cc'))})"]
+        score = minmax("v") if scale == "100" else digitize("v", code, scale)
+        lowered = f"CASE WHEN ({score}) IS NULL OR protection IS NULL THEN NULL ELSE GREATEST(({score}) - protection * {PROTECTION_FACTOR[scale]}, 0) END"
+        ctes.append(f"""f_{code} AS (SELECT i.scenario, i.time, i.lat_idx, i.lon_idx, CAST(CAST({lowered} AS FLOAT) AS DOUBLE) AS s{scale}
+  FROM i_{code} i JOIN static_fx s ON i.lat_idx = s.lat_idx AND i.lon_idx = s.lon_idx, bf_{code})""")
+    return ctes
+
+
+_RUN_ZONES = """zw AS (SELECT gadm_id, gid0, SUM(coverage) AS total FROM zc GROUP BY ALL),
+zs AS (SELECT k.gadm_id, k.hazard, k.scenario, k.time, COALESCE(SUM(z.s * z.coverage), 0) / ANY_VALUE(k.total) AS m
+  FROM (SELECT zw.*, l.* FROM zw CROSS JOIN (SELECT DISTINCT hazard, scenario, time FROM sg) l) k
+  LEFT JOIN (SELECT zc.gadm_id, zc.coverage, sg.* FROM zc JOIN sg USING (lat_idx, lon_idx)) z
+    ON z.gadm_id = k.gadm_id AND z.hazard = k.hazard AND z.scenario = k.scenario AND z.time = k.time
+  GROUP BY 1, 2, 3, 4)"""
+_RUN_VIEWS = ("hazard_grid_fx", "static_fx", "edges_fx", "zones_fx", "coarse_coast_fx")
+
+
+def _run_coast() -> list[str]:
+    return [x.replace("grid_fx", "f_CF_axes") for x in (_nearest("lat"), _nearest("lon"))] + [_COAST]
+
+
+_CF_AXES = "f_CF_axes AS (SELECT lat_idx, lon_idx, lat_idx + CAST(0.5 AS DOUBLE) AS lat, lon_idx + CAST(0.5 AS DOUBLE) AS lon FROM f_CF)"
+_FIVE_STATS = "SELECT gadm_id, hazard, time, round_even(CAST(m AS DOUBLE), 0) AS v FROM zs WHERE scenario = 'RCP85'" + "".join(
+    f" UNION ALL SELECT gadm_id, '{code}', time, score_mean FROM ({_classes(code, _risk('5', coast).replace(' fl', f' f_{code}'))}) WHERE scenario = 'RCP85'"
+    for code, coast in (("RF", None), ("CF", "coast"))
+)
+add("full_run_five", _RUN_VIEWS, [_RUN, *_RUN_FIRE, *_run_scores("5"), *CENTER, _CF_AXES, *_run_coast(), _RUN_ZONES, f"st AS ({_FIVE_STATS})", f"w AS ({_pivot('v', 'st')})"],
+    f"SELECT {_META1}, {_filled('INT')} FROM zones_fx z LEFT JOIN w ON z.GID_1 = w.gadm_id")
+ORACLES["flagship"] = ORACLES["full_run_five"]
+_FLOOD_MEANS = " UNION ALL ".join(
+    f"""SELECT gadm_id, '{code}' AS hazard, scenario, time, SUM(coverage * s100) / SUM(coverage) AS m FROM zc JOIN f_{code} USING (lat_idx, lon_idx)
+  WHERE s100 IS NOT NULL GROUP BY ALL""" for code in ("RF", "CF")
+)
+add("full_run_hundred", _RUN_VIEWS, [
+    _RUN, *_RUN_FIRE, *_run_scores("100"), *CENTER, _RUN_ZONES,
+    f"l AS (SELECT gadm_id, hazard, scenario, time, round_even(CAST(m AS DOUBLE), 2) AS v FROM (SELECT * FROM zs UNION ALL {_FLOOD_MEANS}) WHERE gadm_id IN (SELECT GID_1 FROM zones_fx))",
+    _HB.format(v="v", source="l"),
+    f"st AS (SELECT hazard, time, gadm_id, {_STRETCH.format(v='v')} AS v FROM l LEFT JOIN hb USING (hazard) WHERE scenario = 'RCP85')",
+    f"w AS ({_pivot('v', 'st')})",
+], f"SELECT {_META1}, {_filled('DOUBLE')} FROM zones_fx z LEFT JOIN w ON z.GID_1 = w.gadm_id")

@@ -7,16 +7,20 @@ import logging
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardgrid.operators.prepare import dedupe_coords, drop_singleton_dims, prefer_statistic, split_hundred
+from hazardgrid.catalog import QUANTILE_BINS
+from hazardgrid.operators.prepare import axis_of, dedupe_coords, drop_singleton_dims, prefer_statistic, scored_dims, tidy_scored
 from hazardgrid.operators.regrid import coast_on_grid
-from hazardgrid.operators.weighted import rp_weighted
+from hazardgrid.operators.weighted import flood_statistics
 from hazardgrid.operators.zonal import clip_to_zones, zonal_stats
 from hazardgrid.schema import HAZARD_STATS
+from hazardgrid.sources.stage import stage, unstage
 from hazardgrid.sources.writers import write_hazard_stats
 
 log = logging.getLogger(__name__)
 
 WEIGHTED = ("CF", "RF")
+#: Countries left out of every aggregation unless asked for.
+SKIPPED = ("ATA",)
 
 
 def _tidy(df: DataFrame, hazard: str, level: int) -> DataFrame:
@@ -26,11 +30,21 @@ def _tidy(df: DataFrame, hazard: str, level: int) -> DataFrame:
 
 
 def prepare_scored(scored: DataFrame) -> DataFrame:
-    """One statistic, no leftover single-label dims, one row per coordinate."""
+    """One statistic, no leftover single-label dims, one row per coordinate; for several hazards.
+
+    Each of the three steps looks at the table; ``aggregate_hazard`` needs one look for all.
+    """
     df = drop_singleton_dims(prefer_statistic(scored))
     return dedupe_coords(df) if {"lat", "lon"} <= set(df.columns) else df
 
 
+def in_countries(zones: DataFrame, countries: tuple[str, ...] | None = None, skip: tuple[str, ...] = SKIPPED) -> DataFrame:
+    """Zones (or their cells) of the countries named, by default of all but those skipped."""
+    if countries is not None:
+        return zones.filter(F.col("gid0").isin(*countries))
+    return zones.filter(~F.col("gid0").isin(*skip)) if skip else zones
+
+
 def aggregate_hazard(
     scored: DataFrame,
     zone_cells: DataFrame,
@@ -38,44 +52,74 @@ def aggregate_hazard(
     level: int = 1,
     coast: DataFrame | None = None,
     coast_aligned: bool = False,
-    prepare: bool = True,
     clip: bool = False,
+    countries: tuple[str, ...] | None = None,
+    skip: tuple[str, ...] = SKIPPED,
+    zones: DataFrame | None = None,
+    order: tuple[str, ...] = (),
+    bins: dict = QUANTILE_BINS,
+    dims: DataFrame | None = None,
 ) -> DataFrame:
     """Statistics of one hazard for all zones of a level at once.
 
     Most hazards: plain zonal statistics with missing cells as 0. CF and RF: return-period
     weighting for the threshold scales (CF over coastal cells) and plain statistics without zero
-    filling for the 0–100 scale. ``clip`` reads only the box the zones cover, for runs over some
-    countries; label combinations are then those that occur in the box.
+    filling for the 0–100 scale.
+
+    The scores are read twice at most: once for ``dims``, the small table of their labels and axes
+    (``scored_dims``, staged by the caller or here), and once joined with the zones. The choice of the
+    statistic, of labels to drop and of coordinates is made on the whole table; ``clip`` narrows only
+    the cells that enter the join to the box the zones cover. ``countries`` names those to work on
+    (default: all but ``skip``), ``zones`` (``gadm_id``, ``gid0``) adds zones without cells to the weighted
+    statistics, ``order`` is the order of the statistics labels where ``mean`` is missing, and ``bins``
+    takes calibrated bins (``bins_of``).
     """
-    df = clip_to_zones(scored, zone_cells) if clip else scored
-    df = prepare_scored(df) if prepare else df
-    df = df.filter(F.col("hazard") == hazard) if "hazard" in df.columns else df
+    df = scored.filter(F.col("hazard") == hazard) if "hazard" in scored.columns else scored
+    dims = stage(scored_dims(df), f"dims-{hazard}", reuse=False) if dims is None else dims
+    df, combos = tidy_scored(df, dims, order)
+    cells = in_countries(zone_cells, countries, skip)
+    df = clip_to_zones(df, cells) if clip else df
     if hazard not in WEIGHTED:
-        return _tidy(zonal_stats(df, zone_cells, missing="zero"), hazard, level)
+        return _tidy(zonal_stats(df, cells, missing="zero", combos=combos), hazard, level)
     if hazard == "CF":
         if coast is None:
             raise ValueError("CF needs the coast mask")
-        coast = coast if coast_aligned else coast_on_grid(coast, df)
-    discrete, hundred = split_hundred(df)
-    weighted = rp_weighted(discrete, zone_cells, hazard, level, coast if hazard == "CF" else None)
-    plain = zonal_stats(hundred, zone_cells, missing="skip")
-    return _tidy(weighted.unionByName(plain, allowMissingColumns=True), hazard, level)
+        coast = coast if coast_aligned else coast_on_grid(coast, axes=(axis_of(dims, "lat"), axis_of(dims, "lon")))
+    listed = None if zones is None else in_countries(zones, countries, skip)
+    return _tidy(flood_statistics(df, cells, hazard, combos, level, coast if hazard == "CF" else None, bins, listed), hazard, level)
 
 
 def aggregate_all(
-    scored: dict[str, DataFrame], zone_cells: dict[int, DataFrame], levels=(1,), coast: DataFrame | None = None, out: str | None = None
+    scored: dict[str, DataFrame],
+    zone_cells: dict[int, DataFrame],
+    levels=(1,),
+    coast: DataFrame | None = None,
+    out: str | None = None,
+    zones: dict[int, DataFrame] | None = None,
+    **options,
 ) -> tuple[dict[tuple[str, int], DataFrame], dict[tuple[str, int], Exception]]:
-    """Aggregate every hazard and level; one that fails is logged and the rest go on."""
+    """Aggregate every hazard and level; one that fails is logged and the rest go on.
+
+    With ``out`` the statistics are written there and what was staged for them is deleted.
+    """
     done, failed = {}, {}
     for code, df in scored.items():
+        dims = None
+        try:
+            dims = stage(scored_dims(df), f"dims-{code}", reuse=False)
+        except Exception as error:  # noqa: BLE001 - one hazard must not stop the others
+            log.error("%s: aggregation failed: %s", code, error)
+            failed |= {(code, level): error for level in levels}
+            continue
         for level in levels:
             try:
-                stats = aggregate_hazard(df, zone_cells[level], code, level, coast)
+                stats = aggregate_hazard(df, zone_cells[level], code, level, coast, zones=(zones or {}).get(level), dims=dims, **options)
                 if out is not None:
                     write_hazard_stats(stats, out)
                 done[code, level] = stats
             except Exception as error:  # noqa: BLE001 - one hazard must not stop the others
                 log.error("%s, level %s: aggregation failed: %s", code, level, error)
                 failed[code, level] = error
+        if out is not None:
+            unstage(df.sparkSession, dims)
     return done, failed

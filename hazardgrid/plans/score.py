@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardgrid.catalog import CATALOG, PROTECTION_FACTOR, SETTINGS, HazardSettings, thresholds
@@ -13,8 +14,9 @@ from hazardgrid.functions import composite, minmax_score, protect, threshold_sco
 from hazardgrid.operators.align import align, ensemble_mean, fill_current_climate
 from hazardgrid.operators.gapfill import gap_fill
 from hazardgrid.operators.prepare import drop_singleton_dims, scale_values, select_metric
-from hazardgrid.operators.scoring import fan_out, minmax_bounds, with_bounds
-from hazardgrid.schema import CELL
+from hazardgrid.operators.scoring import bounds_of, fan_out, minmax_bounds, with_bounds
+from hazardgrid.schema import CELL, GridSpec
+from hazardgrid.sources.stage import stage
 from hazardgrid.sources.writers import write_scored
 
 log = logging.getLogger(__name__)
@@ -50,6 +52,40 @@ def score_standard(
     return _scored(df, value, columns, hundred, (s.ref_scenario, s.ref_time))
 
 
+def score_many(cells: DataFrame, codes: tuple[str, ...], value: str, scales=DEFAULT_SCALES, catalog: dict = CATALOG) -> DataFrame:
+    """``score_standard`` of several hazards that share a table, from one scan of it.
+
+    The hazard's metric, factor and thresholds are picked by CASE expressions; the bounds of the
+    0–100 scale take a second scan that leaves one row per hazard, scenario and time. Labels stay as
+    they are (aggregation drops those with a single value), but a chosen metric's is NULL.
+    """
+    plain, hundred = _split(scales)
+
+    def by_code(pick: Callable[[str], Column | None], other: Column) -> Column:
+        arms = {code: pick(code) for code in codes}
+        return reduce(lambda e, c: e if arms[c] is None else F.when(F.col("hazard") == c, arms[c]).otherwise(e), codes, other)
+
+    df = cells.filter(F.col("hazard").isin(*codes))
+    if "metric" in df.columns:
+        chosen = by_code(lambda c: F.lit(SETTINGS[c].metric_select) if SETTINGS[c].metric_select else None, F.lit(None).cast("string"))
+        df = df.filter(chosen.isNull() | (F.col("metric") == chosen)).withColumn("metric", F.when(chosen.isNull(), F.col("metric")))
+    factor = by_code(lambda c: F.lit(float(SETTINGS[c].scale_factor)) if SETTINGS[c].scale_factor else None, F.lit(1.0))
+    df = df.withColumn(value, F.col(value) * factor)
+    missing = F.lit(None).cast("double")
+    columns = {k: by_code(lambda c, k=k: threshold_score(F.col(value), *thresholds(c, k, catalog=catalog)).cast("double"), missing) for k in plain}
+    if not hundred:
+        return fan_out(df, columns)
+    v = F.when(~F.isnan(F.col(value).cast("double")), F.col(value).cast("double"))
+    axes = [c for c in ("scenario", "time") if c in df.columns]
+    slices = stage(df.groupBy("hazard", *axes).agg(F.min(v).alias("_min"), F.max(v).alias("_max")), "slices", reuse=False)
+    refs: dict[tuple, list[str]] = {}
+    for code in codes:
+        refs.setdefault((SETTINGS[code].ref_scenario, SETTINGS[code].ref_time), []).append(code)
+    bounds = reduce(DataFrame.unionByName, [bounds_of(slices.filter(F.col("hazard").isin(*group)), ["hazard"], *ref) for ref, group in refs.items()])
+    columns["100"] = minmax_score(F.col(value), F.col("_lo"), F.col("_hi"))
+    return fan_out(with_bounds(df, bounds), columns)
+
+
 def score_sub(cells: DataFrame, value: str, scales=DEFAULT_SCALES, settings: HazardSettings | None = None, catalog: dict = CATALOG) -> DataFrame:
     """Subsidence: the input is doubled for the 10-point scale only."""
     s = settings or SETTINGS["SUB"]
@@ -98,10 +134,11 @@ def score_ls(
 
 
 def fire_composite(
-    fwi: DataFrame, burnability: DataFrame, n_lat: int, n_lon: int, fwi_col: str = "fwi", burn_col: str = "burnability", limit: int = 30
+    fwi: DataFrame, burnability: DataFrame, n_lat: int, n_lon: int, fwi_col: str = "fwi", burn_col: str = "burnability", limit: int = 30,
+    grid: GridSpec | None = None,
 ) -> DataFrame:
     """Burnability × gap-filled fire weather, on the burnable footprint only."""
-    filled = gap_fill(fwi, fwi_col, n_lat, n_lon, limit)
+    filled = gap_fill(fwi, fwi_col, n_lat, n_lon, limit, grid)
     footprint = burnability.filter(F.col(burn_col).isNotNull())
     return align(filled, footprint).withColumn("composite", composite(F.col(burn_col), F.col(fwi_col)))
 
@@ -116,11 +153,15 @@ def score_wf(
     burn_col: str = "burnability",
     settings: HazardSettings | None = None,
     catalog: dict = CATALOG,
+    grid: GridSpec | None = None,
 ) -> DataFrame:
-    """Wildfire: score the composite of burnability and fire weather."""
+    """Wildfire: score the composite of burnability and fire weather.
+
+    With ``grid`` the scores carry coordinates, as those of the other hazards do.
+    """
     s = settings or SETTINGS["WF"]
     plain, hundred = _split(scales)
-    df = fire_composite(fwi, burnability, n_lat, n_lon, fwi_col, burn_col)
+    df = fire_composite(fwi, burnability, n_lat, n_lon, fwi_col, burn_col, grid=grid)
     columns = {k: threshold_score(F.col("composite"), *thresholds("WF", k, catalog=catalog)) for k in plain}
     return _scored(df, "composite", columns, hundred, (s.ref_scenario, s.ref_time))
 
@@ -179,14 +220,15 @@ def score_hazard(
     value: str | None = None,
     static_col: str | None = None,
     scales=DEFAULT_SCALES,
-    raster: tuple[int, int] | None = None,
+    raster: tuple[int, int] | GridSpec | None = None,
     out: str | None = None,
     catalog: dict = CATALOG,
 ) -> DataFrame:
     """Score one hazard by its type; with ``out`` also upsert the scores there.
 
     ``static`` is the variable without scenario and time that the special hazards need:
-    susceptibility, burnability or flood protection. ``raster`` is (rows, columns) for wildfire.
+    susceptibility, burnability or flood protection. ``raster`` is the grid, or (rows, columns), of
+    wildfire.
     """
     if code not in SETTINGS:
         raise ValueError(f"unknown hazard {code!r}")
@@ -198,7 +240,9 @@ def score_hazard(
     elif s.kind == "special_wf":
         if raster is None:
             raise ValueError("WF needs the raster size")
-        scored = score_wf(cells, static, *raster, scales, value or "fwi", static_col or "burnability", catalog=catalog)
+        grid = raster if isinstance(raster, GridSpec) else None
+        size = (raster.n_lat, raster.n_lon) if grid else raster
+        scored = score_wf(cells, static, *size, scales, value or "fwi", static_col or "burnability", catalog=catalog, grid=grid)
     elif s.kind in ("special_rf", "special_cf"):
         flood = score_rf if s.kind == "special_rf" else score_cf
         scored = flood(cells, static, value or s.variable, static_col or s.protection, scales, catalog=catalog)

@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazardgrid.operators.geometry import ring_edges, zone_cells
-from hazardgrid.plans import aggregate_hazard, full_run, score_all, score_cf, score_hazard, score_ls, score_rf, score_standard, score_sub, score_wf
+from hazardgrid.operators.prepare import scored_dims
+from hazardgrid.plans import aggregate_hazard, combine_only, full_run, score_all, score_cf, score_hazard, score_ls, score_many, score_rf, score_standard, score_sub, score_wf
 from hazardgrid.plans.aggregate import prepare_scored
+from hazardgrid.plans.full import PartialRun
 from hazardgrid.schema import GridSpec
 from hazardgrid.sources import readers, writers
 from hazardgrid.sources.stage import shared_dir, stage, stage_name, unstage
@@ -32,6 +34,18 @@ def test_standard_job_keeps_scenario_and_time(spark):
     assert by(out, "scoring") == {"5": 1.0, "10": 2.0}
 
 
+def test_many_hazards_from_one_scan(spark):
+    data = [(h, m, s, t, 0, c, v + c) for h, v in (("HP", 0.1), ("CS", -20.0), ("ER", 3.0), ("TC", 40.0)) for m in ("p5", "p95") for s in ("RCP45", "RCP85") for t in ("Cc", "St", "Lt") for c in range(3)]
+    df = spark.createDataFrame(data, "hazard string, metric string, " + CELLS)
+    codes, labels = ("HP", "CS", "ER", "TC"), ("hazard", "scenario", "time", "lon_idx", "scoring", "score")
+    many = score_many(df, codes, "v", ("5", "10", "100"))
+    each = [score_standard(df.filter(F.col("hazard") == c), c, "v", ("5", "10", "100")) for c in codes]
+    key = lambda frames: sorted(tuple(r[c] for c in labels) for f in frames for r in f.collect())
+    assert key([many]) == key(each)
+    assert {r["hazard"] for r in many.filter("metric IS NULL").collect()} == {"HP", "CS"}
+    assert score_many(df, codes, "v")._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+
+
 def test_subsidence_doubles_only_the_ten_point_scale(spark):
     df = spark.createDataFrame([("RCP85", "Cc", 0, 0, 1.0), ("RCP85", "Lt", 0, 1, 2.5)], CELLS)
     out = by(score_sub(df, "v", ("5", "10", "100")), "scoring", "lon_idx")
@@ -140,6 +154,45 @@ def test_hazards_with_different_labels_share_a_table(spark, tmp_path):
     assert prepare_scored(writers.read_scored(spark, path)).count() == 17
 
 
+def test_labels_outside_the_vocabulary_are_stored(spark, tmp_path):
+    path = str(tmp_path / "scored")
+    heat = spark.createDataFrame([("RCP85", "Cc", 0, c, 40.0, p) for c in range(2) for p in ("p5", "p95")], CELLS + ", percentile string")
+    score_hazard("HS", heat, value="v", scales=("5",), out=path)
+    score_hazard("WS", heat.drop("percentile").distinct(), value="v", scales=("5",), out=path)
+    assert writers.read_scored(spark, path, "HS").select("percentile", "lon_idx").distinct().count() == 4
+    assert "percentile" not in writers.read_scored(spark, path, "WS").columns
+    assert writers.read_scored(spark, path).filter("percentile IS NULL").count() == 2
+
+
+def scored_table(spark, path, n=24):
+    cells = spark.range(n * n).selectExpr("CAST(id / 24 AS INT) AS lat_idx", "CAST(id % 24 AS INT) AS lon_idx").selectExpr("*", "lat_idx + 0.5D AS lat", "lon_idx + 0.5D AS lon")
+    labels = spark.createDataFrame([(s, t, x) for s in ("RCP45", "RCP85") for t in ("Cc", "Lt") for x in ("mean", "max")], "scenario string, time string, statistic string")
+    values = cells.crossJoin(labels).withColumn("value", F.col("lat_idx") * 40.0)
+    static = cells.select("lat_idx", "lon_idx", F.lit(1.0).alias("p"))
+    inputs = values.drop("statistic").filter("statistic = 'mean'").withColumn("model", F.lit("M"))
+    score_hazard("HS", values, value="value", scales=("5", "10"), out=path)
+    for code in ("RF", "CF"):
+        score_hazard(code, inputs, static, "value", "p", ("5", "100"), out=path)
+    rings = [(f"Z{i}", "C", 0, 0, [(4.0 * i, 0.0), (4.0 * i + 4, 0.0), (4.0 * i + 4, 24.0), (4.0 * i, 24.0)]) for i in range(6)]
+    edges = ring_edges(spark.createDataFrame(rings, "gadm_id string, gid0 string, part int, ring int, points array<struct<x double, y double>>"))
+    coast = cells.withColumn("mask", F.when(F.col("lon_idx") < 9, 1.0).otherwise(0.0))
+    return stage(zone_cells(edges, GridSpec(0.5, 1.0, n, 0.5, 1.0, n)), "cells", reuse=False), coast
+
+
+@pytest.mark.parametrize("code", ["HS", "RF", "CF"])
+def test_scores_are_read_twice_at_most(spark, tmp_path, code):
+    path = str(tmp_path / "scored")
+    cells, coast = scored_table(spark, path)
+    scored = writers.read_scored(spark, path, code)
+    dims = stage(scored_dims(scored), "dims", reuse=False)
+    stats = aggregate_hazard(scored, cells, code, coast=coast, dims=dims)
+    plan = stats._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in plan.splitlines() if "Relation [" in line and "score#" in line]
+    # The scan for the dimensions is one, the one here the other.
+    assert len(scans) == 1
+    assert stats.count() > 0
+
+
 def test_stage_is_reused_until_its_input_changes(spark, tmp_path):
     source = str(tmp_path / "in")
     spark.range(5).write.parquet(source)
@@ -159,7 +212,7 @@ def test_stage_is_reused_until_its_input_changes(spark, tmp_path):
     kept = spark.read.parquet(source)
     unstage(spark, kept)  # not a stage
     assert kept.count() == 6
-    assert shared_dir(spark) == shared_dir(spark)
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
 def test_zone_sources(spark, tmp_path):
@@ -217,6 +270,8 @@ def test_full_run(spark, tmp_path):
         "CF": lambda: {"cells": flood_cells, "static": protection, "value": "v", "static_col": "p"},
     }
     base = str(tmp_path / "run")
+    stages = Path(shared_dir(spark).removeprefix("file:")) / "stages"
+    before = set(stages.glob("*"))
     tables = full_run(spark, inputs, {1: zone_cells(edges, grid)}, {1: meta}, base, scales=("5", "100"), coast=coast)
     mean = {r["GID_1"]: r for r in tables[1, "5", "mean", "RCP85"].collect()}
     assert (mean["X.1"]["HS_Lt"], mean["X.2"]["HS_Lt"], mean["X.1"]["ER_Lt"]) == (2, 5, 0)
@@ -225,7 +280,35 @@ def test_full_run(spark, tmp_path):
     assert (Path(base) / "combined/five/hazard_score_province_mean_85.csv").exists()
     assert (Path(base) / "combined/hundred/hazard_score_province_std_45.csv").exists()
     assert (Path(base) / "aggregations/RF_adm1.csv").exists()
+    assert set(stages.glob("*")) == before  # no stage stays
     exported = readers.read_hazard_stats(spark, f"{base}/aggregations", 1)
     assert {r[0] for r in exported.select("hazard").distinct().collect()} == {"HS", "RF", "CF"}
     with pytest.raises(ValueError):
         aggregate_hazard(score_hazard("CF", **inputs["CF"]()), zone_cells(edges, grid), "CF")
+
+    # A hazard that fails ends the run; where that is allowed, what an older run left isn't used.
+    broken = inputs | {"HS": lambda: {"cells": heat, "value": "no_such_column"}}
+    args = (spark, broken, {1: zone_cells(edges, grid)}, {1: meta}, base, ("5",))
+    with pytest.raises(PartialRun, match="scoring failed for .'HS'"):
+        full_run(*args, coast=coast)
+    some = full_run(*args, coast=coast, allow_partial=True)
+    assert {(r["HS_Lt"], r["RF_Cc"]) for r in some[1, "5", "mean", "RCP85"].collect()} == {(0, 5), (0, 4)}
+    with pytest.raises(PartialRun, match="aggregation failed for .*CF"):
+        full_run(spark, inputs, {1: zone_cells(edges, grid)}, {1: meta}, base, ("5",))
+    older = combine_only(spark, {1: meta}, base, scales=("5",), hazards=("RF",))
+    assert {r["HS_Lt"] for r in older[1, "5", "mean", "RCP85"].collect()} == {0}
+
+
+def test_clip_and_countries_leave_the_choices_to_the_whole_table(spark):
+    data = [("RCP85", "Cc", s, r, c, r + 0.5, c + 0.5, float(c + (s == "mean"))) for s in ("max", "mean") for r in range(2) for c in range(6) if s == "max" or c > 2]
+    data += [("RCP85", "Lt", "mean", 0, 5, 0.5, 5.5, 4.0)]
+    scored = spark.createDataFrame(data, "scenario string, time string, statistic string, lat_idx int, lon_idx int, lat double, lon double, score double").withColumn("scoring", F.lit("5"))
+    cells = spark.createDataFrame([(f"Z{c}", "ATA" if c == 5 else f"C{c}", r, c, 1.0) for r in range(2) for c in range(6)], "gadm_id string, gid0 string, lat_idx int, lon_idx int, coverage double")
+    stats = lambda **o: {(r["gadm_id"], r["time"]): r["score_mean"] for r in aggregate_hazard(scored, cells, "HS", **o).collect()}
+    whole = stats(skip=())
+    assert len(whole) == 12 and whole["Z0", "Lt"] == 0 and whole["Z4", "Cc"] == 5
+    for wanted in (("C0",), ("C1", "C3")):
+        part = {k: v for k, v in whole.items() if k[0].replace("Z", "C") in wanted}
+        assert stats(countries=wanted, clip=True) == stats(countries=wanted) == part
+    assert {z for z, _ in stats()} == {f"Z{c}" for c in range(5)}
+    assert stats(countries=("none",), clip=True) == {}
