@@ -140,17 +140,23 @@ def embedding_links(classes: DataFrame, axes: dict[int, np.ndarray], least: floa
     pairs = met.select("cell_a", "cell_b", F.inline(F.flatten(every))).filter((F.col("cell_a") != F.col("cell_b")) | (F.col("ta") <= F.col("tb")))
     pairs = saved(pairs.withColumn("pair", F.monotonically_increasing_id()), "tile-pairs")
     same = (F.col("cell_a") == F.col("cell_b")) & (F.col("ta") == F.col("tb"))
-    sides = pairs.select("pair", F.inline(F.when(same, F.array(F.struct(F.lit(0).alias("side"), F.col("cell_a").alias("cell"), F.col("ta").alias("t")))).otherwise(F.array(
+    sides = pairs.select("pair", F.inline(F.when(same, F.array(F.struct(F.lit(2).alias("side"), F.col("cell_a").alias("cell"), F.col("ta").alias("t")))).otherwise(F.array(
         F.struct(F.lit(0).alias("side"), F.col("cell_a").alias("cell"), F.col("ta").alias("t")),
         F.struct(F.lit(1).alias("side"), F.col("cell_b").alias("cell"), F.col("tb").alias("t")),
     ))))
     dealt = placed.join(sizes, "cell").withColumn("t", F.pmod(F.xxhash64("cid"), F.col("tiles"))).drop("tiles")
 
+    nothing = pa.table({c: pa.array([], pa.int64()) for c in ("cid", "links", "root")})
+
     def compare(table: pa.Table) -> pa.Table:
         table = table.sort_by([("side", "ascending"), ("cid", "ascending")]).combine_chunks()
         ids, weight, side = (table.column(c).to_numpy() for c in ("cid", "n", "side"))
-        u = _matrix(table.column("u").chunk(0)) if len(table) else np.zeros((0, 1))
-        counts, roots = tile_links(ids, weight, u, int(np.searchsorted(side, 1)) if len(side) and side[-1] == 1 else 0, least)
+        # Side 2 is a tile with itself; of two tiles one may have come out empty.
+        within = side[0] == 2
+        if not within and side[0] == side[-1]:
+            return nothing
+        u = _matrix(table.column("u").chunk(0))
+        counts, roots = tile_links(ids, weight, u, 0 if within else int(np.searchsorted(side, 1)), least)
         found = counts > 0
         return pa.table({"cid": ids[found], "links": counts[found], "root": ids[roots[found]]})
 
