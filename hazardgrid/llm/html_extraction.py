@@ -49,7 +49,8 @@ class Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, bool, int, int]] = []
-        self.stack: list[tuple[str, bool, int, int]] = [("", False, 0, -1)]  # name, hidden, group, content
+        # Name, hidden, group, content and whether text is dropped (hidden inline elements).
+        self.stack: list[tuple[str, bool, int, int, bool]] = [("", False, 0, -1, False)]
         self.parts: list[str] = []
         self.tags = 0
         self.made = 0
@@ -59,7 +60,7 @@ class Lines(HTMLParser):
         return j
 
     def flush_line(self) -> None:
-        _, hidden, group, content = self.stack[-1]
+        _, hidden, group, content, _ = self.stack[-1]
         # Bytes are cut at ASCII white space alone.
         text = b" ".join("".join(self.parts).encode().split()).decode() if self.parts else ""
         if text or self.tags:
@@ -90,19 +91,19 @@ class Lines(HTMLParser):
             if tag == "br":
                 self.parts.append(" ")
             return
-        _, hidden, group, content = self.stack[-1]
+        _, hidden, group, content, mute = self.stack[-1]
         if tag in _CONTENT and not any(x[0] in _CONTENT for x in self.stack):
             # An article doesn't lie in a menu: something before it was left open.
             hidden = hidden and any(x[0] in ("template", "noscript") for x in self.stack)
+            mute = mute and hidden
         own = self._marked(tag, attrs, content)
-        if tag in _GROUPS or own and not hidden:
+        if tag in _GROUPS or own and block and not hidden:
             self.made += 1
             group = self.made
             if tag in _CONTENT and content < 0:
                 content = self.made
-        if (hidden or own) and not block and not self.stack[-1][1]:
-            self.flush_line()  # an inline element that is boilerplate parts the line, too
-        self.stack.append((tag, hidden or own, group, content))
+        # A hidden inline element doesn't part the line it lies in: the line goes on without its text.
+        self.stack.append((tag, hidden or own and block, group, content, mute or own and not block))
 
     def _imply_end(self, tag: str) -> None:
         stack = self.stack
@@ -126,7 +127,7 @@ class Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag in BLOCKS or self.stack[-1][0] == tag and self.stack[-1][1] and not self.stack[max(0, len(self.stack) - 2)][1]:
+        if tag in BLOCKS:
             self.flush_line()
         self.tags += 1
         if tag == "br":
@@ -135,7 +136,8 @@ class Lines(HTMLParser):
             self._close(tag)
 
     def handle_data(self, data):
-        self.parts.append(data)
+        if not self.stack[-1][4]:
+            self.parts.append(data)
 
     def unknown_decl(self, data):
         """Marked sections that are no HTML hold no text."""
