@@ -108,7 +108,7 @@ def verified_recipes(docs: DataFrame, **sizes) -> DataFrame:
     places = chunks(docs, **sizes, places=True).join(known, ["digest", "content"])
     ranks = places.select("text_sha256", "seq", "rank").distinct().groupBy("text_sha256")
     ranks = ranks.agg(F.map_from_entries(F.collect_list(F.struct("seq", "rank"))).alias("ranks"))
-    names = F.transform("recipe", lambda d, i: F.concat(d, F.coalesce(F.col("ranks")[i].cast("binary"), F.lit(b""))))
+    names = F.transform("recipe", lambda d, i: F.concat(d, F.encode(F.coalesce(F.try_element_at("ranks", i).cast("string"), F.lit("")), "UTF-8")))
     return saved(cooked.join(ranks, "text_sha256", "left").withColumn("recipe", names).drop("ranks"), "recipes")
 
 
