@@ -84,18 +84,19 @@ class Voters:
     def score(self, raw: np.ndarray) -> np.ndarray:
         """Similarity-weighted vote of the nearest labelled vectors, from all cosine products.
 
-        Votes count by the similarity above that of the nearest voter left out, plus a little of the
-        share of label 1 for texts that resemble nothing.
+        A vote weighs the eighth power of its similarity; a little of the share of label 1 settles
+        texts that resemble nothing. Products are in double precision and the score is rounded, so
+        that it doesn't depend on the other texts of a block.
         """
         if not len(self.labels):
             return np.full(len(raw), self.prior)
-        vectors = unit(self.weighted(raw) @ self.directions)
+        vectors = unit(self.weighted(raw) @ self.directions.astype(np.float64))
         cosine = vectors @ self.vectors.T
         k = min(self.neighbours, cosine.shape[1])
         nearest = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(cosine, nearest, 1), 0).astype(np.float64) ** 8
+        weight = np.maximum(np.take_along_axis(cosine, nearest, 1), 0) ** 8
         votes = (weight * self.labels[nearest]).sum(1)
-        return (votes + 0.01 * self.prior) / (weight.sum(1) + 0.01)
+        return np.round((votes + 0.01 * self.prior) / (weight.sum(1) + 0.01), 9)
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -105,10 +106,11 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 def weighted(raw: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Blocks of unit length: damped counts by rarity, damped shapes, concentration as an angle."""
+    raw = raw.astype(np.float64)
     grams = unit(np.log1p(raw[:, :GRAMS]) * idf) * BLOCK_WEIGHTS[0]
     shapes = unit(np.sqrt(raw[:, GRAMS:-1])) * BLOCK_WEIGHTS[1]
     angle = np.minimum(raw[:, -1:] / 8, 1) * (np.pi / 2)
-    return np.concatenate([grams, shapes, np.cos(angle) * BLOCK_WEIGHTS[2], np.sin(angle) * BLOCK_WEIGHTS[2]], 1).astype(np.float32)
+    return np.concatenate([grams, shapes, np.cos(angle) * BLOCK_WEIGHTS[2], np.sin(angle) * BLOCK_WEIGHTS[2]], 1)
 
 
 def held_out(doc_id: str | Column = "doc_id", folds: int = 5) -> Column:
@@ -147,13 +149,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4096, dims: int = 64,
     raw[:, :-1] = packed[:, :-4].copy().view("<u2")
     raw[:, -1] = packed[:, -4:].copy().view(np.float32)[:, 0]
     idf = (np.log((1 + len(y)) / (1 + (raw[:, :GRAMS] > 0).sum(0))) + 0.1).astype(np.float32)
-    x = weighted(raw, idf)
+    blocks = [raw[i : i + 512] for i in range(0, len(raw), 512)]
+    x = np.concatenate([weighted(b, idf).astype(np.float32) for b in blocks])
     rng = np.random.default_rng(seed)
     q = np.linalg.qr(x @ rng.standard_normal((x.shape[1], min(dims + 16, len(y))), np.float32))[0]
     for _ in range(3):
         q = np.linalg.qr(x @ np.linalg.qr(x.T @ q)[0])[0]
     directions = np.linalg.svd(q.T @ x, full_matrices=False)[2][:dims].T.astype(np.float32)
-    return Voters(idf, directions, unit(x @ directions), y, neighbours, float(y.mean()))
+    return Voters(idf, directions, np.concatenate([unit(weighted(b, idf) @ directions.astype(np.float64)) for b in blocks]), y, neighbours, float(y.mean()))
 
 
 def score_quality(docs: DataFrame, voters: Voters, column: str = "score") -> DataFrame:

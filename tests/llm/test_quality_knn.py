@@ -78,9 +78,9 @@ def test_votes_equal_a_plain_loop(spark, labelled):
     voters = fit(docs, labels, sample=60, neighbours=5)
     texts = [r["text"] for r in docs.limit(40).collect()]
     raw = np.concatenate(list(features(pa.array(texts))))
-    v = voters.weighted(raw).astype(float) @ voters.directions
+    v = voters.weighted(raw) @ voters.directions.astype(float)
     for row, score in zip(v, voters.score(raw), strict=True):
         cosine = voters.vectors @ (row / max(np.linalg.norm(row), 1e-30))
         nearest = np.argsort(-cosine)[:5]
         w = np.maximum(cosine[nearest], 0) ** 8
-        assert score == pytest.approx(((w * voters.labels[nearest]).sum() + 0.01 * voters.prior) / (w.sum() + 0.01), abs=1e-3)
+        assert score == pytest.approx(((w * voters.labels[nearest]).sum() + 0.01 * voters.prior) / (w.sum() + 0.01), abs=1e-6)
