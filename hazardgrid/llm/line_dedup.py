@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardgrid.llm.common import components, fresh, null_last, saved, text_slices
 
 
+#: Lines of a tile, and shingles that are compared at a time in a block of two tiles.
+TILE, WIDTH = 512, 8192
+
+
 def text_lines(text: str) -> list[bytes]:
     """Normalised lines: lower case, runs of white space as one blank, trimmed; some may be empty."""
     return [b" ".join(line.split()) for line in text.lower().encode().split(b"\n")]
@@ -77,17 +82,18 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """``key`` and the ``bands`` of every line, each distinct one once per slice of a task."""
+    """``key`` and bands ``band0``... of every line, each distinct one once per slice of a task."""
+    names = [f"band{i}" for i in range(bands)]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in text_slices(batches, "text", 4 << 20):
             lines = list(dict.fromkeys(line for text in texts.to_pylist() for line in text_lines(text) if line))
             if lines:
                 keys = band_keys(lines, width, bands, rows)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1) * bands, pa.int32()), pa.array(keys.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array([line_key(line) for line in lines], pa.binary()), lists], names=["key", "bands"])
+                columns = [pa.array(np.ascontiguousarray(keys[:, i]).view(np.int64)) for i in range(bands)]
+                yield pa.RecordBatch.from_arrays([pa.array([line_key(line) for line in lines], pa.binary()), *columns], names=["key", *names])
 
-    return docs.select("text").mapInArrow(sign, "key binary, bands array<long>")
+    return docs.select("text").mapInArrow(sign, "key binary, " + ", ".join(f"{n} long" for n in names))
 
 
 def wanted_filter(keys: DataFrame, bits: int) -> np.ndarray:
@@ -146,18 +152,97 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> Da
     return lines.mapInArrow(compare, "a long, b long")
 
 
+def tile_pairs(members: DataFrame) -> DataFrame:
+    """Members (``band``, ``id``, ``found``, ``tiles``) as rows of every block of two tiles they are in.
+
+    A block is ``band``, ``ta``, ``tb``; ``side`` is 0 or 1 for its tiles, 2 for a tile with itself.
+    """
+    own = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
+
+    def block(other: Column) -> Column:
+        side = F.when(other == F.col("t"), 2).when(other > F.col("t"), 0).otherwise(1)
+        return F.struct(F.least(other, F.col("t")).alias("ta"), F.greatest(other, F.col("t")).alias("tb"), side.alias("side"))
+
+    blocks = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), block)
+    return members.withColumn("t", own).select("band", "id", "found", F.inline(blocks))
+
+
+def block_links(sets: list[frozenset[str]], found: list[int], split: int, least: float) -> list[tuple[int, int]]:
+    """Pairs of similar lines that link different components; lines up to ``split`` with those behind.
+
+    With ``split`` 0 all with all. The numbers of shared shingles come from products of 0/1 rows over
+    the shingles that several lines have.
+    """
+    n = len(sets)
+    number: dict[str, int] = {}
+    for shared in (x for x, k in Counter(x for s in sets for x in s).items() if k > 1):
+        number[shared] = len(number)
+    sizes = np.array([len(s) for s in sets])
+    a, b = np.arange(split or n), np.arange(split, n)
+    both = np.zeros((len(a), len(b)), np.float32)
+    at = [np.fromiter((number[x] for x in s if x in number), np.int64) for s in sets]
+    for start in range(0, len(number), WIDTH):
+        x = np.zeros((n, min(WIDTH, len(number) - start)), np.float32)
+        for i, places in enumerate(at):
+            x[i, places[(places >= start) & (places < start + WIDTH)] - start] = 1
+        both += x[a] @ x[b].T
+    similar = both >= least * (sizes[a][:, None] + sizes[b][None, :] - both)
+    i, j = np.nonzero(similar)
+    i, j = a[i], b[j]
+    order = (i < j) if not split else slice(None)
+    labels = np.unique(np.array(found), return_inverse=True)[1]
+    out, root = [], labels.copy()
+    for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
+        p, q = root[labels[x]], root[labels[y]]
+        if p != q:
+            root[root == p] = q
+            out.append((x, y))
+    return out
+
+
+def compared(blocks: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
+    """Links ``a``-``b`` between the components of each block (the rows of ``tile_pairs``)."""
+    lines = blocks.join(texts.select("id", "line"), "id").select("band", "ta", "tb", "side", "id", "found", "line")
+    dealt = lines.repartition("band", "ta", "tb").sortWithinPartitions("band", "ta", "tb", "side", "id")
+
+    def links(held: list[tuple]) -> list[tuple[int, int]]:
+        split = 0 if held[0][3] == 2 else sum(r[3] == 0 for r in held)
+        if held[0][3] != 2 and split in (0, len(held)) or len({r[5] for r in held}) == 1:
+            return []
+        found = block_links([shingles(r[6], width) for r in held], [r[5] for r in held], split, least)
+        return [(held[x][4], held[y][4]) for x, y in found]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            out = []
+            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if held and row[:3] != held[0][:3]:
+                    out += links(held)
+                    held = []
+                held.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in range(2)], names=["a", "b"])
+        out = links(held) if held else []
+        yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in range(2)], names=["a", "b"])
+
+    return dealt.mapInArrow(compare, "a long, b long")
+
+
 def similar_lines(docs: DataFrame, width: int = 8, bands: int = 9, rows: int = 4, least: float = 0.8) -> DataFrame:
     """``key`` and ``component`` (a number) of every distinct line, by links of similar lines.
 
     Lines that share a band are candidates. In each such group the line with the smallest number
-    is compared with the others; where that leaves a group in several components, lines of
-    different components are compared, too. Pairs within a component need no comparison, since
-    only components count, so large groups of variants cost one comparison a line and no link
-    between components is lost.
+    is compared with the others; where that leaves a group in several components, its lines meet
+    in blocks of two tiles, where lines of different components are compared, too. Pairs within a
+    component need no comparison, since only components count, and no pair leaves its block
+    unless it links two components.
     """
-    lines = saved(signatures(docs, width, bands, rows).groupBy("key").agg(F.first("bands").alias("bands")).withColumn("id", F.monotonically_increasing_id()), "lines")
+    names = [f"band{i}" for i in range(bands)]
+    # Equal lines have equal bands, so any of them will do; a minimum of numbers is the cheapest.
+    signed = signatures(docs, width, bands, rows).groupBy("key").agg(*[F.min(n).alias(n) for n in names])
+    lines = saved(signed.withColumn("id", F.monotonically_increasing_id()), "lines")
     # One exchange serves the count and the rows it is joined to: rows of a group stream past its count.
-    met = lines.select("id", F.explode("bands").alias("band")).repartition("band")
+    met = lines.select("id", F.explode(F.array(*names)).alias("band")).repartition("band")
     groups = met.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).filter("n > 1").drop("n")
     met = saved(met.join(groups, "band"), "met")
     wanted = met.select("id").distinct().join(lines.select("id", "key"), "id").select("key", "id")
@@ -165,11 +250,12 @@ def similar_lines(docs: DataFrame, width: int = 8, bands: int = 9, rows: int = 4
     star = met.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     links = saved(verified(star, texts, width, least), "links")
     grouped = met.select("band", "id").join(components(links).withColumnRenamed("component", "found"), "id", "left").withColumn("found", F.coalesce("found", "id"))
-    parted = grouped.groupBy("band").agg(F.min("found").alias("low"), F.max("found").alias("high")).filter("low < high").select("band")
-    rest = saved(grouped.join(parted, "band"), "parted")
-    left, right = rest.select("band", F.col("id").alias("a"), F.col("found").alias("fa")), rest.select("band", F.col("id").alias("b"), F.col("found").alias("fb"))
-    cross = left.join(right, "band").filter("a < b AND fa <> fb").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
-    more = saved(verified(cross, texts, width, least), "links")
+    mark = F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("mark")
+    parted = grouped.groupBy("band").agg(F.min("found").alias("low"), F.max("found").alias("high"), F.count(F.lit(1)).alias("n"), mark).filter("low < high")
+    parted = saved(parted.withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int")), "parted")
+    # Bands often group the same lines: of such groups one is enough.
+    alike = parted.groupBy("n", "mark").agg(F.min("band").alias("band"), F.max("tiles").alias("tiles")).select("band", "tiles")
+    more = saved(compared(tile_pairs(grouped.join(alike, "band")), texts, width, least), "links")
     found = components(links.unionByName(more)).withColumnRenamed("component", "found")
     return lines.select("key", "id").join(found, "id", "left").select("key", F.coalesce("found", "id").alias("component"))
 
@@ -184,12 +270,17 @@ def line_dedup(docs: DataFrame, **options) -> DataFrame:
     their lines, of which all copies of the first are kept; an empty table gives an empty one.
     """
     rows = saved(occurrences(docs), "occurrences")
-    firsts = rows.groupBy("key").agg(F.min(F.struct(null_last("doc_id").alias("id"), "line_no")).alias("first"))
+    # Id and line as one number, whose minimum needs no sort; lines of rows without id are counted apart.
+    place = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col("line_no")
+    firsts = rows.groupBy("key").agg(F.min(place).alias("first"), F.min(F.when(F.col("doc_id").isNull(), F.col("line_no"))).alias("unnamed"))
     named = similar_lines(docs, **options).join(firsts, "key")
-    chosen = named.groupBy("component").agg(F.min("first").alias("keep"))
-    named = named.join(chosen, "component").select("key", "keep")
-    kept = F.col("doc_id").eqNullSafe(F.col("keep.id.value")) & (F.col("line_no") == F.col("keep.line_no"))
-    return rows.join(named, "key").select("doc_id", "line_no", F.col("keep.id.value").alias("keep_doc_id"), F.col("keep.line_no").alias("keep_line_no"), kept.alias("kept"))
+    chosen = named.groupBy("component").agg(F.min("first").alias("first"), F.min("unnamed").alias("unnamed"))
+    keep_id = F.floor(F.col("first") / F.lit(1 << 32)).cast("long")
+    keep_line = F.when(F.col("first").isNull(), F.col("unnamed")).otherwise((F.col("first") - keep_id.cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)")).cast("int"))
+    chosen = chosen.select("component", keep_id.alias("keep_doc_id"), keep_line.alias("keep_line_no"))
+    named = named.join(chosen, "component").select("key", "keep_doc_id", "keep_line_no")
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("line_no") == F.col("keep_line_no"))
+    return rows.join(named, "key").select("doc_id", "line_no", "keep_doc_id", "keep_line_no", kept.alias("kept"))
 
 
 def without_repeated_lines(docs: DataFrame, **options) -> DataFrame:

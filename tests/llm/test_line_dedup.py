@@ -4,7 +4,8 @@ import random
 
 import numpy as np
 
-from hazardgrid.llm.line_dedup import band_keys, line_dedup, shingles, text_lines, without_repeated_lines
+from hazardgrid.llm import line_dedup as module
+from hazardgrid.llm.line_dedup import band_keys, block_links, line_dedup, shingles, text_lines, without_repeated_lines
 
 from .helpers import clashing, documents, groups, rows
 
@@ -46,6 +47,21 @@ def test_components_beyond_the_first_comparison(spark):
     assert rows(line_dedup(documents(spark, [t for _, t in docs]), bands=40, rows=1)) == brute(docs)
 
 
+def test_blocks_of_tiles(spark, monkeypatch):
+    monkeypatch.setattr(module, "TILE", 5)
+    monkeypatch.setattr(module, "WIDTH", 64)
+    docs = corpus(6)
+    assert rows(line_dedup(documents(spark, [t for _, t in docs]), bands=12, rows=1)) == brute(docs)
+
+
+def test_links_of_a_block():
+    lines = ["abcdefgh", "abcdefghi", "zzzzzzzzz", "abcdefghij", "zzzzzzzzzz"]
+    sets = [shingles(x, 3) for x in lines]
+    assert block_links(sets, [0, 1, 2, 3, 4], 0, 0.8) == [(0, 1), (1, 3), (2, 4)]
+    assert block_links(sets, [0, 1, 2, 1, 2], 0, 0.8) == [(0, 1)]
+    assert block_links(sets, [0, 1, 2, 3, 4], 3, 0.8) == [(1, 3), (2, 4)]
+
+
 def test_cases(spark):
     docs = [(3, "A  line\n\nb"), (1, "a line \nc"), (2, None), (4, ""), (5, "\n \n"), (6, "long " * 30000), (7, "long " * 30000 + "er"), (8, "some line of text, of which there is a copy"), (9, "x\nSome line of text, of which there is a copY")]
     df = clashing(documents(spark, [t for _, t in docs], ids=[i for i, _ in docs]))
