@@ -16,6 +16,8 @@ from hazardgrid.llm.common import components, fresh, null_last, saved, text_slic
 
 #: Lines of a tile, and shingles that are compared at a time in a block of two tiles.
 TILE, WIDTH = 512, 8192
+#: Lines of a block up to which sets are compared one by one.
+FEW = 16
 
 
 def text_lines(text: str) -> list[bytes]:
@@ -174,6 +176,20 @@ def block_links(sets: list[frozenset[str]], found: list[int], split: int, least:
     the shingles that several lines have.
     """
     n = len(sets)
+    labels = np.unique(np.array(found), return_inverse=True)[1]
+    if n <= FEW:  # set by set is cheaper there
+        out, root = [], labels.tolist()
+        for x in range(split or n):
+            for y in range(max(split, x + 1), n):
+                small, large = sorted((len(sets[x]), len(sets[y])))
+                if root[x] == root[y] or small < least * large:
+                    continue
+                both = len(sets[x] & sets[y])
+                if both >= least * (small + large - both):
+                    out.append((x, y))
+                    gone, stays = root[x], root[y]
+                    root = [stays if r == gone else r for r in root]
+        return out
     number: dict[str, int] = {}
     for shared in (x for x, k in Counter(x for s in sets for x in s).items() if k > 1):
         number[shared] = len(number)
@@ -190,8 +206,7 @@ def block_links(sets: list[frozenset[str]], found: list[int], split: int, least:
     i, j = np.nonzero(similar)
     i, j = a[i], b[j]
     order = (i < j) if not split else slice(None)
-    labels = np.unique(np.array(found), return_inverse=True)[1]
-    out, root = [], labels.copy()
+    out, root = [], np.arange(labels.max() + 1)
     for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
         p, q = root[labels[x]], root[labels[y]]
         if p != q:

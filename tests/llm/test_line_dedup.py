@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 from hazardgrid.llm import line_dedup as module
 from hazardgrid.llm.line_dedup import band_keys, block_links, line_dedup, shingles, text_lines, without_repeated_lines
@@ -54,7 +55,9 @@ def test_blocks_of_tiles(spark, monkeypatch):
     assert rows(line_dedup(documents(spark, [t for _, t in docs]), bands=12, rows=1)) == brute(docs)
 
 
-def test_links_of_a_block():
+@pytest.mark.parametrize("few", [0, 16])
+def test_links_of_a_block(monkeypatch, few):
+    monkeypatch.setattr(module, "FEW", few)
     lines = ["abcdefgh", "abcdefghi", "zzzzzzzzz", "abcdefghij", "zzzzzzzzzz"]
     sets = [shingles(x, 3) for x in lines]
     assert block_links(sets, [0, 1, 2, 3, 4], 0, 0.8) == [(0, 1), (1, 3), (2, 4)]
