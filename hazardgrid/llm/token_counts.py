@@ -30,9 +30,9 @@ from hazardgrid.llm.common import text_bytes, text_slices
 _NONE = np.int64(1 << 40)
 #: The vocabulary's word pattern (fixed value), which ``Tokens.pieces`` follows.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Chunks for the library: characters not normalised here, and two whose lower case depends on
-#: context or is two characters.
-_ODD = r"[^\x00-\x{2ff}\x{370}-\x{52f}]|İ|Σ|<\|"
+#: Chunks for the library: characters not normalised here, two whose lower case depends on
+#: context or is two characters, and two (U+023A, U+023E) whose lower case is beyond the class table.
+_ODD = r"[^\x00-\x{2ff}\x{370}-\x{52f}]|İ|Σ|Ⱥ|Ⱦ|<\|"
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
 
 

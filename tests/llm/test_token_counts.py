@@ -38,6 +38,12 @@ def test_any_text(library, tokens):
     assert tokens.counts(pa.array(texts)).tolist() == [len(x) for x in wanted]
 
 
+def test_every_code_point(library, tokens):
+    chars = [chr(c) for c in range(0x3000) if not chr(c).isspace()]
+    texts = [t for c in chars for t in (c, f"a{c}b")]
+    assert [x.tolist() for x in tokens.ids(pa.array(texts))] == ids(library, texts)
+
+
 def test_runs_of_one_symbol(library, tokens):
     texts = [c * n for c in "ao!=é" for n in range(1, 70)]
     assert tokens.counts(pa.array(texts)).tolist() == [len(x) for x in ids(library, texts)]
