@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +22,10 @@ BLOCKS = frozenset(
     "tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements that are never main text, and sectioning elements that are boilerplate by meaning.
-HIDDEN = frozenset(
-    "script style noscript template head title iframe object svg math canvas audio video map "
-    "nav footer aside menu form button select textarea dialog".split()
-)
-#: Words in class, id and role that mark menus, notices, adverts, sidebars and reader comments.
+#: Elements whose text a page doesn't show as such, and elements that are mostly boilerplate.
+HIDDEN = frozenset("script style noscript template head title iframe object svg math canvas audio video map button select textarea dialog".split())
+MARKED = frozenset("nav footer aside menu form".split())
+#: Words in class, id and role that speak for menus, notices, adverts, sidebars and reader comments.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsored sponsor promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay "
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar widget widgets footer header masthead copyright legal "
@@ -37,21 +37,55 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 _CONTENT = frozenset(("article", "main"))
 _GROUPS = frozenset(("div", "section", "td", "body", "html", *_CONTENT))
 _WORDS = re.compile(r"[a-z]+")
+#: Characters outside links, in lines that reach the threshold, from which a marked element is text.
+LONG = 250
+#: Weight of a ratio inside article and main.
+ARTICLE_WEIGHT = 2.0
 
 
-class Lines(HTMLParser):
-    """Parser events as lines: a line is what lies between two block tags.
+class Line(NamedTuple):
+    """What lies between two block tags.
+
+    ``links`` are the characters in links; ``mark`` is the innermost marked element around the line
+    (0: none), ``group`` the element that groups it and ``content`` the outermost article or main
+    element (-1: none).
+    """
+
+    text: str
+    tags: int
+    links: int
+    hidden: bool
+    mark: int
+    group: int
+    content: int
+
+
+class Open(NamedTuple):
+    """An open element: its name, what holds for the lines in it, and whether its text is in a link.
 
-    Each has its text, the number of its tags, whether it is boilerplate by its place, the element
-    that groups it and the outermost article or main element around it (-1: none).
+    ``mute`` is -1 in a hidden inline element, and the mark of an inline element that is marked.
     """
 
+    tag: str
+    hidden: bool
+    mark: int
+    group: int
+    content: int
+    mute: int
+    link: bool
+
+
+class Lines(HTMLParser):
+    """Parser events as lines, and the marked element around every marked element (``marks``)."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, int, int]] = []
-        # Name, hidden, group, content and whether text is dropped (hidden inline elements).
-        self.stack: list[tuple[str, bool, int, int, bool]] = [("", False, 0, -1, False)]
+        self.lines: list[Line] = []
+        self.marks = [0]
+        self.stack = [Open("", False, 0, 0, -1, 0, False)]
         self.parts: list[str] = []
+        self.linked: list[int] = []
+        self.marked: list[tuple[int, int]] = []
         self.tags = 0
         self.made = 0
 
@@ -60,25 +94,41 @@ class Lines(HTMLParser):
         return j
 
     def flush_line(self) -> None:
-        _, hidden, group, content, _ = self.stack[-1]
-        # Bytes are cut at ASCII white space alone.
-        text = b" ".join("".join(self.parts).encode().split()).decode() if self.parts else ""
+        top = self.stack[-1]
+        if self.marked:
+            # Marked inline elements part no line: it goes on without their text unless that is long.
+            linked, sizes = set(self.linked), Counter()
+            for i, mark in self.marked:
+                sizes[mark] += 0 if i in linked else len(_plain(self.parts[i]))
+            for i, mark in self.marked:
+                if sizes[mark] < LONG:
+                    self.parts[i] = ""
+        text = _plain("".join(self.parts)) if self.parts else ""
         if text or self.tags:
-            self.lines.append((text, self.tags, hidden, group, content))
-        self.parts, self.tags = [], 0
+            links = min(len(text), len(_plain(" ".join([self.parts[i] for i in self.linked])))) if self.linked else 0
+            self.lines.append(Line(text, self.tags, links, top.hidden, top.mark, top.group, top.content))
+        self.parts, self.linked, self.marked, self.tags = [], [], [], 0
 
-    def _marked(self, tag: str, attrs, content: int) -> bool:
-        if tag in HIDDEN or tag == "header" and content < 0:
+    def _hides(self, tag: str, attrs) -> bool:
+        if tag in HIDDEN:
             return True
         for name, value in attrs:
             if name in ("hidden", "inert") or name == "aria-hidden" and value == "true":
                 return True
-            if value and name in ("class", "id", "role") and tag not in ("html", "body", *_CONTENT):
+            if name == "style" and value and "display:none" in value.replace(" ", "").lower():
+                return True
+        return False
+
+    def _marks(self, tag: str, attrs, content: int) -> bool:
+        if tag in MARKED or tag == "header" and content < 0:
+            return True
+        if tag in ("html", "body", *_CONTENT):
+            return False
+        for name, value in attrs:
+            if value and name in ("class", "id", "role"):
                 words = set(_WORDS.findall(value.lower()))
                 if words & MARKS and not (content >= 0 and words & {"header", "legal"}):
                     return True
-            if name == "style" and value and "display:none" in value.replace(" ", "").lower():
-                return True
         return False
 
     def handle_starttag(self, tag, attrs):
@@ -91,34 +141,46 @@ class Lines(HTMLParser):
             if tag == "br":
                 self.parts.append(" ")
             return
-        _, hidden, group, content, mute = self.stack[-1]
-        if tag in _CONTENT and not any(x[0] in _CONTENT for x in self.stack):
+        _, hidden, mark, group, content, mute, link = self.stack[-1]
+        if tag in _CONTENT and not any(x.tag in _CONTENT for x in self.stack):
             # An article doesn't lie in a menu: something before it was left open.
-            hidden = hidden and any(x[0] in ("template", "noscript") for x in self.stack)
-            mute = mute and hidden
-        own = self._marked(tag, attrs, content)
-        if tag in _GROUPS or own and block and not hidden:
+            hidden = hidden and any(x.tag in ("template", "noscript") for x in self.stack)
+            mark = 0
+            mute = -1 if mute < 0 and hidden else 0
+            link = False
+        hides, marks = self._hides(tag, attrs), self._marks(tag, attrs, content)
+        apart = block and (hides or marks or mute > 0)
+        if block and mute > 0:
+            mark, mute = mute, 0
+        if marks:
+            self.marks.append(mark)
+            if block:
+                mark = len(self.marks) - 1
+        if tag in _GROUPS or apart:
             self.made += 1
             group = self.made
             if tag in _CONTENT and content < 0:
                 content = self.made
-        # A hidden inline element doesn't part the line it lies in: the line goes on without its text.
-        self.stack.append((tag, hidden or own and block, group, content, mute or own and not block))
+        if not block and mute >= 0:
+            # A hidden or marked inline element doesn't part the line it lies in.
+            mute = -1 if hides else len(self.marks) - 1 if marks and not mute else mute
+        link = link or tag == "a" and any(name == "href" for name, _ in attrs)
+        self.stack.append(Open(tag, hidden or hides and block, mark, group, content, mute, link))
 
     def _imply_end(self, tag: str) -> None:
         stack = self.stack
-        if stack[-1][0] == "p" or len(stack) > 2 and "p" in (stack[-2][0], stack[-3][0]):
+        if stack[-1].tag == "p" or len(stack) > 2 and "p" in (stack[-2].tag, stack[-3].tag):
             self._close("p")
-        if tag in _CLOSES and stack[-1][0] in _CLOSES[tag]:
+        if tag in _CLOSES and stack[-1].tag in _CLOSES[tag]:
             stack.pop()
 
     def _close(self, tag: str) -> None:
         for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] == tag:
+            if self.stack[i].tag == tag:
                 del self.stack[i:]
                 return
             # An inline end tag doesn't close a block around it.
-            if tag not in BLOCKS and self.stack[i][0] in BLOCKS:
+            if tag not in BLOCKS and self.stack[i].tag in BLOCKS:
                 return
 
     def handle_startendtag(self, tag, attrs):
@@ -136,21 +198,32 @@ class Lines(HTMLParser):
             self._close(tag)
 
     def handle_data(self, data):
-        if not self.stack[-1][4]:
-            self.parts.append(data)
+        top = self.stack[-1]
+        if top.mute < 0:
+            return
+        if top.link:
+            self.linked.append(len(self.parts))
+        if top.mute:
+            self.marked.append((len(self.parts), top.mute))
+        self.parts.append(data)
 
     def unknown_decl(self, data):
         """Marked sections that are no HTML hold no text."""
 
 
-def page_lines(html: str, piece: int = 1 << 16) -> list[tuple[str, int, bool, int, int]]:
-    """Lines of a page, fed to the parser piece by piece."""
+def _plain(text: str) -> str:
+    """Runs of white space as one blank; bytes are cut at ASCII white space alone."""
+    return b" ".join(text.encode().split()).decode()
+
+
+def page_lines(html: str, piece: int = 1 << 16) -> tuple[list[Line], list[int]]:
+    """Lines of a page, fed to the parser piece by piece, and the mark around every mark."""
     parser = Lines()
     for at in range(0, len(html), piece):
         parser.feed(html[at : at + piece])
     parser.close()
     parser.flush_line()
-    return parser.lines
+    return parser.lines, parser.marks
 
 
 def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
@@ -176,30 +249,76 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def _text_marks(lines: list[Line], marks: list[int], scores: list[float], cut: float) -> list[bool]:
+    """Whether a mark hides nothing: it and those around it hold long text of a high ratio outside links."""
+    total = [0] * len(marks)
+    for line, score in zip(lines, scores, strict=True):
+        if line.mark and not line.hidden and min(score, len(line.text) / max(1, line.tags)) >= cut and 2 * line.links <= len(line.text):
+            total[line.mark] += len(line.text) - line.links
+    # A mark's number is above that of the mark around it.
+    for mark in range(len(marks) - 1, 0, -1):
+        total[marks[mark]] += total[mark]
+    shown = [True] * len(marks)
+    for mark in range(1, len(marks)):
+        shown[mark] = total[mark] >= LONG and shown[marks[mark]]
+    return shown
+
+
 def main_text(html: str, sigma: float = 1.0) -> str:
     """Main text of one page: the lines of its content regions, one per block.
 
     A line's ratio is its characters over its tags. The smoothed ratios of all lines, menus and
-    notices included, are clustered; a region is content if a line of its own reaches the threshold.
-    Regions are the outermost article and main elements or, on pages without, the nearest grouping
-    element. The region with most text is always content, and a content region gives all its lines,
-    short ones too; lines that are boilerplate by their place are in none.
+    notices included, are clustered; regions are the nearest grouping elements, and a region is
+    content if a line of its own reaches the threshold. A content region gives all its lines.
+
+    Article and main elements are a weight: their ratios count twice, on pages with one a line
+    outside has to reach the threshold unsmoothed as well, and in an article or main element that
+    reaches it, only regions are left out that don't and are mostly links. Marks (elements and
+    class words) count against lines unless at least ``LONG`` characters outside links reach the
+    threshold. The region with most text outside links is always content, and so is the
+    largest article or main element unless it is mostly links.
     """
-    lines = page_lines(html)
-    if not any(text and not hidden for text, _, hidden, _, _ in lines):
+    lines, marks = page_lines(html)
+    if not any(line.text and not line.hidden for line in lines):
         return ""
-    scores = smoothed(np.array([len(text) / max(1, tags) for text, tags, *_ in lines]), sigma)
-    cut = threshold(scores)
-    articles = any(content >= 0 and text and not hidden for text, _, hidden, _, content in lines)
-    size: dict[int, int] = {}
-    best: dict[int, float] = {}
-    for (text, _, hidden, group, content), score in zip(lines, scores, strict=True):
-        region = content if articles else group
-        if text and not hidden and region >= 0:
-            size[region] = size.get(region, 0) + len(text)
-            best[region] = max(best.get(region, 0.0), score)
-    chosen = {r for r, score in best.items() if score >= cut} | {max(size, key=size.get)}
-    return "\n".join(text for text, _, hidden, group, content in lines if text and not hidden and (content if articles else group) in chosen)
+    scores = smoothed(np.array([len(line.text) / max(1, line.tags) for line in lines]), sigma).tolist()
+    cut = threshold(np.array(scores))
+    shown = _text_marks(lines, marks, scores, cut)
+    kept = [(line, score) for line, score in zip(lines, scores, strict=True) if line.text and not line.hidden and shown[line.mark]]
+    if not kept:
+        return ""
+    articles = any(line.content >= 0 for line, _ in kept)
+    # Characters outside links, all characters and the highest ratio of regions and of articles.
+    regions: dict[tuple[int, int], list[float]] = {}
+    contents: dict[int, list[float]] = {}
+    for line, score in kept:
+        inside = line.content >= 0
+        if inside:
+            score *= ARTICLE_WEIGHT
+        elif articles:
+            score = min(score, len(line.text) / max(1, line.tags))
+        size = len(line.text)
+        for held, key in ((regions, (line.content, line.group)), (contents, line.content)):
+            sums = held.setdefault(key, [0, 0, 0.0])
+            sums[0] += size - line.links
+            sums[1] += size
+            sums[2] = max(sums[2], score)
+    largest = max(regions, key=lambda r: regions[r][:2])
+    contents.pop(-1, None)
+    chosen = {c for c, (_, _, best) in contents.items() if best >= cut} | {largest[0]}
+    if contents:
+        first = max(contents, key=lambda c: contents[c][:2])
+        if 2 * contents[first][0] >= contents[first][1]:
+            chosen.add(first)
+
+    def content(region: tuple[int, int]) -> bool:
+        plain, size, best = regions[region]
+        if region == largest:
+            return True
+        return best >= cut and (region[0] < 0 or region[0] in chosen) or region[0] >= 0 and region[0] in chosen and 2 * plain >= size
+
+    found = {region for region in regions if content(region)}
+    return "\n".join(line.text for line, _ in kept if (line.content, line.group) in found)
 
 
 def extract_main_text(pages: DataFrame, html: str = "html", text: str = "text", keep: tuple[str, ...] = ("page_id", "url"), sigma: float = 1.0) -> DataFrame:

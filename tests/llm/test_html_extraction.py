@@ -39,6 +39,35 @@ def test_regions_without_articles():
     assert main_text(page) == f"{words.strip()}\nShort.\n{words.strip()}"
 
 
+STORY = "A long sentence of the story, with words and more words. " * 8
+LINKS = "<ul>" + "".join(f"<li><a href=/{i}>Another page {i}</a></li>" for i in range(9)) + "</ul>"
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    # Stories outside article and main, beside cards and teasers.
+    (f"<div><p>{STORY}</p><p>Short.</p><p>{STORY}</p></div><article><h2><a href=/a>Card</a></h2></article><article><h2><a href=/b>Card</a></h2></article>", [STORY, "Short.", STORY]),
+    (f"<main><p>A teaser of the page.</p></main>{LINKS}<div><p>{STORY}</p><p>{STORY}</p></div>", ["A teaser of the page.", STORY, STORY]),
+    # Class words and marked elements around stories.
+    (f"<div class='social-history'><p>{STORY}</p><p>Short.</p><p>{STORY}</p></div><div class=ad>Buy this</div>", [STORY, "Short.", STORY]),
+    (f"<article><p>{STORY}</p><div id='notice'><p>{STORY}</p></div><div class='share'>{LINKS}</div></article>", [STORY, STORY]),
+    (f"<form id=aspnet><nav>{LINKS}</nav><div><p>{STORY}</p><p>Short.</p></div><div class=ad>Buy this</div></form>", [STORY, "Short."]),
+    (f"<aside><p>{STORY}</p><p>{STORY}</p></aside><footer>The site, since 1999.</footer>", [STORY, STORY]),
+    (f"<p>One <span class=popup>{STORY}</span> two <span class=share>Share this</span></p>", [f"One {STORY.strip()} two"]),
+    (f"<span class=widget><div><p>{STORY}</p><p>Short.</p></div></span>", [STORY, "Short."]),
+    # Low ratios and links inside an article without a word that marks them, and hidden text.
+    (f"<article><p>{STORY}</p><p>End.</p><div>{LINKS}</div></article>", [STORY, "End."]),
+    (f"<article><p>{STORY}</p></article><div hidden><p>{STORY}</p></div>", [STORY]),
+    (f"<article><p>{STORY}</p></article><div class=menu><p><a href=/x>{STORY}</a></p></div>", [STORY]),
+])
+def test_ratio_decides(page, text):
+    assert main_text(page) == "\n".join(t.strip() for t in text)
+
+
+def test_many_open_elements():
+    page = "<div class=ad>" * 2000 + f"<p>{STORY}</p>" + "<span class=ad><div>x" * 300
+    assert STORY.strip() in main_text(page)
+
+
 def test_broken_markup_ends():
     for page in ("<" * 3000, "<a " * 1500, "<!--" + "x" * 1000, "<p>" * 4000 + "x", "<b>" * 3000 + "x", "</div>" * 3000 + "y", "<![CDATA[ x", "<?php x", "&" * 2000):
         assert isinstance(main_text(page), str)
