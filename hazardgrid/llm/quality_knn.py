@@ -136,18 +136,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4096, dims: int = 64,
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches, "text"):
             raw = np.concatenate(list(features(texts)))
-            # Counts beyond 65535 differ by nothing a damped count shows.
-            packed = [np.concatenate([np.minimum(r[:-1], 65535).astype("<u2").view(np.uint8), r[-1:].view(np.uint8)]).tobytes() for r in raw]
+            packed = [r.tobytes() for r in raw]
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")).cast(pa.int64()), batch.column(batch.schema.get_field_index("_label")), pa.array(packed, pa.binary())], names=["doc_id", "label", "raw"])
 
     table = rows.mapInArrow(measure, "doc_id long, label int, raw binary").toArrow().sort_by([("doc_id", "ascending"), ("raw", "ascending")])
     y = table.column("label").to_numpy().astype(np.float32)
     if not len(y):
         return Voters(np.ones(GRAMS), np.zeros((0, 0)), np.zeros((0, 0)), y, neighbours, 0.5)
-    packed = np.frombuffer(b"".join(table.column("raw").to_pylist()), np.uint8).reshape(len(y), -1)
-    raw = np.empty((len(y), GRAMS + SHAPES + 1), np.float32)
-    raw[:, :-1] = packed[:, :-4].copy().view("<u2")
-    raw[:, -1] = packed[:, -4:].copy().view(np.float32)[:, 0]
+    raw = np.frombuffer(b"".join(table.column("raw").to_pylist()), np.float32).reshape(len(y), -1)
     idf = (np.log((1 + len(y)) / (1 + (raw[:, :GRAMS] > 0).sum(0))) + 0.1).astype(np.float32)
     blocks = [raw[i : i + 512] for i in range(0, len(raw), 512)]
     x = np.concatenate([weighted(b, idf).astype(np.float32) for b in blocks])

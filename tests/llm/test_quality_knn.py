@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from hazardgrid.llm.quality_knn import classify_quality, features, fit, good_documents, score_quality
+from hazardgrid.llm.quality_knn import classify_quality, features, fit, good_documents, score_quality, unit
 
 from .helpers import clashing, documents, rows
 
@@ -66,6 +66,14 @@ def test_sample_is_bounded(labelled):
     assert len(fit(docs, labels, sample=50).labels) == 50
 
 
+def test_long_labelled_texts_have_the_vectors_of_scored_ones(spark):
+    texts = ["a" * 400000 + "Some words, 12 of them.\n" * 9000, "A text. " * 40, "SHORT ONE!"]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    voters = fit(documents(spark, texts, ids=[1, 2, 3]), labels)
+    scored = unit(voters.weighted(np.concatenate(list(features(pa.array(texts))))) @ voters.directions.astype(float))
+    assert len(voters.vectors) == 3 and voters.vectors == pytest.approx(scored, abs=1e-9)
+
+
 def test_features_of_a_text_depend_on_it_alone():
     texts = ["abc abc", "", "Ünï!", "abc abc", "z" * 100]
     together = np.concatenate(list(features(pa.array(texts), block=2)))
