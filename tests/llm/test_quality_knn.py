@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import zlib
 from pathlib import Path
 
@@ -66,6 +67,17 @@ def test_sample_is_bounded(labelled):
     assert len(fit(docs, labels, sample=50).labels) == 50
 
 
+def test_documents_that_share_an_id_teach_once(spark):
+    texts = [f"Text {i} of one id." for i in range(300)] + [None, "A text. " * 40, "SHORT ONE!"]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    df = documents(spark, texts, ids=[1] * 301 + [2, 3])
+    voters = fit(df.repartition(5), labels)
+    assert voters.labels.tolist() == [1, 0, 0]
+    first = min(texts[:301], key=lambda t: hashlib.md5((t or "").encode()).digest())
+    alone = fit(documents(spark, [first, *texts[301:]], ids=[1, 2, 3]), labels)
+    assert (voters.vectors == alone.vectors).all()
+
+
 def test_long_labelled_texts_have_the_vectors_of_scored_ones(spark):
     texts = ["a" * 400000 + "Some words, 12 of them.\n" * 9000, "A text. " * 40, "SHORT ONE!"]
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
