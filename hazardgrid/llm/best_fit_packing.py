@@ -89,20 +89,36 @@ def fit(sizes: np.ndarray, capacity: tuple[float, ...], weights: tuple[float, ..
     return bins, at
 
 
+def repetitions(pieces: DataFrame, name: str, block: int = 4096) -> DataFrame:
+    """The rows with a number from 0 that tells equal rows apart.
+
+    Equal rows are counted, not gathered: a count is dealt out as blocks of numbers, and a task makes
+    the rows of whole blocks.
+    """
+    keep = pieces.columns
+    first = F.col("_block") * block
+    counted = pieces.groupBy(*keep).agg(F.count("*").alias("_rows"))
+    blocks = counted.select(*keep, "_rows", F.explode(F.expr(f"sequence(0L, (_rows - 1) div {block})")).alias("_block"))
+    numbers = F.sequence(first, F.least(first + block, F.col("_rows")) - 1)
+    return blocks.repartition(*keep, "_block").select(*keep, F.explode(numbers).alias(name))
+
+
 def pack(pieces: DataFrame, most: int = 2048, documents: int = 2048, attention: float | None = None, weights: tuple[float, float, float] = (1.0, 1e-6, 1e-6), group: int = 16384) -> DataFrame:
     """Pieces with the sequence that holds them (``sequence_id``) and their place there (``offset``).
 
     Capacities of a sequence: ``most`` tokens, ``documents`` pieces and ``attention`` cost, the sum of
     squared lengths (by default what one full piece costs, which never binds alone). Pieces are
-    dealt at random into groups of about ``group`` pieces and each group is packed on its own: a task
-    never holds more, whatever a source or group of copies weighs, and a group can leave one
-    sequence part empty beyond what one packing of all would. Piece order within equal lengths is
+    dealt at random into groups of about ``group`` pieces, repeated rows like others, and each group is
+    packed on its own: a task never holds more, whatever a source or group of copies weighs, and a
+    group can leave one sequence part empty beyond what one packing of all would. Piece order within equal lengths is
     by id, so reruns agree. An empty table gives an empty one.
     """
     attention = float(most) ** 2 if attention is None else attention
     groups = max(1, round(pieces.count() / group))
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
     keep = [f.name for f in pieces.schema.fields]
+    # A null adds nothing to the hash, so that rows without repetitions are dealt by their own values.
+    again = F.when(F.col("_again") > 0, F.col("_again"))
+    dealt = repetitions(pieces, "_again").select(*keep, F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", again), F.lit(groups)).alias("_group"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields) + ", sequence_id long, offset long"
 
     def place(table: pa.Table) -> pa.Table:

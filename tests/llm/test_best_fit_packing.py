@@ -1,13 +1,13 @@
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from hazardgrid.llm.best_fit_packing import best_fit_packing, fit, pack, token_pieces
+from hazardgrid.llm.best_fit_packing import best_fit_packing, fit, pack, repetitions, token_pieces
 from hazardgrid.llm.queries import tokenizer
 
 from .helpers import clashing, documents, rows
@@ -57,6 +57,20 @@ def test_repeated_rows_and_null_ids(spark):
     assert [r["length"] for r in found] == [3] * 4 and sorted(r["offset"] for r in found) == [0, 3, 6, 9]
 
 
+def test_repeated_rows_are_dealt_out(spark):
+    same = spark.range(9000).selectExpr("if(id < 5000, 7L, NULL) AS doc_id", "0 AS piece", "0L AS start", "3L AS length", "5L AS ids_crc32")
+    own = spark.range(1000).selectExpr("id + 100 AS doc_id", "0 AS piece", "0L AS start", "4L AS length", "id AS ids_crc32")
+    found = pack(same.union(own), most=8, group=100).collect()
+    groups, ids = Counter(r["sequence_id"] >> 32 for r in found), Counter(r["doc_id"] for r in found)
+    assert len(groups) == 100 and max(groups.values()) < 200
+    assert len(ids) == 1002 and ids[7] == 5000 and ids[None] == 4000 and sum(ids.values()) == 10000
+
+
+def test_repetitions_over_several_blocks(spark):
+    counted = repetitions(spark.createDataFrame([(1,)] * 10 + [(None,)] * 3 + [(2,)], "x int"), "n", block=4).collect()
+    assert sorted((r["x"] or 0, r["n"]) for r in counted) == [(0, n) for n in range(3)] + [(1, n) for n in range(10)] + [(2, 0)]
+
+
 def test_many_groups(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = pack(token_pieces(docs, tokenizer()), group=20).collect()
