@@ -8,7 +8,7 @@ before it uses it, so merging all places of the lowest pair together gives what
 from the left gives.
 
 Chunks whose characters this module doesn't normalise itself (special strings, combining marks,
-scripts beyond Latin, Greek and Cyrillic) go to the tokenizer library, one distinct chunk once. No
+emoji, scripts beyond Latin, Greek and Cyrillic) go to the tokenizer library, one distinct chunk once. No
 chunk's tokens depend on another's: white space separates pre-tokens and never becomes one.
 """
 
@@ -32,7 +32,7 @@ _NONE = np.int64(1 << 40)
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Chunks for the library: characters not normalised here, two whose lower case depends on
 #: context or is two characters, and two (U+023A, U+023E) whose lower case is beyond the class table.
-_ODD = r"[^\x00-\x{2ff}\x{370}-\x{52f}]|İ|Σ|Ⱥ|Ⱦ|<\|"
+_ODD = r"[^\x00-\x{2ff}\x{370}-\x{52f}\x{2010}-\x{2027}\x{2030}-\x{205e}\x{20a0}-\x{20bf}]|İ|Σ|Ⱥ|Ⱦ|<\|"
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
 
 
@@ -162,7 +162,7 @@ class Tokens:
         self.merges, self._library = merges, None
         if merges.pattern != PATTERN:
             raise ValueError(f"{merges.path} cuts words by another pattern")
-        chars = [chr(c) for c in range(0x530)]
+        chars = [chr(c) for c in range(0x20C0)]
         self.kinds = np.array([_SPACE if regex.match(r"\s", c) else _LETTER if regex.match(r"\p{L}", c) else _NUMBER if regex.match(r"\p{N}", c) else _OTHER for c in chars], np.int8)
 
     def library(self, chunks: list[str]) -> list[list[int]]:

@@ -44,6 +44,13 @@ def test_every_code_point(library, tokens):
     assert [x.tolist() for x in tokens.ids(pa.array(texts))] == ids(library, texts)
 
 
+def test_punctuation_is_merged_here(library, monkeypatch):
+    merging = Tokens(MergeTable(tokenizer()))
+    monkeypatch.setattr(merging, "library", None)
+    texts = ["“It’s 5 € – or ‘more’…”", "don’t—stop†‡• 1‰ a‑b ‹x› ₽₴ „ja“", "‘’“”—––…€€€" * 9, "naïve‘s ’re ''’s"]
+    assert [x.tolist() for x in merging.ids(pa.array(texts))] == ids(library, texts)
+
+
 def test_runs_of_one_symbol(library, tokens):
     texts = [c * n for c in "ao!=é" for n in range(1, 70)]
     assert tokens.counts(pa.array(texts)).tolist() == [len(x) for x in ids(library, texts)]
