@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardgrid.llm import best_fit_packing, chunk_dedup, embedding_dedup, html_extraction, line_dedup, mixing, quality_knn, simhash_dedup, token_counts, warc
+from hazardgrid.llm import best_fit_packing, bpe_codec, chunk_dedup, embedding_dedup, html_extraction, line_dedup, mixing, quality_knn, simhash_dedup, token_counts, warc
 from hazardgrid.llm.common import table
 
 
@@ -57,6 +57,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages"))
 
 
+def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = bpe_codec.bpe_encode(table(spark, sf_dir, "documents"), tokenizer())
+    decoded = bpe_codec.bpe_decode(ids, tokenizer())
+    return decoded.select("doc_id", bpe_codec.id_count().alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -65,5 +71,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_embedding_dedup, op2_mixing, op3_best_fit_packing, op4_simhash_dedup, op5_quality, op6_exact_dedup, op7_line_dedup,
-    op8_html_extraction, op9_token_counts, op10_warc, pipeline,
+    op8_html_extraction, op9_token_counts, op10_warc, op13_bpe_codec, pipeline,
 )}
