@@ -44,4 +44,33 @@ SELECT page_id, url, CAST(payload_bytes AS BIGINT) AS payload_bytes,
        CASE WHEN page_id <> first THEN first END AS refers_to FROM parts
 """
 
-ORACLES = {"op2_mixing": MIX, "op6_exact_dedup": EXACT, "op10_warc": WARC}
+COLLOCATIONS = r"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+grams AS (SELECT lang, w[i] AS x, CASE WHEN i + 1 <= len(w) THEN w[i + 1] END AS y, CASE WHEN i + 2 <= len(w) THEN w[i + 2] END AS z FROM places),
+f1 AS (SELECT lang, x, count(*) AS f FROM grams GROUP BY ALL),
+f2 AS (SELECT lang, x, y, count(*) AS f FROM grams WHERE y IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, x, y, z, count(*) AS f FROM grams WHERE z IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+cuts AS (
+  SELECT f2.lang, f2.x || ' ' || f2.y AS phrase, f2.f AS a, 1 AS k, p.f AS l, q.f AS r FROM f2
+  JOIN f1 p ON p.lang = f2.lang AND p.x = f2.x JOIN f1 q ON q.lang = f2.lang AND q.x = f2.y
+  WHERE NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND f3.x = f2.x AND f3.y = f2.y AND 100 * f3.f >= 50 * f2.f)
+    AND NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND f3.y = f2.x AND f3.z = f2.y AND 100 * f3.f >= 50 * f2.f)
+  UNION ALL
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, f3.f, 1, p.f, q.f FROM f3
+  JOIN f1 p ON p.lang = f3.lang AND p.x = f3.x JOIN f2 q ON q.lang = f3.lang AND q.x = f3.y AND q.y = f3.z
+  UNION ALL
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, f3.f, 2, p.f, q.f FROM f3
+  JOIN f2 p ON p.lang = f3.lang AND p.x = f3.x AND p.y = f3.y JOIN f1 q ON q.lang = f3.lang AND q.x = f3.z),
+scores AS (SELECT *, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS cut FROM scores),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest WHERE cut = 1),
+totals AS (SELECT lang, sum(f) AS n FROM f1 GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES = {"op2_mixing": MIX, "op6_exact_dedup": EXACT, "op10_warc": WARC, "op12_collocations": COLLOCATIONS}
