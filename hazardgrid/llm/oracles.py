@@ -73,4 +73,29 @@ totals AS (SELECT lang, sum(f) AS n FROM f1 GROUP BY lang)
 SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
-ORACLES = {"op2_mixing": MIX, "op6_exact_dedup": EXACT, "op10_warc": WARC, "op12_collocations": COLLOCATIONS}
+SEARCH = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+sizes AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM docs WHERE len(terms) > 0),
+items AS (
+  SELECT row_number() OVER () AS item, item_id,
+         list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms FROM benchmark),
+wanted AS (SELECT item, unnest(terms) AS term FROM items),
+every AS (SELECT row, len(terms) AS n, unnest(terms) AS term FROM docs),
+postings AS (SELECT row, n, term, count(*) AS tf FROM every WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, sizes GROUP BY term),
+scores AS (
+  SELECT item, row, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM wanted JOIN postings USING (term) JOIN weights USING (term), sizes GROUP BY item, row),
+ranked AS (
+  SELECT item, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scores JOIN docs USING (row) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN items USING (item) WHERE rank <= 10
+"""
+
+ORACLES = {"op2_mixing": MIX, "op6_exact_dedup": EXACT, "op10_warc": WARC, "op11_ranked_search": SEARCH, "op12_collocations": COLLOCATIONS}

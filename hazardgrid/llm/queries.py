@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardgrid.llm import best_fit_packing, bpe_codec, chunk_dedup, collocations, embedding_dedup, html_extraction, line_dedup, mixing, quality_knn, simhash_dedup, token_counts, warc
+from hazardgrid.llm import best_fit_packing, bpe_codec, chunk_dedup, collocations, embedding_dedup, html_extraction, line_dedup, mixing, quality_knn, ranked_search, simhash_dedup, token_counts, warc
 from hazardgrid.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -75,5 +79,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_embedding_dedup, op2_mixing, op3_best_fit_packing, op4_simhash_dedup, op5_quality, op6_exact_dedup, op7_line_dedup,
-    op8_html_extraction, op9_token_counts, op10_warc, op12_collocations, op13_bpe_codec, pipeline,
+    op8_html_extraction, op9_token_counts, op10_warc, op11_ranked_search, op12_collocations, op13_bpe_codec, pipeline,
 )}
