@@ -40,13 +40,13 @@ _BOXES = ((0, 0, -4, -3.5, 3.25, 2.75), (0, 1, -3.25, -2.5, 1.5, 1.25), (1, 0, 3
 
 
 def _boxes() -> str:
-    """Edges of the rectangles as rows, anticlockwise."""
+    """Edges of the rectangles as rows, anticlockwise; once for odd and once for even zones, to join on."""
     rows = []
-    for part, ring, left, bottom, right, top in _BOXES:
+    for odd, (part, ring, left, bottom, right, top) in ((odd, box) for odd in (0, 1) for box in _BOXES):
         points = ((left, bottom), (right, bottom), (right, top), (left, top))
         for seq, ((ax, ay), (bx, by)) in enumerate(zip(points, points[1:] + points[:1], strict=True)):
             numbers = ", ".join(f"CAST({v} AS DOUBLE) AS {n}" for v, n in ((ax, "ax"), (ay, "ay"), (bx, "bx"), (by, "by_")))
-            rows.append(f"SELECT {part} AS part, {ring} AS ring, {seq} AS seq, {numbers}")
+            rows.append(f"SELECT {odd} AS odd, {part} AS part, {ring} AS ring, {seq} AS seq, {numbers}")
     return " UNION ALL ".join(rows)
 
 
@@ -116,7 +116,7 @@ SELECT GID_1 AS gadm_id, GID_0 AS gid0, part, ring, seq,
   cx + CASE WHEN turned THEN ax ELSE bx END AS x2, cy + CASE WHEN turned THEN ay ELSE by_ END AS y2
 FROM (SELECT GID_1, GID_0, part, ring, seq, CAST(FLOOR(zone_no / 15) AS DOUBLE) AS cx, CAST(zone_no * 7 % 60 AS DOUBLE) AS cy,
     ax, ay, bx, by_, FLOOR(zone_no / CASE part * 2 + ring WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 4 ELSE 8 END) % 2 = 1 AS turned
-  FROM zones_fx CROSS JOIN ({_boxes()}) b) t""",
+  FROM zones_fx JOIN ({_boxes()}) b ON zone_no % 2 = odd) t""",
     # Tidy statistics per hazard and province on three scales.
     "base_stats_fx": """
 SELECT c.hazard, CONCAT('Z', CAST(o_custkey AS VARCHAR(20))) AS gadm_id, c.scenario, c.time,
