@@ -157,13 +157,88 @@ def build_hundred(
     return tables
 
 
+def long_statistics(
+    stats: DataFrame, scales: tuple[str, ...], scenarios: tuple[str, ...], columns: dict[str, str], ord_by: tuple[str, ...] = ()
+) -> DataFrame | None:
+    """One rounded row per zone, scale, scenario, hazard and time, with a column for each statistic.
+
+    ``columns`` names the statistics (``mean``) and their columns (``score_mean``); those that are missing are
+    left out, and without zone, time or any of them there is nothing. What ``select_stats``
+    chooses for one scale and scenario is chosen here for all asked for, from one scan.
+    """
+    lacking = [c for c in ("gadm_id", "time") if c not in stats.columns]
+    there = {name: c for name, c in columns.items() if c in stats.columns}
+    for c in [*lacking, *(c for c in columns.values() if c not in stats.columns)]:
+        log.warning("skipped: no column %s", c)
+    if lacking or not there:
+        return None
+
+    def labelled(df: DataFrame, name: str, wanted: list[str], label: Column) -> DataFrame:
+        if name not in df.columns:
+            return df.withColumn(name, F.explode(F.array(*map(F.lit, wanted))))
+        return df.withColumn(name, label).filter(F.col(name).isin(*wanted))
+
+    rows = labelled(stats, "scoring", [str(k) for k in scales], F.col("scoring").cast("string"))
+    # Of the 0–100 scale one statistic is chosen for all scenarios, which share their bounds.
+    if "statistic" in rows.columns:
+        scenario = F.upper("scenario") if "scenario" in rows.columns else F.lit("")
+        rows = rows.withColumn("_slice", F.when(F.col("scoring") != "100", scenario).otherwise(""))
+        rows = prefer_statistic(rows, by=("hazard", "scoring", "_slice")).drop("_slice")
+    rows = labelled(rows, "scenario", [c.upper() for c in scenarios], F.upper("scenario"))
+
+    def rounded(c: str) -> Column:
+        first = _first_value(c, ord_by)
+        return F.when(F.col("scoring") == "100", round_stat(first, "100", c)).otherwise(round_stat(first, "5", c))
+
+    return rows.groupBy("gadm_id", "scoring", "scenario", "hazard", "time").agg(*[rounded(c).alias(name) for name, c in there.items()])
+
+
+def stretch_hundred(long: DataFrame, names: list[str], known: DataFrame, mild: str, severe: str) -> DataFrame:
+    """The 0–100 rows of ``long_statistics`` between the bounds of their hazard, each statistic on its own.
+
+    Bounds come from the zones in ``known`` and are shared by the scenarios; other scales pass as they are.
+    """
+    hundred = F.col("scoring") == "100"
+    base = long.filter(hundred & F.col("hazard").isin(*HAZARDS)).join(known, "gadm_id", "left_semi")
+    ends = []
+    for name in names:
+        v = F.when(F.col(name) != 0, F.col(name))
+        ends.append(F.min(F.when((F.col("scenario") == mild.upper()) & (F.col("time") == "Cc"), v)).alias(f"_lo_{name}"))
+        ends.append(F.max(F.when((F.col("scenario") == severe.upper()) & (F.col("time") == "Lt"), v)).alias(f"_hi_{name}"))
+    # At most one row per hazard, so this side always broadcasts.
+    joined = long.join(F.broadcast(base.groupBy("hazard").agg(*ends)), "hazard", "left")
+    for name in names:
+        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        usable = hundred & lo.isNotNull() & hi.isNotNull() & (lo != hi)
+        joined = joined.withColumn(name, F.when(usable, rescale_hundred(F.col(name), lo, hi)).otherwise(F.col(name)))
+    return joined.select(*long.columns)
+
+
+def wide_statistics(long: DataFrame, names: list[str]) -> DataFrame:
+    """One row per zone, scale and scenario, with columns ``{HAZARD}_{TIME}_{statistic}`` for all 56 pairs."""
+    keyed = long.withColumn("_key", F.concat_ws("_", "hazard", "time"))
+    wide = keyed.groupBy("gadm_id", "scoring", "scenario").pivot("_key", list(HAZARD_COLUMNS)).agg(*[F.min(c).alias(c) for c in names])
+    return wide.withColumnsRenamed({c: f"{c}_{names[0]}" for c in HAZARD_COLUMNS}) if len(names) == 1 else wide
+
+
+def wide_table(wide: DataFrame, meta: DataFrame, scale: str, name: str, scenario: str, level: int = 1, fill: float = 0) -> DataFrame:
+    """One table of ``wide_statistics`` with the metadata of its zones, in the fixed schema."""
+    rows = wide.filter((F.col("scoring") == str(scale)) & (F.col("scenario") == scenario.upper()))
+    rows = rows.select("gadm_id", *[F.col(f"{c}_{name}").alias(c) for c in HAZARD_COLUMNS])
+    return _finish(meta, rows, level, whole=name != "std" and str(scale) != "100", fill=fill)
+
+
 __all__ = [
     "attach_metadata",
     "build_combined",
     "build_hundred",
     "hundred_bounds",
+    "long_statistics",
     "merge_hazards",
     "normalize_hundred",
     "pivot_time",
     "select_stats",
+    "stretch_hundred",
+    "wide_statistics",
+    "wide_table",
 ]

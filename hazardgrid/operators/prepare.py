@@ -199,6 +199,50 @@ def tidy_scored(df: DataFrame, dims: DataFrame, order: tuple[str, ...] = ()) ->
     return df.drop(*gone), spark.createDataFrame(rows, T.StructType([T.StructField(c, T.StringType()) for c in left]))
 
 
+def tidy_hazards(df: DataFrame, dims: DataFrame, order: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], DataFrame, DataFrame]]:
+    """``tidy_scored`` for every hazard of a table at once.
+
+    Hazards that keep the same labels come out as one frame: their codes, their scores and their label
+    combinations (with ``hazard``). The choice of the statistic, of labels to drop and of coordinates is each hazard's
+    own. Only ``dims`` is read: the label combinations, a few dozen a hazard, come to the driver.
+    """
+    labels = [c for c in dims.columns if c not in ("kind", "coord", "first", "last")]
+    doubled = F.max(F.col("coord").isNotNull() & (F.col("first") < F.col("last"))).alias("doubled")
+    shown = [F.when((F.col("kind") == "labels") | F.lit(c == "hazard"), F.col(c)).alias(c) for c in labels]
+    found = dims.groupBy("kind", *shown).agg(doubled).collect()
+    uneven = {c: sorted({r["hazard"] for r in found if r["kind"] == c and r["doubled"]}) for c in ("lat", "lon")}
+    picks: dict[str | None, list[str]] = {}
+    groups: dict[tuple[str, ...], dict[str, list[dict]]] = {}
+    keep = ("hazard", "scenario", "time", "scoring")
+    for hazard in sorted({r["hazard"] for r in found if r["kind"] == "labels"}):
+        combos = [{c: r[c] for c in labels} for r in found if r["kind"] == "labels" and r["hazard"] == hazard]
+        if "statistic" in labels:
+            rank = {s: i for i, s in enumerate(order)}
+            names = {r["statistic"] for r in combos}
+            pick = min(names, key=lambda s: ((s or "").lower() != "mean", rank.get(s, len(rank)), s is None, s or ""))
+            picks.setdefault(pick, []).append(hazard)
+            combos = [r for r in combos if r["statistic"] == pick]
+        left = tuple(c for c in labels if c in keep or len({r[c] for r in combos}) > 1)
+        groups.setdefault(left, {})[hazard] = combos
+    if picks:
+        df = df.filter(reduce(lambda a, b: a | b, [F.col("hazard").isin(*codes) & F.col("statistic").eqNullSafe(F.lit(pick)) for pick, codes in picks.items()]))
+    out = []
+    for left, hazards in groups.items():
+        rows = df.filter(F.col("hazard").isin(*hazards)).drop(*[c for c in labels if c not in left])
+        for coord in ("lat", "lon"):
+            codes = [h for h in uneven[coord] if h in hazards]
+            if coord in df.columns and codes:
+                axis = dims.filter((F.col("kind") == coord) & F.col("coord").isNotNull() & F.col("hazard").isin(*codes))
+                firsts = axis.groupBy(F.col("hazard").alias("_hazard"), F.col("coord").alias("_coord")).agg(F.min("first").alias("_first"))
+                rows = rows.join(firsts, (F.col("hazard") == F.col("_hazard")) & (F.col(coord) == F.col("_coord")), "left")
+                even = F.col(coord).isNull() | ~F.col("hazard").isin(*codes)
+                rows = rows.filter(even | (F.col(f"{coord}_idx") == F.col("_first"))).drop("_hazard", "_coord", "_first")
+        shown = sorted({tuple(r[c] for c in left) for combos in hazards.values() for r in combos}, key=str)
+        combos = df.sparkSession.createDataFrame(shown, T.StructType([T.StructField(c, T.StringType()) for c in left]))
+        out.append((tuple(hazards), rows, combos))
+    return out
+
+
 def axis_of(dims: DataFrame, coord: str) -> DataFrame:
     """``{coord}_idx`` and ``{coord}`` of every coordinate in ``dims`` (its first index)."""
     rows = dims.filter((F.col("kind") == coord) & F.col("coord").isNotNull())

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Callable
 from functools import reduce
 
@@ -15,12 +14,11 @@ from hazardgrid.operators.align import align, ensemble_mean, fill_current_climat
 from hazardgrid.operators.gapfill import gap_fill
 from hazardgrid.operators.prepare import drop_singleton_dims, scale_values, select_metric
 from hazardgrid.operators.scoring import bounds_of, fan_out, minmax_bounds, with_bounds
+from hazardgrid.plans.concurrent import run_each
 from hazardgrid.schema import CELL, GridSpec
 from hazardgrid.sources.stage import stage
 from hazardgrid.sources.writers import write_scored
 
-log = logging.getLogger(__name__)
-
 DEFAULT_SCALES = ("5", "10")
 
 
@@ -258,16 +256,9 @@ def score_hazard(
 
 
 def score_all(inputs: dict[str, Callable[[], dict]], scales=DEFAULT_SCALES, out: str | None = None) -> tuple[dict[str, DataFrame], dict[str, Exception]]:
-    """Score every hazard named; one that fails is logged and the rest go on.
+    """Score every hazard named, some side by side; one that fails is logged and the rest go on.
 
     ``inputs`` maps a hazard code to a function that opens its sources, as keyword arguments of
-    ``score_hazard``.
+    ``score_hazard``. Hazards are partitions of the table at ``out``, so their writes don't meet.
     """
-    done, failed = {}, {}
-    for code, opener in inputs.items():
-        try:
-            done[code] = score_hazard(code, scales=scales, out=out, **opener())
-        except Exception as error:  # noqa: BLE001 - one hazard must not stop the others
-            log.error("%s: scoring failed: %s", code, error)
-            failed[code] = error
-    return done, failed
+    return run_each("scoring", {code: (lambda code=code, opener=opener: score_hazard(code, scales=scales, out=out, **opener())) for code, opener in inputs.items()})

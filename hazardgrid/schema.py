@@ -18,6 +18,7 @@ META_COLUMNS = {
     2: ("GID_0", "COUNTRY", "GID_1", "NAME_1", "GID_2", "NAME_2"),
 }
 ZONE_ID = {0: "GID_0", 1: "GID_1", 2: "GID_2"}
+AREA = {0: "country", 1: "province", 2: "district"}
 SCALE_FOLDER = {"5": "five", "10": "ten", "100": "hundred"}
 STAT_COLUMNS = {"mean": "score_mean", "max": "score_max", "std": "score_stdev"}
 

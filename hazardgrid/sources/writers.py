@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazardgrid.schema import HAZARD_STATS, SCALE_FOLDER, SCORED, labels_of
+from hazardgrid.schema import AREA, HAZARD_STATS, SCALE_FOLDER, SCORED, labels_of
 from hazardgrid.sources.readers import CSV
 
 
@@ -68,9 +68,9 @@ def export_hazard_stats(df: DataFrame, base: str, hazard: str, level: int) -> st
 
 
 def combined_path(base: str, scale: str, stat: str, scenario: str, level: int) -> str:
-    """``{base}/five/hazard_score_province_mean_45.csv`` and so on."""
+    """``{base}/five/hazard_score_province_mean_45.csv`` and so on; each level has its own name."""
     folder = SCALE_FOLDER.get(str(scale), f"scale{scale}")
-    area = "province" if level == 1 else "country"
+    area = AREA[level]
     return f"{base}/{folder}/hazard_score_{area}_{stat}_{scenario.upper().replace('RCP', '')}.csv"
 
 

@@ -125,3 +125,4 @@ def test_paths():
     assert combined_path("b", "5", "mean", "rcp45", 1) == "b/five/hazard_score_province_mean_45.csv"
     assert combined_path("b", "100", "std", "RCP85", 0) == "b/hundred/hazard_score_country_std_85.csv"
     assert combined_path("b", "3", "max", "RCP85", 1) == "b/scale3/hazard_score_province_max_85.csv"
+    assert len({combined_path("b", "5", "mean", "RCP85", level) for level in (0, 1, 2)}) == 3
