@@ -27,8 +27,8 @@ from hazardgrid.llm.terms import parts, word_array, word_spans
 BLANK = np.isin(np.arange(256), [0x20, 0x09])
 BREAK = np.isin(np.arange(256), [*b".,;:!?", *range(0x0A, 0x0E)])
 INSIDE = ~(BLANK | BREAK)
-#: Bytes of text in a slice; pairs counted at a time; side of a tile, and tiles along a side of the head.
-SLICE, PAIRS, SIDE, HEAD = 8 << 20, 4 << 20, 1024, 8
+#: Bytes of text in a slice; pairs counted at a time (more cost memory, not rows); side of a tile, and tiles along a side of the head.
+SLICE, PAIRS, SIDE, HEAD = 4 << 20, 1 << 20, 1024, 8
 
 
 # -- texts to arrays ----------------------------------------------------------------------------
@@ -42,8 +42,9 @@ def coded_words(values: np.ndarray, edges: np.ndarray, langs: pa.Array, begin: i
     """
     starts, stops = word_spans(values, edges, INSIDE)
     text = np.searchsorted(edges, starts, "right") - 1
-    breaks = np.r_[0, np.cumsum(BREAK[values])]
-    apart = np.r_[True, (breaks[starts[1:]] != breaks[starts[:-1]]) | (text[1:] != text[:-1])][: len(starts)]
+    breaks = np.flatnonzero(BREAK[values])
+    piece = np.searchsorted(breaks, starts)
+    apart = np.r_[True, (piece[1:] != piece[:-1]) | (text[1:] != text[:-1])][: len(starts)]
     words = word_array(values, starts, stops, INSIDE).dictionary_encode()
     names = pc.fill_null(langs, "und").dictionary_encode()
     lang = names.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -134,6 +135,12 @@ def pair_places(grams: np.ndarray, words: np.ndarray, skip: int) -> np.ndarray:
     return at[at >= skip]
 
 
+def unpacked(words: pa.BinaryScalar, grams: pa.BinaryScalar) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of words and of phrases at the places of a slice; the phrases are the words at first."""
+    words = np.frombuffer(words.as_buffer(), np.int32)
+    return words, words if not grams.is_valid else np.frombuffer(grams.as_buffer(), np.int32 if len(grams.as_buffer()) == 4 * len(words) else np.int64)
+
+
 def counted(placed: DataFrame, width: int) -> DataFrame:
     """How often every pair of a phrase and the word behind it occurs: ``key``, ``f``."""
 
@@ -145,11 +152,11 @@ def counted(placed: DataFrame, width: int) -> DataFrame:
 
         for batch in batches:
             for skip, words, grams in zip(*(batch.column(c) for c in ("skip", "words", "grams")), strict=True):
-                words, grams = (np.frombuffer(x.as_buffer(), np.int64) for x in (words, grams))
+                words, grams = unpacked(words, grams)
                 at = pair_places(grams, words, skip.as_py())
                 for block in range(0, len(at), PAIRS):
                     some = at[block : block + PAIRS]
-                    held.append(grams[some - 1] * width + words[some])
+                    held.append(grams[some - 1].astype(np.int64) * width + words[some])
                     size += len(some)
                     if size >= PAIRS:
                         yield done()
@@ -197,10 +204,9 @@ def placed_words(coded: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
     def place(left: pa.Table, right: pa.Table) -> pa.Table:
         codes = np.frombuffer(left.column("codes")[0].as_buffer(), np.int32)
-        ids = np.full(codes.max(initial=-1) + 2, -1, np.int64)  # the last one for the place between pieces
+        ids = np.full(codes.max(initial=-1) + 2, -1, np.int32)  # the last one for the place between pieces
         ids[right.column("code").to_numpy()] = right.column("id").to_numpy()
-        ids = [ids[codes].tobytes()]
-        return pa.table({"slice": left.column("slice"), "skip": left.column("skip"), "words": ids, "grams": ids})
+        return pa.table({"slice": left.column("slice"), "skip": left.column("skip"), "words": [ids[codes].tobytes()], "grams": pa.nulls(1, pa.binary())})
 
     schema = "slice long, skip int, words binary, grams binary"
     return coded.select("slice", "skip", "codes").groupBy("slice").cogroup(found.groupBy("of")).applyInArrow(place, schema)
@@ -213,11 +219,12 @@ def placed_phrases(placed: DataFrame, level: DataFrame, width: int) -> DataFrame
     the join that follows is exact however full the bitmap is.
     """
     bitmap = placed.sparkSession.sparkContext.broadcast(key_filter(level))
+    kind = np.int32 if level.count() < 1 << 31 else np.int64
 
     def keys_of(words, grams) -> tuple[np.ndarray, np.ndarray]:
-        words, grams = (np.frombuffer(x.as_buffer(), np.int64) for x in (words, grams))
+        words, grams = unpacked(words, grams)
         at = pair_places(grams, words, 0)
-        return at, grams[at - 1] * width + words[at]
+        return at, grams[at - 1].astype(np.int64) * width + words[at]
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = int(np.log2(len(bitmap.value))) + 5
@@ -235,7 +242,7 @@ def placed_phrases(placed: DataFrame, level: DataFrame, width: int) -> DataFrame
         at, keys = keys_of(words, grams)
         order = np.argsort(right.column("key").to_numpy())
         known, ids = right.column("key").to_numpy()[order], right.column("id").to_numpy()[order]
-        out = np.full(len(words.as_buffer()) // 8, -1, np.int64)
+        out = np.full(len(words.as_buffer()) // 4, -1, kind)
         if len(known):
             here = np.minimum(np.searchsorted(known, keys), len(known) - 1)
             out[at] = np.where(known[here] == keys, ids[here], -1)
@@ -293,6 +300,8 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", max_wo
     totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
     words = numbered(counts.filter(F.col("f") >= least), [F.desc("f"), "lang", "phrase"], "vocabulary")
     width = max(words.count(), 1)
+    if width >= 1 << 31:
+        raise ValueError(f"{width} words occur {least} times or more; raise the least number")
     placed = saved(placed_words(coded, words), "placed")
     forget(coded)
     shorter = words.select("id", "lang", "phrase", "f", F.array().cast("array<long>").alias("lefts"), F.lit(None).cast("long").alias("rest"))
