@@ -92,7 +92,8 @@ def statistics(name: str, missing: str) -> list[Column]:
         absent = F.when(partial, total - w).otherwise(0.0)
         m2 = m2 + w * absent / total * mean * mean
         peak = F.when(partial, F.greatest(F.coalesce(peak, F.lit(0.0)), F.lit(0.0))).otherwise(peak)
-        w, mean = total, F.when(partial, mean * w / total).otherwise(mean)
+        # The sum over the whole weight, not the mean of a part scaled down: exact where the sum is.
+        w, mean = total, F.when(partial, F.coalesce(F.col(f"ws_{name}"), F.lit(0.0)) / total).otherwise(mean)
     spread = F.sqrt(m2 / nonzero(w))
     return [mean.alias("score_mean"), peak.cast("double").alias("score_max"), spread.alias("score_stdev")]
 

@@ -635,7 +635,6 @@ _FIVE_STATS = "SELECT gadm_id, hazard, time, round_even(CAST(m AS DOUBLE), 0) AS
 )
 add("full_run_five", _RUN_VIEWS, [_RUN, *_RUN_FIRE, *_run_scores("5"), *CENTER, _CF_AXES, *_run_coast(), _RUN_ZONES, f"st AS ({_FIVE_STATS})", f"w AS ({_pivot('v', 'st')})"],
     f"SELECT {_META1}, {_filled('INT')} FROM zones_fx z LEFT JOIN w ON z.GID_1 = w.gadm_id")
-ORACLES["flagship"] = ORACLES["full_run_five"]
 _FLOOD_MEANS = " UNION ALL ".join(
     f"""SELECT gadm_id, '{code}' AS hazard, scenario, time, SUM(coverage * s100) / SUM(coverage) AS m FROM zc JOIN f_{code} USING (lat_idx, lon_idx)
   WHERE s100 IS NOT NULL GROUP BY ALL""" for code in ("RF", "CF")
@@ -647,3 +646,46 @@ add("full_run_hundred", _RUN_VIEWS, [
     f"st AS (SELECT hazard, time, gadm_id, {_STRETCH.format(v='v')} AS v FROM l LEFT JOIN hb USING (hazard) WHERE scenario = 'RCP85')",
     f"w AS ({_pivot('v', 'st')})",
 ], f"SELECT {_META1}, {_filled('DOUBLE')} FROM zones_fx z LEFT JOIN w ON z.GID_1 = w.gadm_id")
+
+
+# All tables of a run: both scales, three statistics, two scenarios.
+_RUN_SPREAD = """zs AS (SELECT gadm_id, hazard, scenario, time, m, top, SQRT(GREATEST(sq / total - m * m, 0)) AS sd
+  FROM (SELECT k.gadm_id, k.hazard, k.scenario, k.time, ANY_VALUE(k.total) AS total, COALESCE(SUM(z.s * z.coverage), 0) / ANY_VALUE(k.total) AS m,
+    COALESCE(MAX(z.s), 0) AS top, COALESCE(SUM(z.s * z.s * z.coverage), 0) AS sq
+  FROM (SELECT zw.*, l.* FROM zw CROSS JOIN (SELECT DISTINCT hazard, scenario, time FROM sg) l) k
+  LEFT JOIN (SELECT zc.gadm_id, zc.coverage, sg.* FROM zc JOIN sg USING (lat_idx, lon_idx)) z
+    ON z.gadm_id = k.gadm_id AND z.hazard = k.hazard AND z.scenario = k.scenario AND z.time = k.time
+  GROUP BY 1, 2, 3, 4))"""
+_RUN_TOTALS = _RUN_ZONES.split(",\nzs AS")[0]
+_LONG = "SELECT gadm_id, hazard, scenario, time, m, top, sd FROM zs UNION ALL "
+_FIVE_ALL = _LONG + " UNION ALL ".join(
+    f"SELECT gadm_id, '{code}', scenario, time, score_mean, score_max, score_stdev FROM ({_classes(code, _risk('5', coast).replace(' fl', f' f_{code}'))})"
+    for code, coast in (("RF", None), ("CF", "coast"))
+)
+_HUNDRED_ALL = _LONG + " UNION ALL ".join(
+    f"""SELECT gadm_id, '{code}', scenario, time, mu, MAX(s100), SQRT(SUM(coverage * (s100 - mu) * (s100 - mu)) / SUM(coverage))
+  FROM (SELECT *, SUM(coverage * s100) OVER w / SUM(coverage) OVER w AS mu FROM zc JOIN f_{code} USING (lat_idx, lon_idx) WHERE s100 IS NOT NULL
+    WINDOW w AS (PARTITION BY gadm_id, scenario, time)) GROUP BY gadm_id, scenario, time, mu""" for code in ("RF", "CF")
+)
+
+
+def _run_tables(scale: str) -> str:
+    """The six tables of one scale."""
+    long = _FIVE_ALL if scale == "5" else _HUNDRED_ALL
+    places = {"mean": 0, "max": 0, "std": 4} if scale == "5" else {"mean": 2, "max": 2, "std": 4}
+    ctes = [_RUN, *_RUN_FIRE, *_run_scores(scale), *CENTER, _CF_AXES.replace("s5", f"s{scale}"), *_run_coast(), _RUN_TOTALS, _RUN_SPREAD,
+            f"al AS (SELECT * FROM ({long}) WHERE scenario <> 'HISTORICAL' AND gadm_id IN (SELECT GID_1 FROM zones_fx))"]
+    parts = []
+    for stat, column in (("mean", "m"), ("max", "top"), ("std", "sd")):
+        ctes.append(f"l_{stat} AS (SELECT gadm_id, hazard, scenario, time, round_even(CAST({column} AS DOUBLE), {places[stat]}) AS v FROM al)")
+        if scale == "100":
+            ctes.append(_HB.format(v="v", source=f"l_{stat}").replace("hb AS", f"hb_{stat} AS"))
+            ctes.append(f"st_{stat} AS (SELECT gadm_id, hazard, scenario, time, {_STRETCH.format(v='v')} AS v FROM l_{stat} LEFT JOIN hb_{stat} USING (hazard))")
+        for scenario in ("RCP45", "RCP85"):
+            source = f"(SELECT * FROM {'st' if scale == '100' else 'l'}_{stat} WHERE scenario = '{scenario}')"
+            parts.append(f"""SELECT '{scale}' AS scale, '{stat}' AS stat, '{scenario}' AS scenario, {_META1}, {_filled('DOUBLE')}
+FROM zones_fx z LEFT JOIN ({_pivot('v', source)}) w ON z.GID_1 = w.gadm_id""")
+    return _with(_RUN_VIEWS, ctes, " UNION ALL ".join(parts))
+
+
+ORACLES["flagship"] = " UNION ALL ".join(f"SELECT * FROM ({_run_tables(scale)})" for scale in ("5", "100"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from hazardgrid.plans import (
     score_sub,
     score_wf,
 )
-from hazardgrid.schema import CELL, HAZARDS
+from hazardgrid.schema import CELL, HAZARD_COLUMNS, HAZARDS
 from hazardgrid.sources import readers, stage, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -775,28 +776,33 @@ def _run_inputs(spark: SparkSession, sf: str) -> dict[str, Callable[[], dict]]:
     return {code: lambda code=code: opened(code) for code in HAZARDS}
 
 
-def _full_run(spark: SparkSession, sf: str, scale: str, scenarios: tuple[str, ...]) -> DataFrame:
-    base = _folder(spark, "run")
+def _full_run(spark: SparkSession, sf: str, scales: tuple[str, ...], scenarios: tuple[str, ...], stats: tuple[str, ...]) -> dict[tuple[str, str, str], DataFrame]:
+    """The tables a whole run has written, by scale, statistic and scenario."""
     zones = view(spark, sf, "zones_fx")
     tables = full_run(
-        spark, _run_inputs(spark, sf), {1: _zone_cells(spark, sf, "center")}, {1: zones}, base, (scale,), coast=view(spark, sf, "coarse_coast_fx"),
-        scenarios=scenarios, stat_names=("mean",), zones={1: zones.select(F.col("GID_1").alias("gadm_id"), F.col("GID_0").alias("gid0"))},
+        spark, _run_inputs(spark, sf), {1: _zone_cells(spark, sf, "center")}, {1: zones}, _folder(spark, "run"), scales, coast=view(spark, sf, "coarse_coast_fx"),
+        scenarios=scenarios, stat_names=stats, zones={1: zones.select(F.col("GID_1").alias("gadm_id"), F.col("GID_0").alias("gid0"))},
     )
-    table = tables[1, scale, "mean", "RCP85"]
-    return spark.read.schema(table.schema).options(**readers.CSV).csv(writers.combined_path(f"{base}/combined", scale, "mean", "RCP85", 1))
+    return {key[1:]: table for key, table in tables.items()}
 
 
 @query
 def full_run_five(spark: SparkSession, sf: str) -> DataFrame:
-    return _full_run(spark, sf, "5", ("RCP85",))
+    return _full_run(spark, sf, ("5",), ("RCP85",), ("mean",))["5", "mean", "RCP85"]
 
 
 @query
 def full_run_hundred(spark: SparkSession, sf: str) -> DataFrame:
-    return _full_run(spark, sf, "100", ("RCP45", "RCP85"))
+    return _full_run(spark, sf, ("100",), ("RCP45", "RCP85"), ("mean",))["100", "mean", "RCP85"]
 
 
 @query
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole run: score every hazard, aggregate to provinces, combine to one wide table."""
-    return full_run_five(spark, sf)
+    """The whole run: score every hazard, aggregate to provinces, combine to all twelve wide tables."""
+    tables = _full_run(spark, sf, ("5", "100"), ("RCP45", "RCP85"), ("mean", "max", "std"))
+    named = [
+        table.select(F.lit(scale).alias("scale"), F.lit(stat).alias("stat"), F.lit(scenario).alias("scenario"),
+                     *[F.col(c).cast("double") if c in HAZARD_COLUMNS else c for c in table.columns])
+        for (scale, stat, scenario), table in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, named)
