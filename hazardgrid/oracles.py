@@ -333,6 +333,9 @@ add("gap_fill_lon", ("grid_fx",), [_FWI, *_fill("fwi", "lonf", "lon_idx", "lat_i
 add("gap_fill_2d", ("grid_fx",), [
     _FWI, _DENSE, *_fill("dense", "lonf", "lon_idx", "lat_idx", 5), *_fill("lonf", "latf", "lat_idx", "lon_idx", 5),
 ], "SELECT * FROM latf")
+add("gap_fill_present", ("grid_fx",), [
+    _FWI, _DENSE, *_fill("dense", "lonf", "lon_idx", "lat_idx", 5), *_fill("lonf", "latf", "lat_idx", "lon_idx", 5),
+], "SELECT * FROM latf WHERE fwi IS NOT NULL")
 oracle("sort_grid", "SELECT scenario, time, lat_idx, lon_idx, value FROM grid_fx", "grid_fx")
 add("concat_scales", ("grid_fx",), [_GRID_BOUNDS],
     f"""SELECT scenario, time, lat_idx, lon_idx, '5' AS scoring, {digitize('value', 'HS', '5')} AS score, CAST(NULL AS VARCHAR) AS statistic FROM grid_fx
@@ -514,6 +517,9 @@ add("weighted_risk", _FLOOD_VIEWS, [*_flood_ctes("RF"), *COVER],
 add("calibrate_bins", _FLOOD_VIEWS, [*_flood_ctes("RF"), *CENTER, f"risk AS ({_risk('5')} UNION ALL {_risk('10')})"],
     "SELECT scoring, " + ", ".join(f"ROUND(list_sort(list(weighted_risk))[CAST(CEIL(COUNT(*) * 0.{q}) AS BIGINT)], 7) AS q{q}0" for q in (2, 4, 6, 8))
     + " FROM risk WHERE weighted_risk > 0 GROUP BY scoring")
+oracle("quantiles_exact", "SELECT hazard, scenario, " + ", ".join(
+    f"list_sort(list(v))[CAST(GREATEST(CEIL(COUNT(*) * {p}), 1) AS BIGINT)] AS {n}" for n, p in (("least", "0"), ("q25", "0.25"), ("q50", "0.5"), ("q90", "0.9"), ("most", "1")))
+    + " FROM (SELECT CASE WHEN hazard <> 'WS' THEN hazard END AS hazard, scenario, CAST(l_orderkey * 10 + l_linenumber AS DOUBLE) AS v FROM cells_fx) GROUP BY hazard, scenario", "cells_fx")
 
 
 def _hundred_part(code: str) -> str:

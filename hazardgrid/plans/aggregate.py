@@ -62,6 +62,7 @@ def aggregate_hazard(
     order: tuple[str, ...] = (),
     bins: dict = QUANTILE_BINS,
     dims: DataFrame | None = None,
+    calibrate: bool = False,
 ) -> DataFrame:
     """Statistics of one hazard for all zones of a level at once.
 
@@ -75,7 +76,7 @@ def aggregate_hazard(
     the cells that enter the join to the box the zones cover. ``countries`` names those to work on
     (default: all but ``skip``), ``zones`` (``gadm_id``, ``gid0``) adds zones without cells to the weighted
     statistics, ``order`` is the order of the statistics labels where ``mean`` is missing, and ``bins``
-    takes calibrated bins (``bins_of``).
+    takes calibrated bins (``bins_of``); with ``calibrate`` the floods' scales without bins get those of this run.
     """
     df = scored.filter(F.col("hazard") == hazard) if "hazard" in scored.columns else scored
     dims = stage(scored_dims(df), f"dims-{hazard}", reuse=False) if dims is None else dims
@@ -89,7 +90,7 @@ def aggregate_hazard(
             raise ValueError("CF needs the coast mask")
         coast = coast if coast_aligned else coast_on_grid(coast, axes=(axis_of(dims, "lat"), axis_of(dims, "lon")))
     listed = None if zones is None else in_countries(zones, countries, skip)
-    return _tidy(flood_statistics(df, cells, hazard, combos, level, coast if hazard == "CF" else None, bins, listed), hazard, level)
+    return _tidy(flood_statistics(df, cells, hazard, combos, level, coast if hazard == "CF" else None, bins, listed, calibrate=calibrate), hazard, level)
 
 
 def aggregate_hazards(
@@ -106,6 +107,7 @@ def aggregate_hazards(
     order: tuple[str, ...] = (),
     bins: dict = QUANTILE_BINS,
     dims: DataFrame | None = None,
+    calibrate: bool = False,
 ) -> DataFrame:
     """Statistics of several hazards of one table of scores, as ``aggregate_hazard`` gives for each.
 
@@ -132,7 +134,7 @@ def aggregate_hazards(
                 own = dims.filter(F.col("hazard") == "CF")
                 shore = coast if coast_aligned else coast_on_grid(coast, axes=(axis_of(own, "lat"), axis_of(own, "lon")))
             some = F.col("hazard").isin(*floods)
-            parts.append(flood_statistics(rows.filter(some), cells, tuple(floods), combos.filter(some), level, shore, bins, listed))
+            parts.append(flood_statistics(rows.filter(some), cells, tuple(floods), combos.filter(some), level, shore, bins, listed, calibrate=calibrate))
     if not parts:
         raise ValueError(f"no scores of {', '.join(hazards)}")
     return _tidy(merge_hazards(parts), None, level)
@@ -145,14 +147,15 @@ def aggregate_all(
     coast: DataFrame | None = None,
     out: str | None = None,
     zones: dict[int, DataFrame] | None = None,
+    table: DataFrame | None = None,
     **options,
 ) -> tuple[dict[tuple[str, int], DataFrame], dict[tuple[str, int], Exception]]:
     """Aggregate every hazard and level; one that fails is logged and the rest go on.
 
-    Frames of one table of scores (``read_scored``) are best given as such: with ``out`` all hazards
-    of a level are aggregated together (``aggregate_hazards``) and written there, levels side by side, and
-    what was staged for them is deleted. Only where that fails is each hazard tried on its own, so
-    that the one to blame is found and the others are done.
+    With ``out`` all hazards of a level are aggregated together (``aggregate_hazards``) and written there,
+    levels side by side, and what was staged for them is deleted; ``table`` holds the scores of all of them
+    where they are one table (``read_scored``), which else is their union. Only where that fails is
+    each hazard tried on its own, so that the one to blame is found and the others are done.
     """
     if not scored:
         return {}, {}
@@ -160,7 +163,9 @@ def aggregate_all(
         return _each_hazard(scored, zone_cells, levels, coast, None, zones, **options)
     spark = next(iter(scored.values())).sparkSession
     try:
-        table = merge_hazards([df.withColumn("hazard", F.lit(code)) for code, df in scored.items()])
+        if table is None:
+            table = merge_hazards([df.withColumn("hazard", F.lit(code)) for code, df in scored.items()])
+        table = table.filter(F.col("hazard").isin(*scored))
         dims = stage(scored_dims(table), "dims", reuse=False)
     except Exception as error:  # noqa: BLE001 - each hazard is tried below
         log.warning("the hazards can't be read together: %s", error)

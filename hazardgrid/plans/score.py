@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hazardgrid.catalog import CATALOG, PROTECTION_FACTOR, SETTINGS, HazardSettings, thresholds
 from hazardgrid.functions import composite, minmax_score, protect, threshold_score
 from hazardgrid.operators.align import align, ensemble_mean, fill_current_climate
-from hazardgrid.operators.gapfill import gap_fill
+from hazardgrid.operators.gapfill import fill_gaps
 from hazardgrid.operators.prepare import drop_singleton_dims, scale_values, select_metric
 from hazardgrid.operators.scoring import bounds_of, fan_out, minmax_bounds, with_bounds
 from hazardgrid.plans.concurrent import run_each
@@ -136,7 +136,7 @@ def fire_composite(
     grid: GridSpec | None = None,
 ) -> DataFrame:
     """Burnability × gap-filled fire weather, on the burnable footprint only."""
-    filled = gap_fill(fwi, fwi_col, n_lat, n_lon, limit, grid)
+    filled = fill_gaps(fwi, fwi_col, n_lat, n_lon, limit, grid)
     footprint = burnability.filter(F.col(burn_col).isNotNull())
     return align(filled, footprint).withColumn("composite", composite(F.col(burn_col), F.col(fwi_col)))
 

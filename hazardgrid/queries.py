@@ -19,6 +19,7 @@ from hazardgrid.operators import combine as cb
 from hazardgrid.operators import gapfill as gf
 from hazardgrid.operators import geometry as geo
 from hazardgrid.operators import prepare as pr
+from hazardgrid.operators import quantiles as qt
 from hazardgrid.operators import regrid as rg
 from hazardgrid.operators import scoring as sc
 from hazardgrid.operators import weighted as wt
@@ -473,8 +474,15 @@ def weighted_risk(spark: SparkSession, sf: str) -> DataFrame:
 def calibrate_bins(spark: SparkSession, sf: str) -> DataFrame:
     scored = _flood_scores(spark, sf, score_rf, ("5", "10"))
     risk = wt.weighted_risk(scored, _zones(spark, sf, "center"))
-    # As accurate as to be exact here: the checking SQL is.
-    return _round(wt.calibrate_bins(risk, ("scoring",), accuracy=1_000_000), "q20", "q40", "q60", "q80", places=7)
+    return _round(wt.calibrate_bins(risk, ("scoring",)), "q20", "q40", "q60", "q80", places=7)
+
+
+@query
+def quantiles_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantiles of all cells by hazard and scenario, more values in a group than a sketch holds."""
+    cells = _cells(spark, sf).select("hazard", "scenario", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("double").alias("v"))
+    found = qt.exact_quantiles(cells.withColumn("hazard", F.when(F.col("hazard") != "WS", F.col("hazard"))), "v", ["hazard", "scenario"], [0.0, 0.25, 0.5, 0.9, 1.0])
+    return found.select("hazard", "scenario", *[F.element_at("quantiles", i + 1).alias(n) for i, n in enumerate(("least", "q25", "q50", "q90", "most"))])
 
 
 @query
@@ -510,6 +518,13 @@ def gap_fill_2d(spark: SparkSession, sf: str) -> DataFrame:
     return gf.gap_fill(_sparse_fwi(spark, sf), "fwi", grid.n_lat, grid.n_lon, 5)
 
 
+@query
+def gap_fill_present(spark: SparkSession, sf: str) -> DataFrame:
+    """The cells that have a value after both passes, without a dense grid."""
+    grid = raster(spark, sf)
+    return gf.fill_gaps(_sparse_fwi(spark, sf), "fwi", grid.n_lat, grid.n_lon, 5)
+
+
 @query
 def sort_grid(spark: SparkSession, sf: str) -> DataFrame:
     return pr.sort_grid(view(spark, sf, "grid_fx").select("scenario", "time", *CELL, "value"))

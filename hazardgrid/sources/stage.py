@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import logging
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +15,9 @@ from hazardgrid.sources.readers import path_exists
 
 log = logging.getLogger(__name__)
 
+#: Local property that names the run a job belongs to; threads of the run inherit it.
+RUN = "hazardgrid.run"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
@@ -62,10 +68,11 @@ def stage(df: DataFrame, name: str, reuse: bool = True, inputs: tuple[str, ...]
 
     An identical stage that was finished before is reused; with ``reuse=False`` a new one is
     written beside it. Written tables survive the loss of executors and cut the lineage, which
-    cached blocks do not. ``unstage`` deletes them.
+    cached blocks do not. ``unstage`` deletes them; those of a run (``staging``) go with it.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stages/{stage_name(df, name, inputs)}"
+    run = spark.sparkContext.getLocalProperty(RUN)
+    path = f"{shared_dir(spark)}/stages/{f'{run}/' if run else ''}{stage_name(df, name, inputs)}"
     if not reuse:
         path = f"{path}-{uuid.uuid4().hex}"
     if reuse and path_exists(spark, f"{path}/_SUCCESS"):
@@ -75,6 +82,50 @@ def stage(df: DataFrame, name: str, reuse: bool = True, inputs: tuple[str, ...]
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """A run: what is staged inside, in its threads as well, has a folder of its own that is deleted at the end.
+
+    However the run ends, and whatever in it staged a table without a thought for it. Frames that read
+    such a table must not leave the run. A run inside another belongs to the outer one. What a driver
+    that was killed leaves is for ``sweep_stages``.
+    """
+    context = spark.sparkContext
+    if context.getLocalProperty(RUN):
+        yield
+        return
+    run = f"run-{int(time.time())}-{uuid.uuid4().hex}"
+    context.setLocalProperty(RUN, run)
+    try:
+        yield
+    finally:
+        context.setLocalProperty(RUN, None)
+        _delete(spark, f"{shared_dir(spark)}/stages/{run}")
+
+
+def sweep_stages(spark: SparkSession, hours: float = 48) -> list[str]:
+    """Delete the folders of runs that began longer ago than any run lasts; returns their paths."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/stages")
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return []
+    gone = []
+    for entry in system.listStatus(root):
+        name = entry.getPath().getName()
+        if name.startswith("run-") and int(name.split("-")[1]) < time.time() - hours * 3600:
+            _delete(spark, entry.getPath().toString())
+            gone.append(entry.getPath().toString())
+    return gone
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    try:
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception as error:  # noqa: BLE001 - clean-up must not fail the job
+        log.warning("stage %s not deleted: %s", folder, error)
+
+
 def unstage(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete the stages the frames read, after the final write; a failure is only logged."""
     root = f"{shared_dir(spark)}/stages/".split(":", 1)[-1].lstrip("/")
@@ -82,8 +133,4 @@ def unstage(spark: SparkSession, *frames: DataFrame) -> None:
         if root not in folder:
             log.warning("%s is not a stage, kept", folder)
             continue
-        try:
-            target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception as error:  # noqa: BLE001 - clean-up must not fail the job
-            log.warning("stage %s not deleted: %s", folder, error)
+        _delete(spark, folder)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazardgrid.operators.align import align, ensemble_mean, fill_current_climate, land_mask
-from hazardgrid.operators.gapfill import densify, fill_along, gap_fill
+from hazardgrid.operators.gapfill import densify, fill_along, fill_gaps, gap_fill
 from hazardgrid.operators.prepare import (
     dedupe_coords,
     drop_singleton_dims,
@@ -153,6 +153,8 @@ def test_gap_fill_equals_a_loop(spark, seed, limit):
     both = list(zip(*[fill_loop(list(col), limit) for col in zip(*by_row, strict=True)], strict=True))
     out = {(r["lat_idx"], r["lon_idx"]): r["v"] for r in gap_fill(df, "v", 17, 23, limit).collect()}
     assert out == {(r, c): both[r][c] for r in range(17) for c in range(23)}
+    present = fill_gaps(df, "v", 17, 23, limit)
+    assert {(r["lat_idx"], r["lon_idx"]): r["v"] for r in present.collect()} == {k: v for k, v in out.items() if v is not None}
     assert densify(df, "v", 17, 23).count() == 17 * 23
 
 
@@ -190,6 +192,18 @@ def test_tidy_scores_from_their_dimensions(spark):
     assert rows(first, "score") == [(0.0,), (2.0,)] and rows(combos, "time") == [("Cc",)]
 
 
+def test_gaps_make_only_the_rows_they_fill(spark):
+    # Two values on a raster of 10^12 cells: no grid is made.
+    far = spark.createDataFrame([("A", 5, 7, 1.0), ("A", 5, 900000, 2.0), ("B", 999999, 0, None)], "scenario string, lat_idx int, lon_idx int, v double")
+    out = fill_gaps(far, "v", 10**6, 10**6, 30)
+    assert out.count() == (38 + 61) * 36 and out.filter("v = 1").count() == 38 * 36
+    for bad in (("A", 5, 10**6, 3.0), ("A", 5, 7, 4.0)):
+        with pytest.raises(Exception, match="outside the raster|more than one row"):
+            fill_gaps(far.union(spark.createDataFrame([bad], far.schema)), "v", 10**6, 10**6, 30).collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_gap_fill_shuffles_once_per_axis(spark):
     df = spark.range(10).selectExpr("'A' AS scenario", "CAST(id AS INT) AS lat_idx", "CAST(id AS INT) AS lon_idx", "CAST(id AS DOUBLE) AS v")
     plan = fill_along(fill_along(df, "v", "lon_idx"), "v", "lat_idx")._jdf.queryExecution().executedPlan().toString()

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from hazardgrid.operators.geometry import bbox_filter, read_wkb, ring_edges, write_wkb, zone_bounds, zone_cells, zone_rings, zones_in_bbox
+from hazardgrid.operators.quantiles import exact_quantiles
 from hazardgrid.operators.weighted import bins_of, calibrate_bins, flood_statistics, rp_weighted, weighted_risk
 from hazardgrid.operators.zonal import clip_to_zones, zonal_multi, zonal_stats
 from hazardgrid.schema import GridSpec
@@ -275,10 +276,41 @@ def test_uncalibrated_scale(spark):
 
 def test_calibration(spark):
     risk = spark.createDataFrame([("RF", "5", float(v)) for v in (0, 1, 2, 3, 4, 5, 6)], "hazard string, scoring string, weighted_risk double")
-    assert tuple(calibrate_bins(risk, accuracy=None).first())[2:] == (2.0, 3.0, 4.0, 5.0)
-    sketched = calibrate_bins(risk)
-    assert tuple(sketched.first())[:2] == ("RF", "5")
-    assert bins_of(sketched, "RF", 1)["RF", 1, "5"] == tuple(sketched.first())[2:]
+    cuts = calibrate_bins(risk)
+    assert tuple(cuts.first()) == ("RF", "5", 2.0, 3.0, 4.0, 5.0)
+    assert bins_of(cuts, "RF", 1)["RF", 1, "5"] == tuple(cuts.first())[2:]
+    assert calibrate_bins(risk.filter("weighted_risk <= 0")).count() == 0
+
+
+def test_exact_quantiles_of_more_values_than_a_sketch_holds(spark):
+    # 200 000 distinct values in one group beside small ones, ties, a missing key and missing values.
+    rows = spark.range(200000).selectExpr("'big' AS k", "CAST((id * 7919) % 200003 AS DOUBLE) / 7 AS v")
+    small = [("tie", 5.0)] * 7 + [("tie", 1.0)] * 3 + [("one", -2.5), (None, 8.0), (None, 9.0), ("none", None)]
+    both = rows.unionByName(spark.createDataFrame(small, "k string, v double"))
+    shares = [0.0, 0.2, 0.3, 0.5, 0.999, 1.0]
+    values = {}
+    for r in both.filter("v IS NOT NULL").collect():
+        values.setdefault(r["k"], []).append(r["v"])
+    want = {k: [sorted(v)[max(-(-round(p * 1000) * len(v) // 1000), 1) - 1] for p in shares] for k, v in values.items()}
+    for ranges in (1, 5, 40):
+        assert {r["k"]: r["quantiles"] for r in exact_quantiles(both, "v", ["k"], shares, ranges).collect()} == want
+    assert exact_quantiles(both, "v", [], [0.5]).first()["quantiles"] == [sorted(sum(values.values(), []))[-(-sum(map(len, values.values())) // 2) - 1]]
+    assert exact_quantiles(both.limit(0), "v", ["k"], shares).count() == 0
+    with pytest.raises(ValueError):
+        exact_quantiles(both, "v", ["k"], [1.5])
+
+
+def test_calibration_within_the_aggregate(spark):
+    scored, cells, coast = weighted_case(spark)
+    both = scored.withColumn("hazard", F.explode(F.array(F.lit("RF"), F.lit("CF"))))
+    combos = both.select("hazard", "scoring", "scenario", "time").distinct()
+    open_bins = {("RF", 1, "5"): None, ("CF", 1, "5"): None}
+    out = flood_statistics(both, cells, ("RF", "CF"), combos, coast=coast, bins=open_bins, calibrate=True)
+    for code, shore in (("RF", None), ("CF", coast)):
+        risk = weighted_risk(scored, cells, shore).withColumn("hazard", F.lit(code)).withColumn("gadm_level", F.lit(1))
+        alone = rp_weighted(scored, cells, code, 1, shore, bins_of(calibrate_bins(risk), code, 1))
+        columns = ("gadm_id", "scenario", "time", "score_mean", "score_max")
+        assert sorted(map(tuple, out.filter(F.col("hazard") == code).select(*columns).collect()), key=str) == sorted(map(tuple, alone.select(*columns).collect()), key=str)
 
 
 def test_floods_in_one_pass_equal_the_parts(spark, caplog):
