@@ -50,6 +50,18 @@ def _boxes() -> str:
     return " UNION ALL ".join(rows)
 
 
+def _quarters() -> str:
+    """Edges of the two districts of a province as rows: boxes beside each other, with a gap."""
+    rows = []
+    for half, left in ((1, -4.25), (2, 0.25)):
+        points = ((left, -2.75), (left + 3.5, -2.75), (left + 3.5, 2.25), (left, 2.25))
+        for odd in (0, 1):
+            for seq, ((ax, ay), (bx, by)) in enumerate(zip(points, points[1:] + points[:1], strict=True)):
+                numbers = ", ".join(f"CAST({v} AS DOUBLE) AS {n}" for v, n in ((ax, "ax"), (ay, "ay"), (bx, "bx"), (by, "by_")))
+                rows.append(f"SELECT {odd} AS odd, {half} AS half, {seq} AS seq, {numbers}")
+    return " UNION ALL ".join(rows)
+
+
 # Views in order of dependency; {table} marks a driver table.
 VIEWS = {
     # Grid cells of 14 hazards, 3 scenarios, 4 times and 2 models, some missing, some infinite.
@@ -117,6 +129,14 @@ SELECT GID_1 AS gadm_id, GID_0 AS gid0, part, ring, seq,
 FROM (SELECT GID_1, GID_0, part, ring, seq, CAST(FLOOR(zone_no / 15) AS DOUBLE) AS cx, CAST(zone_no * 7 % 60 AS DOUBLE) AS cy,
     ax, ay, bx, by_, FLOOR(zone_no / CASE part * 2 + ring WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 4 ELSE 8 END) % 2 = 1 AS turned
   FROM zones_fx JOIN ({_boxes()}) b ON zone_no % 2 = odd) t""",
+    # Districts: two in each province.
+    "districts_fx": """
+SELECT GID_0, COUNTRY, GID_1, NAME_1, CONCAT(GID_1, '.', CAST(half AS VARCHAR(1))) AS GID_2, CONCAT(NAME_1, ' ', CAST(half AS VARCHAR(1))) AS NAME_2, zone_no, half
+FROM zones_fx JOIN (SELECT 0 AS odd, 1 AS half UNION ALL SELECT 0, 2 UNION ALL SELECT 1, 1 UNION ALL SELECT 1, 2) h ON zone_no % 2 = odd""",
+    "district_edges_fx": f"""
+SELECT GID_2 AS gadm_id, GID_0 AS gid0, 0 AS part, 0 AS ring, seq,
+  zone_no / CAST(15.0 AS DOUBLE) + ax AS x1, zone_no * 7 % 60 + ay AS y1, zone_no / CAST(15.0 AS DOUBLE) + bx AS x2, zone_no * 7 % 60 + by_ AS y2
+FROM districts_fx d JOIN ({_quarters()}) q ON d.half = q.half AND zone_no % 2 = odd""",
     # Tidy statistics per hazard and province on three scales.
     "base_stats_fx": """
 SELECT c.hazard, CONCAT('Z', CAST(o_custkey AS VARCHAR(20))) AS gadm_id, c.scenario, c.time,

@@ -562,6 +562,12 @@ add("combined_first", ("stats_fx", "zones_fx"), [
 ], f"SELECT {_META1}, {_filled('INT')} FROM zones_fx z LEFT JOIN w ON z.GID_1 = w.gadm_id")
 ORACLES["combined_max"] = _combined("score_max", "10", "RCP45")
 ORACLES["combined_std"] = _combined("score_stdev", "10", "RCP85", kind="DOUBLE")
+_DISTRICT_HEAT = _dense_zonal("heat", "5", "s5")
+add("combined_district", ("districts_fx", "district_edges_fx", "grid_fx"), [
+    _EDGES.replace("edges_fx", "district_edges_fx"), *CENTER[1:], _HEAT, f"zd AS ({_DISTRICT_HEAT})",
+    "sel AS (SELECT 'HS' AS hazard, time, gadm_id, round_even(CAST(score_mean AS DOUBLE), 0) AS v FROM zd WHERE scenario = 'RCP85')",
+    f"w AS ({_pivot('v', 'sel')})",
+], f"SELECT GID_0, COUNTRY, GID_1, NAME_1, GID_2, NAME_2, {_filled('INT')} FROM districts_fx z LEFT JOIN w ON z.GID_2 = w.gadm_id")
 ORACLES["combined_country"] = _combined("score_mean", "5", "RCP45", ("country_stats_fx", "countries_fx"), meta="GID_0, COUNTRY")
 add("combined_hundred", ("stats_fx", "zones_fx"), [
     f"l AS (SELECT hazard, scenario, time, gadm_id, {_rounded('100', 'score_mean')} AS v FROM stats_fx JOIN zones_fx ON gadm_id = GID_1 WHERE scoring = '100')",
@@ -641,6 +647,17 @@ _FIVE_STATS = "SELECT gadm_id, hazard, time, round_even(CAST(m AS DOUBLE), 0) AS
 )
 add("full_run_five", _RUN_VIEWS, [_RUN, *_RUN_FIRE, *_run_scores("5"), *CENTER, _CF_AXES, *_run_coast(), _RUN_ZONES, f"st AS ({_FIVE_STATS})", f"w AS ({_pivot('v', 'st')})"],
     f"SELECT {_META1}, {_filled('INT')} FROM zones_fx z LEFT JOIN w ON z.GID_1 = w.gadm_id")
+_TEN = " UNION ALL ".join(
+    f"SELECT '{code}' AS hazard, gadm_id, scenario, time, ROUND(weighted_risk, 12) AS x FROM ({_risk('10', coast).replace(' fl', f' f_{code}')})"
+    for code, coast in (("RF", None), ("CF", "coast"))
+)
+add("full_run_ten", _RUN_VIEWS, [
+    _RUN, *_RUN_FIRE, *_run_scores("10"), *CENTER, _CF_AXES, *_run_coast(), f"risk AS ({_TEN})",
+    "cut AS (SELECT hazard, " + ", ".join(f"list_sort(list(x))[CAST(CEIL(COUNT(*) * 0.{q}) AS BIGINT)] AS q{q}" for q in (2, 4, 6, 8)) + " FROM risk WHERE x > 0 GROUP BY hazard)",
+    """st AS (SELECT gadm_id, hazard, time, CASE WHEN x IS NULL OR x <= 0 THEN 0 WHEN x <= q2 THEN 1 WHEN x <= q4 THEN 2 WHEN x <= q6 THEN 3 WHEN x <= q8 THEN 4 ELSE 5 END AS v
+  FROM risk JOIN cut USING (hazard) WHERE scenario = 'RCP85')""",
+    f"w AS ({_pivot('v', 'st')})",
+], f"SELECT {_META1}, {_filled('INT')} FROM zones_fx z LEFT JOIN w ON z.GID_1 = w.gadm_id")
 _FLOOD_MEANS = " UNION ALL ".join(
     f"""SELECT gadm_id, '{code}' AS hazard, scenario, time, SUM(coverage * s100) / SUM(coverage) AS m FROM zc JOIN f_{code} USING (lat_idx, lon_idx)
   WHERE s100 IS NOT NULL GROUP BY ALL""" for code in ("RF", "CF")

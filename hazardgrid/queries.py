@@ -768,6 +768,15 @@ def combined_country(spark: SparkSession, sf: str) -> DataFrame:
     return _combined(spark, sf, "5", "mean", "RCP45", level=0)
 
 
+@query
+def combined_district(spark: SparkSession, sf: str) -> DataFrame:
+    """Level 2: districts rasterised, aggregated and combined under their own ids."""
+    zones = view(spark, sf, "districts_fx").drop("half")
+    cells = _staged(geo.zone_cells(view(spark, sf, "district_edges_fx"), raster(spark, sf), "center"), "zone-cells-adm2")
+    stats = _staged(aggregate_hazard(_staged(_heat_scores(spark, sf), "scored"), cells, "HS", 2), "stats")
+    return combine({2: stats}, {2: zones}, (2,), ("RCP85",), ("5",))[2, "5", "mean", "RCP85"]
+
+
 #: Hazards scored from the return period of the cells; the others are from their value.
 RETURN_PERIODS = ("CF", "RF", "TC", "TS")
 
@@ -791,12 +800,12 @@ def _run_inputs(spark: SparkSession, sf: str) -> dict[str, Callable[[], dict]]:
     return {code: lambda code=code: opened(code) for code in HAZARDS}
 
 
-def _full_run(spark: SparkSession, sf: str, scales: tuple[str, ...], scenarios: tuple[str, ...], stats: tuple[str, ...]) -> dict[tuple[str, str, str], DataFrame]:
+def _full_run(spark: SparkSession, sf: str, scales: tuple[str, ...], scenarios: tuple[str, ...], stats: tuple[str, ...], **options) -> dict[tuple[str, str, str], DataFrame]:
     """The tables a whole run has written, by scale, statistic and scenario."""
     zones = view(spark, sf, "zones_fx")
     tables = full_run(
         spark, _run_inputs(spark, sf), {1: _zone_cells(spark, sf, "center")}, {1: zones}, _folder(spark, "run"), scales, coast=view(spark, sf, "coarse_coast_fx"),
-        scenarios=scenarios, stat_names=stats, zones={1: zones.select(F.col("GID_1").alias("gadm_id"), F.col("GID_0").alias("gid0"))},
+        scenarios=scenarios, stat_names=stats, zones={1: zones.select(F.col("GID_1").alias("gadm_id"), F.col("GID_0").alias("gid0"))}, **options,
     )
     return {key[1:]: table for key, table in tables.items()}
 
@@ -811,6 +820,12 @@ def full_run_hundred(spark: SparkSession, sf: str) -> DataFrame:
     return _full_run(spark, sf, ("100",), ("RCP45", "RCP85"), ("mean",))["100", "mean", "RCP85"]
 
 
+@query
+def full_run_ten(spark: SparkSession, sf: str) -> DataFrame:
+    """The floods on the 10-point scale, whose bins are calibrated from the run's own risk."""
+    return _full_run(spark, sf, ("10",), ("RCP85",), ("mean",), hazards=("CF", "RF"), calibrate=True)["10", "mean", "RCP85"]
+
+
 @query
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """The whole run: score every hazard, aggregate to provinces, combine to all twelve wide tables."""
