@@ -235,45 +235,69 @@ def _coverage_changes(edges: DataFrame, grid: GridSpec) -> DataFrame:
     return at.select(*ZONE, "lat_idx", "lon_idx", (F.col("sign") * F.col("dy") * (here - before)).alias("change"))
 
 
-def _runs_to_cells(changes: DataFrame, grid: GridSpec, coverage) -> DataFrame:
-    """Sum changes per column, run along the row and widen the covered runs to cells."""
+def _runs(changes: DataFrame, grid: GridSpec, coverage) -> DataFrame:
+    """Sum changes per column and run along the row: stretches of cells with one coverage."""
     row = [*ZONE, "lat_idx"]
     along = Window.partitionBy(*row).orderBy("lon_idx")
-    runs = (
+    return (
         changes.groupBy(*row, "lon_idx")
         .agg(F.sum("change").alias("change"))
         .select(
             *row, "lon_idx",
             F.sum("change").over(along.rowsBetween(Window.unboundedPreceding, 0)).alias("level"),
-            F.lead("lon_idx", 1, grid.n_lon).over(along).alias("stop"),
+            (F.lead("lon_idx", 1, grid.n_lon).over(along) - 1).alias("lon_end"),
         )
-        .withColumn("coverage", coverage(F.col("level")))
+        .select(*row, "lon_idx", "lon_end", coverage(F.col("level")).alias("coverage"))
         .filter(F.col("coverage") > _TINY)
     )
-    return runs.select(*row, F.explode(F.sequence(F.col("lon_idx"), F.col("stop") - 1)).alias("lon_idx"), "coverage")
 
 
-def zone_cells(edges: DataFrame, grid: GridSpec, mode: str = "coverage") -> DataFrame:
-    """Cells of every zone with their weight: ``gadm_id, gid0, lat_idx, lon_idx, coverage``.
+def cells_of(zones: DataFrame) -> DataFrame:
+    """Zone cells one by one, from runs or from cells."""
+    if "lon_end" not in zones.columns:
+        return zones
+    return zones.withColumn("lon_idx", F.explode(F.sequence("lon_idx", "lon_end"))).drop("lon_end")
 
-    * ``center`` – cells whose centre lies inside (even-odd rule), weight 1;
-    * ``all_touched`` – these and every cell an edge passes through, weight 1;
-    * ``coverage`` – every cell with the exact share of its area inside. Which way round a ring runs
-      does not matter; ring 0 of a part is its outline, the others are holes in it.
+
+def runs_of(cells: DataFrame) -> DataFrame:
+    """Zone cells as runs: neighbours in a raster row that have one coverage."""
+    alike = Window.partitionBy(*ZONE, "lat_idx", "coverage").orderBy("lon_idx")
+    island = cells.withColumn("_island", F.col("lon_idx") - F.row_number().over(alike))
+    runs = island.groupBy(*ZONE, "lat_idx", "coverage", "_island").agg(F.min("lon_idx").alias("lon_idx"), F.max("lon_idx").alias("lon_end"))
+    return runs.select(*ZONE, "lat_idx", "lon_idx", "lon_end", "coverage")
+
+
+def zone_runs(edges: DataFrame, grid: GridSpec, mode: str = "coverage") -> DataFrame:
+    """``zone_cells`` as runs: ``gadm_id, gid0, lat_idx, lon_idx, lon_end, coverage``, both ends included.
+
+    The inside of a zone is one run per raster row, and only cells that an edge passes through are runs of their
+    own: a table that grows with the length of the boundaries instead of the area. Zonal statistics
+    take it in place of the cells.
     """
     if mode == "coverage":
-        return _runs_to_cells(_coverage_changes(edges, grid), grid, lambda level: F.least(level, F.lit(1.0)))
-    inside = _runs_to_cells(_center_changes(edges, grid), grid, lambda level: level % 2)
+        return _runs(_coverage_changes(edges, grid), grid, lambda level: F.least(level, F.lit(1.0)))
+    inside = _runs(_center_changes(edges, grid), grid, lambda level: level % 2)
     if mode == "center":
         return inside
     if mode == "all_touched":
         columns = _over(_whole(F.floor("xlo")), _whole(F.floor("xhi")), grid.n_lon)
         touched = _row_pieces(_grid_units(edges, grid), grid).select(*ZONE, "lat_idx", F.explode(columns).alias("lon_idx"))
-        cells = inside.drop("coverage").unionByName(touched).distinct()
-        return cells.withColumn("coverage", F.lit(1.0))
+        cells = cells_of(inside).drop("coverage").unionByName(touched).distinct()
+        return runs_of(cells.withColumn("coverage", F.lit(1.0)))
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def zone_cells(edges: DataFrame, grid: GridSpec, mode: str = "coverage") -> DataFrame:
+    """Cells of every zone with their weight: ``gadm_id, gid0, lat_idx, lon_idx, coverage``.
+
+    * ``center`` – cells whose centre lies inside (even-odd rule), weight 1;
+    * ``all_touched`` – these and every cell an edge passes through, weight 1;
+    * ``coverage`` – every cell with the exact share of its area inside. Which way round a ring runs
+      does not matter; ring 0 of a part is its outline, the others are holes in it.
+    """
+    return cells_of(zone_runs(edges, grid, mode))
+
+
 def zones_in_bbox(edges: DataFrame, minx: float, miny: float, maxx: float, maxy: float) -> DataFrame:
     """Zones that intersect a box, touching included: an edge meets the box, or the box lies inside.
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardgrid.functions import nonzero
+from hazardgrid.operators.geometry import cells_of
 from hazardgrid.schema import CELL, ZONE, labels_of
 
 log = logging.getLogger(__name__)
@@ -22,19 +23,41 @@ def join_cells(cells: DataFrame, zone_cells: DataFrame) -> DataFrame:
     follows combines nearly everything before its shuffle, where cells scattered one by one would
     leave a row per zone in every task. Tiles hold the same number of cells, so none is hot. The
     session must accept a partitioning by part of the join keys for that; one that doesn't is set to.
+
+    Zones as runs (``zone_runs``) are cut at the tiles, shuffled as runs and widened to cells only in
+    the task that joins them.
     """
     cells.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     tile = {"_row": F.floor(F.col("lat_idx") / TILE), "_column": F.floor(F.col("lon_idx") / TILE)}
-    weights = zone_cells.select(*ZONE, *CELL, "coverage")
-    left, right = (df.withColumns(tile).repartition(*tile) for df in (cells, weights))
-    return left.join(right, [*tile, *CELL]).drop(*tile)
+    weights = zone_columns(zone_cells)
+    if "lon_end" in weights.columns:
+        tiles = F.sequence(F.floor(F.col("lon_idx") / TILE), F.floor(F.col("lon_end") / TILE))
+        cut = weights.withColumn("_row", tile["_row"]).withColumn("_column", F.explode(tiles))
+        cut = cut.withColumns({
+            "lon_idx": F.greatest(F.col("lon_idx"), (F.col("_column") * TILE).cast("int")),
+            "lon_end": F.least(F.col("lon_end"), (F.col("_column") * TILE + TILE - 1).cast("int")),
+        })
+        right = cells_of(cut.repartition(*tile))
+    else:
+        right = weights.withColumns(tile).repartition(*tile)
+    return cells.withColumns(tile).repartition(*tile).join(right, [*tile, *CELL]).drop(*tile)
+
+
+def zone_columns(zones: DataFrame) -> DataFrame:
+    """The columns of zone cells, or of runs of them."""
+    return zones.select(*ZONE, *CELL, *[c for c in ("lon_end",) if c in zones.columns], "coverage")
+
+
+def cell_count(zones: DataFrame) -> Column:
+    """How many cells a row of zone cells stands for."""
+    return F.col("lon_end") - F.col("lon_idx") + 1 if "lon_end" in zones.columns else F.lit(1)
 
 
 def zone_box(zone_cells: DataFrame) -> dict[str, int] | None:
     """Rows and columns that the zones cover, one row to the driver; None without cells."""
     box = zone_cells.agg(
         F.min("lat_idx").alias("top"), F.max("lat_idx").alias("bottom"),
-        F.min("lon_idx").alias("left"), F.max("lon_idx").alias("right"),
+        F.min("lon_idx").alias("left"), F.max("lon_end" if "lon_end" in zone_cells.columns else "lon_idx").alias("right"),
     ).first()
     return None if box["top"] is None else box.asDict()
 
@@ -111,7 +134,7 @@ def zonal_multi(
     ``values`` maps the ``scoring`` label of the result to the column it comes from. Keeping the
     scales as columns until the statistics are small saves a shuffle of the cells per scale.
 
-    ``zone_cells`` is read twice when zeros are filled in; hazards share it, so stage it first.
+    ``zone_cells`` (cells or runs) is read twice when zeros are filled in; hazards share it, so stage it first.
 
     ``missing='skip'`` leaves missing cells out, and zones without a value with them;
     ``missing='zero'`` counts every cell of the zone, missing or absent ones as 0, for every label
@@ -123,11 +146,11 @@ def zonal_multi(
     columns = list(dict.fromkeys(values.values()))
     some = F.coalesce(*[F.col(c).cast("double") for c in columns]).isNotNull()
     cells = df.filter(some).select(*CELL, *labels, *columns)
-    weights = zone_cells.select(*ZONE, *CELL, "coverage")
+    weights, width = zone_columns(zone_cells), cell_count(zone_cells)
     keys = [*ZONE, *labels]
     sums = join_cells(cells, weights).groupBy(*keys).agg(*[m for c in columns for m in moments(c, c)])
     if missing == "zero":
-        zones = weights.groupBy(*ZONE).agg(F.sum("coverage").alias("zone_weight"), F.count(F.lit(1)).alias("zone_cells"))
+        zones = weights.groupBy(*ZONE).agg(F.sum(F.col("coverage") * width).alias("zone_weight"), F.sum(width).alias("zone_cells"))
         wanted = labels_by_zone(zones, df if combos is None else combos, labels) if labels else zones
         sums = wanted.join(sums, keys, "left")
     results = [

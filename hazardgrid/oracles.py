@@ -181,6 +181,9 @@ ins AS (SELECT pt.gadm_id, pt.gid0, r, c, px, py,
 add("zone_cells_winding", ("windings_fx",), [_EDGES.replace("edges_fx", "windings_fx"), _NEAR, _QUARTERS],
     "SELECT gadm_id, gid0, r AS lat_idx, c AS lon_idx, SUM(odd) / 16 AS coverage FROM ins GROUP BY ALL HAVING coverage > 0")
 add("zone_cells_touched", ("edges_fx",), TOUCHED, "SELECT * FROM zc")
+add("zone_runs", ("edges_fx",), TOUCHED, """SELECT gadm_id, lat_idx, COUNT(CASE WHEN before IS NULL OR before < lon_idx - 1 THEN 1 END) AS runs, COUNT(*) AS cells,
+  MIN(lon_idx) AS first, MAX(lon_idx) AS last
+FROM (SELECT *, LAG(lon_idx) OVER (PARTITION BY gadm_id, lat_idx ORDER BY lon_idx) AS before FROM zc) GROUP BY gadm_id, lat_idx""")
 add("zone_cells_coverage", ("edges_fx",), COVER, "SELECT gadm_id, gid0, lat_idx, lon_idx, ROUND(coverage, 6) AS coverage FROM zc")
 ORACLES["zone_cells_wkb"] = ORACLES["zone_cells_coverage"]
 

@@ -329,7 +329,16 @@ def _staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def _zones(spark: SparkSession, sf: str, mode: str) -> DataFrame:
-    return _staged(_zone_cells(spark, sf, mode), f"zone-cells-{mode}")
+    """Zone cells as aggregation takes them: runs."""
+    return _staged(geo.zone_runs(view(spark, sf, "edges_fx"), raster(spark, sf), mode), f"zone-runs-{mode}")
+
+
+@query
+def zone_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """How many cells and how much weight the runs of each zone's rows stand for."""
+    runs = geo.zone_runs(view(spark, sf, "edges_fx"), raster(spark, sf), "all_touched")
+    width = F.col("lon_end") - F.col("lon_idx") + 1
+    return runs.groupBy("gadm_id", "lat_idx").agg(F.count(F.lit(1)).alias("runs"), F.sum(width).alias("cells"), F.min("lon_idx").alias("first"), F.max("lon_end").alias("last"))
 
 
 @query
@@ -772,7 +781,7 @@ def combined_country(spark: SparkSession, sf: str) -> DataFrame:
 def combined_district(spark: SparkSession, sf: str) -> DataFrame:
     """Level 2: districts rasterised, aggregated and combined under their own ids."""
     zones = view(spark, sf, "districts_fx").drop("half")
-    cells = _staged(geo.zone_cells(view(spark, sf, "district_edges_fx"), raster(spark, sf), "center"), "zone-cells-adm2")
+    cells = _staged(geo.zone_runs(view(spark, sf, "district_edges_fx"), raster(spark, sf), "center"), "zone-cells-adm2")
     stats = _staged(aggregate_hazard(_staged(_heat_scores(spark, sf), "scored"), cells, "HS", 2), "stats")
     return combine({2: stats}, {2: zones}, (2,), ("RCP85",), ("5",))[2, "5", "mean", "RCP85"]
 
@@ -804,7 +813,7 @@ def _full_run(spark: SparkSession, sf: str, scales: tuple[str, ...], scenarios:
     """The tables a whole run has written, by scale, statistic and scenario."""
     zones = view(spark, sf, "zones_fx")
     tables = full_run(
-        spark, _run_inputs(spark, sf), {1: _zone_cells(spark, sf, "center")}, {1: zones}, _folder(spark, "run"), scales, coast=view(spark, sf, "coarse_coast_fx"),
+        spark, _run_inputs(spark, sf), {1: geo.zone_runs(view(spark, sf, "edges_fx"), raster(spark, sf), "center")}, {1: zones}, _folder(spark, "run"), scales, coast=view(spark, sf, "coarse_coast_fx"),
         scenarios=scenarios, stat_names=stats, zones={1: zones.select(F.col("GID_1").alias("gadm_id"), F.col("GID_0").alias("gid0"))}, **options,
     )
     return {key[1:]: table for key, table in tables.items()}

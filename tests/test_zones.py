@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from hazardgrid.operators.geometry import bbox_filter, read_wkb, ring_edges, write_wkb, zone_bounds, zone_cells, zone_rings, zones_in_bbox
+from hazardgrid.operators.geometry import bbox_filter, cells_of, read_wkb, ring_edges, runs_of, write_wkb, zone_bounds, zone_cells, zone_rings, zone_runs, zones_in_bbox
 from hazardgrid.operators.quantiles import exact_quantiles
 from hazardgrid.operators.weighted import bins_of, calibrate_bins, flood_statistics, rp_weighted, weighted_risk
 from hazardgrid.operators.zonal import clip_to_zones, zonal_multi, zonal_stats
@@ -268,6 +268,21 @@ def test_risk_is_capped_by_the_highest_score(spark):
     assert risk["mix"] == 0.4  # (0.4 + 0.001) / 1 capped at the weight of score 5
 
 
+@pytest.mark.parametrize("mode", ["center", "all_touched", "coverage"])
+def test_runs_stand_for_the_cells(spark, mode):
+    edges = edges_of(spark, [("A", 0, 0, P1), ("B", 0, 0, star(3)), ("C", 0, 0, star(4, far=14.0))])
+    runs, cells = zone_runs(edges, GRID, mode), zone_cells(edges, GRID, mode)
+    rounded = lambda df: sorted((r["gadm_id"], r["lat_idx"], r["lon_idx"], round(r["coverage"], 9)) for r in df.collect())
+    assert rounded(cells_of(runs)) == rounded(cells) == rounded(cells_of(runs_of(cells)))
+    assert runs.count() < cells.count() / (1.2 if mode == "coverage" else 4)
+    assert runs_of(cells).count() <= runs.count()
+    scored = spark.range(30 * 40).selectExpr("'5' AS scoring", "CAST(id % 30 AS INT) AS lat_idx", "CAST(id DIV 30 AS INT) AS lon_idx", "CASE WHEN id % 7 > 0 THEN CAST(id % 5 AS DOUBLE) END AS score")
+    for missing in ("zero", "skip"):
+        both = [sorted((r["gadm_id"], *(round(r[c], 9) for c in ("score_mean", "score_max", "score_stdev"))) for r in zonal_stats(scored, z, missing).collect()) for z in (runs, cells)]
+        assert both[0] == both[1] and len(both[0]) == 3
+    assert clip_to_zones(scored, runs).count() == clip_to_zones(scored, cells).count()
+
+
 def test_uncalibrated_scale(spark):
     scored, cells, _ = weighted_case(spark)
     with pytest.raises(ValueError):
