@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from typing import NamedTuple
@@ -32,13 +31,14 @@ MARKS = frozenset(
     "comment comments commentlist respond disqus replies reply share sharing social related recommended newsletter subscribe subscription login signup search pagination pager skip toc "
     "complementary contentinfo".split()
 )
+#: Marks that may also name what wraps a whole page, and words in a class name that turn the mark into its opposite.
+WRAPPERS = frozenset("form notice notices alert popup modal overlay sidebar widget widgets header masthead legal login signup search subscription toc social related".split())
+OPPOSITES = frozenset("no non not without has with free hide hidden".split())
 #: Elements that end an open paragraph or list item of the same kind.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _CONTENT = frozenset(("article", "main"))
 _GROUPS = frozenset(("div", "section", "td", "body", "html", *_CONTENT))
 _WORDS = re.compile(r"[a-z]+")
-#: Characters outside links, in lines that reach the threshold, from which a marked element is text.
-LONG = 250
 #: Weight of a ratio inside article and main.
 ARTICLE_WEIGHT = 2.0
 
@@ -76,16 +76,18 @@ class Open(NamedTuple):
 
 
 class Lines(HTMLParser):
-    """Parser events as lines, and the marked element around every marked element (``marks``)."""
+    """Parser events as lines, and the marked element around every marked element (``marks``); ``wrappers``
+    tells which marks may name what wraps a page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.marks = [0]
+        self.wrappers = [True]
         self.stack = [Open("", False, 0, 0, -1, 0, False)]
         self.parts: list[str] = []
         self.linked: list[int] = []
-        self.marked: list[tuple[int, int]] = []
+        self.marked: list[int] = []
         self.tags = 0
         self.made = 0
 
@@ -95,14 +97,9 @@ class Lines(HTMLParser):
 
     def flush_line(self) -> None:
         top = self.stack[-1]
-        if self.marked:
-            # Marked inline elements part no line: it goes on without their text unless that is long.
-            linked, sizes = set(self.linked), Counter()
-            for i, mark in self.marked:
-                sizes[mark] += 0 if i in linked else len(_plain(self.parts[i]))
-            for i, mark in self.marked:
-                if sizes[mark] < LONG:
-                    self.parts[i] = ""
+        # Marked inline elements part no line: it goes on without their text.
+        for i in self.marked:
+            self.parts[i] = ""
         text = _plain("".join(self.parts)) if self.parts else ""
         if text or self.tags:
             links = min(len(text), len(_plain(" ".join([self.parts[i] for i in self.linked])))) if self.linked else 0
@@ -119,17 +116,20 @@ class Lines(HTMLParser):
                 return True
         return False
 
-    def _marks(self, tag: str, attrs, content: int) -> bool:
+    def _marks(self, tag: str, attrs, content: int) -> set[str]:
+        """Names for which an element is marked."""
         if tag in MARKED or tag == "header" and content < 0:
-            return True
+            return {tag}
         if tag in ("html", "body", *_CONTENT):
-            return False
+            return set()
+        found = set()
         for name, value in attrs:
             if value and name in ("class", "id", "role"):
-                words = set(_WORDS.findall(value.lower()))
-                if words & MARKS and not (content >= 0 and words & {"header", "legal"}):
-                    return True
-        return False
+                for token in value.lower().split():
+                    words = set(_WORDS.findall(token))
+                    if not words & OPPOSITES:
+                        found |= words & MARKS
+        return found - {"header", "legal"} if content >= 0 else found
 
     def handle_starttag(self, tag, attrs):
         block = tag in BLOCKS
@@ -154,6 +154,7 @@ class Lines(HTMLParser):
             mark, mute = mute, 0
         if marks:
             self.marks.append(mark)
+            self.wrappers.append(marks <= WRAPPERS)
             if block:
                 mark = len(self.marks) - 1
         if tag in _GROUPS or apart:
@@ -204,7 +205,7 @@ class Lines(HTMLParser):
         if top.link:
             self.linked.append(len(self.parts))
         if top.mute:
-            self.marked.append((len(self.parts), top.mute))
+            self.marked.append(len(self.parts))
         self.parts.append(data)
 
     def unknown_decl(self, data):
@@ -216,14 +217,14 @@ def _plain(text: str) -> str:
     return b" ".join(text.encode().split()).decode()
 
 
-def page_lines(html: str, piece: int = 1 << 16) -> tuple[list[Line], list[int]]:
-    """Lines of a page, fed to the parser piece by piece, and the mark around every mark."""
+def page_lines(html: str, piece: int = 1 << 16) -> tuple[list[Line], list[int], list[bool]]:
+    """Lines of a page, fed to the parser piece by piece, the mark around every mark, and which may wrap a page."""
     parser = Lines()
     for at in range(0, len(html), piece):
         parser.feed(html[at : at + piece])
     parser.close()
     parser.flush_line()
-    return parser.lines, parser.marks
+    return parser.lines, parser.marks, parser.wrappers
 
 
 def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
@@ -249,18 +250,32 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def _text_marks(lines: list[Line], marks: list[int], scores: list[float], cut: float) -> list[bool]:
-    """Whether a mark hides nothing: it and those around it hold long text of a high ratio outside links."""
-    total = [0] * len(marks)
+def _text_marks(lines: list[Line], marks: list[int], wrappers: list[bool], scores: list[float], cut: float) -> list[bool]:
+    """Whether a mark hides nothing: it wraps the page's content.
+
+    All marks hide, whatever their length, as long as a line outside them reaches the threshold. If none
+    does, the mark that holds most of the text that does is lifted, provided its names can mean a
+    wrapper; and so on inside it, until a line shows.
+    """
+    direct = [0] * len(marks)
     for line, score in zip(lines, scores, strict=True):
-        if line.mark and not line.hidden and min(score, len(line.text) / max(1, line.tags)) >= cut and 2 * line.links <= len(line.text):
-            total[line.mark] += len(line.text) - line.links
-    # A mark's number is above that of the mark around it.
+        if line.text and not line.hidden and min(score, len(line.text) / max(1, line.tags)) >= cut and 2 * line.links <= len(line.text):
+            direct[line.mark] += len(line.text) - line.links
+    # A mark's number is above that of the mark around it; what lies in a mark that can't be lifted counts nowhere.
+    total = [n if ok else 0 for n, ok in zip(direct, wrappers, strict=True)]
     for mark in range(len(marks) - 1, 0, -1):
-        total[marks[mark]] += total[mark]
-    shown = [True] * len(marks)
+        total[marks[mark]] += total[mark] if wrappers[marks[mark]] else 0
+    # Of the marks in each mark, the one with most text.
+    heaviest: dict[int, int] = {}
     for mark in range(1, len(marks)):
-        shown[mark] = total[mark] >= LONG and shown[marks[mark]]
+        around = marks[mark]
+        if wrappers[mark] and total[mark] and (around not in heaviest or total[mark] > total[heaviest[around]]):
+            heaviest[around] = mark
+    shown = [mark == 0 for mark in range(len(marks))]
+    at = 0
+    while not direct[at] and at in heaviest:
+        at = heaviest[at]
+        shown[at] = True
     return shown
 
 
@@ -274,16 +289,16 @@ def main_text(html: str, sigma: float = 1.0) -> str:
     Article and main elements are a weight: their ratios count twice, on pages with one a line
     outside has to reach the threshold unsmoothed as well, and in an article or main element that
     reaches it, only regions are left out that don't and are mostly links. Marks (elements and
-    class words) count against lines unless at least ``LONG`` characters outside links reach the
-    threshold. The region with most text outside links is always content, and so is the
+    class words) leave out what lies in them at any length; one is lifted only where no line outside reaches the
+    threshold and its name can mean a wrapper of the page. The region with most text outside links is always content, and so is the
     largest article or main element unless it is mostly links.
     """
-    lines, marks = page_lines(html)
+    lines, marks, wrappers = page_lines(html)
     if not any(line.text and not line.hidden for line in lines):
         return ""
     scores = smoothed(np.array([len(line.text) / max(1, line.tags) for line in lines]), sigma).tolist()
     cut = threshold(np.array(scores))
-    shown = _text_marks(lines, marks, scores, cut)
+    shown = _text_marks(lines, marks, wrappers, scores, cut)
     kept = [(line, score) for line, score in zip(lines, scores, strict=True) if line.text and not line.hidden and shown[line.mark]]
     if not kept:
         return ""

@@ -49,10 +49,10 @@ LINKS = "<ul>" + "".join(f"<li><a href=/{i}>Another page {i}</a></li>" for i in
     (f"<main><p>A teaser of the page.</p></main>{LINKS}<div><p>{STORY}</p><p>{STORY}</p></div>", ["A teaser of the page.", STORY, STORY]),
     # Class words and marked elements around stories.
     (f"<div class='social-history'><p>{STORY}</p><p>Short.</p><p>{STORY}</p></div><div class=ad>Buy this</div>", [STORY, "Short.", STORY]),
-    (f"<article><p>{STORY}</p><div id='notice'><p>{STORY}</p></div><div class='share'>{LINKS}</div></article>", [STORY, STORY]),
+    (f"<article><p>{STORY}</p><div id='notice'><p>{STORY}</p></div><div class='share'>{LINKS}</div></article>", [STORY]),
     (f"<form id=aspnet><nav>{LINKS}</nav><div><p>{STORY}</p><p>Short.</p></div><div class=ad>Buy this</div></form>", [STORY, "Short."]),
-    (f"<aside><p>{STORY}</p><p>{STORY}</p></aside><footer>The site, since 1999.</footer>", [STORY, STORY]),
-    (f"<p>One <span class=popup>{STORY}</span> two <span class=share>Share this</span></p>", [f"One {STORY.strip()} two"]),
+    (f"<aside><p>{STORY}</p><p>{STORY}</p></aside><footer>The site, since 1999.</footer>", []),
+    (f"<p>One <span class=popup>{STORY}</span> two <span class=share>Share this</span></p>", ["One two"]),
     (f"<span class=widget><div><p>{STORY}</p><p>Short.</p></div></span>", [STORY, "Short."]),
     # Low ratios and links inside an article without a word that marks them, and hidden text.
     (f"<article><p>{STORY}</p><p>End.</p><div>{LINKS}</div></article>", [STORY, "End."]),
@@ -63,8 +63,33 @@ def test_ratio_decides(page, text):
     assert main_text(page) == "\n".join(t.strip() for t in text)
 
 
+TALE, NOTE = "The article tells a tale. " * 14, "What a reader, a firm or a lawyer has to say. " * 9
+
+
+@pytest.mark.parametrize("beside", [
+    f"<section class='comments'><p>{NOTE}</p><p>{NOTE}</p></section>", f"<footer><p>{NOTE}</p></footer>", f"<aside class=advert><p>{NOTE}</p></aside>",
+    f"<form><p>{NOTE}</p></form>", f"<div class='cookie-notice'><p>{NOTE}</p></div>", f"<div id=sidebar><p>{NOTE}</p></div>",
+])
+def test_marked_text_stays_out_at_any_length(beside):
+    for body in (f"<article><p>{TALE}</p><p>{TALE}</p><p>{TALE}</p></article>{beside}", f"<article><p>{TALE}</p>{beside}<p>{TALE}</p><p>{TALE}</p></article>",
+                 f"{beside}<div><p>{TALE}</p><p>{TALE}</p><p>{TALE}</p></div>"):
+        assert main_text(f"<html><body>{body}</body></html>") == "\n".join([TALE.strip()] * 3)
+
+
+@pytest.mark.parametrize("wrapper", ["div class='page no-sidebar'", "div class='layout without-ads'", "div class='has-sidebar'", "div class='related-free notice'", "div class='widget'", "form id=page"])
+def test_short_text_in_a_wrapper_stays(wrapper):
+    words = "A short article of some seventy characters, no more, no less, and that is it."
+    end = wrapper.split()[0]
+    for open_, close in (("<body>", "</body>"), ("<main>", "</main>")):
+        assert main_text(f"{open_}<{wrapper}><h1>Title</h1><p>{words}</p><footer>Since 1999</footer></{end}>{close}") == f"Title\n{words}"
+
+
+def test_nothing_but_comments_is_no_text():
+    assert main_text(f"<div class=comments><p>{NOTE}</p></div><footer>Since 1999</footer>") == ""
+
+
 def test_many_open_elements():
-    page = "<div class=ad>" * 2000 + f"<p>{STORY}</p>" + "<span class=ad><div>x" * 300
+    page = "<div class=widget>" * 2000 + f"<p>{STORY}</p>" + "<span class=ad><div>x" * 300
     assert STORY.strip() in main_text(page)
 
 
