@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -178,10 +178,11 @@ def score_quality(docs: DataFrame, voters: Voters, column: str = "score") -> Dat
     """
     rows = docs.withColumn(column, F.lit(0.0))
     names = rows.columns
-    sent = docs.sparkSession.sparkContext.broadcast(voters)
+    # A broadcast is pickled by reference, so it holds plain values; the class travels with the function.
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(getattr(voters, f.name) for f in fields(Voters)))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model = Voters(*sent.value)
         for batch, texts in text_slices(batches, "text"):
             scores = np.concatenate([model.score(raw) for raw in features(texts)])
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.clip(scores, 0, 1), pa.float64())], names=names)

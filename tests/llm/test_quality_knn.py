@@ -104,3 +104,27 @@ def test_votes_equal_a_plain_loop(spark, labelled):
         nearest = np.argsort(-cosine)[:5]
         w = np.maximum(cosine[nearest], 0) ** 8
         assert score == pytest.approx(((w * voters.labels[nearest]).sum() + 0.01 * voters.prior) / (w.sum() + 0.01), abs=1e-6)
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """The workers of a driver that starts elsewhere don't find the package on their path."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[2]
+    script = tmp_path / "run.py"
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).getOrCreate()
+from hazardgrid.llm.quality_knn import classify_quality
+docs = spark.createDataFrame([(i, f"some text {{i}} " * (i % 5)) for i in range(40)], "doc_id long, text string")
+labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+print("rows", classify_quality(docs, labels).count(), len(classify_quality(docs, labels).collect()))
+""")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 40 40" in done.stdout, done.stderr[-2000:]
