@@ -50,15 +50,29 @@ def principal_axes(vectors: DataFrame, dim: int) -> np.ndarray:
     return np.linalg.eigh(moment)[1][:, ::-1].copy()
 
 
-def tile_links(ids: np.ndarray, weight: np.ndarray, x: np.ndarray, y_from: int, least: float, lead: int = 16, rows: int = 512) -> tuple[np.ndarray, np.ndarray]:
+def scaled(v: np.ndarray) -> tuple[np.ndarray, float]:
+    """A vector times a power of two, which changes no digit, and its length, rounded once."""
+    v = np.ldexp(v, -int(np.frexp(np.abs(v).max())[1]))
+    return v, math.sqrt(math.fsum(v * v))
+
+
+def cosine(a: np.ndarray, b: np.ndarray) -> float:
+    """Cosine of two vectors as they are given: what it is doesn't depend on any other vector."""
+    (a, length_a), (b, length_b) = scaled(a), scaled(b)
+    return math.fsum(a * b) / (length_a * length_b)
+
+
+def tile_links(ids: np.ndarray, weight: np.ndarray, x: np.ndarray, y_from: int, least: float, lead: int = 16, rows: int = 512, given: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Links between two tiles (or within one, ``y_from`` 0) of rotated unit vectors.
 
     Returns each vector's number of links, counted with ``weight``, and its root in the links found.
     The products of the leading axes come first; what the others can add is at most the product of
     the two suffix norms. A block none of whose pairs can reach the threshold stops there; where few
     can, only those go on, one block of axes after another, and pairs drop out as soon as the
-    bound falls below the threshold. Products within rounding of it are settled by an exact sum.
+    bound falls below the threshold. Products within rounding of it are settled by the cosine of the
+    ``given`` vectors, unrotated (by default ``x``).
     """
+    given = x if given is None else given
     n, dim = x.shape
     edges = list(range(0, dim, lead)) + [dim]
     suffix = np.sqrt(np.maximum(np.cumsum((x * x)[:, ::-1], 1)[:, ::-1], 0))
@@ -95,7 +109,7 @@ def tile_links(ids: np.ndarray, weight: np.ndarray, x: np.ndarray, y_from: int,
             i, j, value = i[alive], j[alive], value[alive]
         close = np.abs(value - least) <= _SLACK
         for p in np.flatnonzero(close):
-            value[p] = math.fsum(x[i[p]] * x[j[p]])
+            value[p] = cosine(given[i[p]], given[j[p]])
         real = value >= least
         i, j = i[real], j[real]
         counts += np.bincount(i, weight[j], n) + np.bincount(j, weight[i], n)
@@ -125,10 +139,10 @@ def embedding_links(classes: DataFrame, axes: dict[int, np.ndarray], least: floa
                 lead = np.zeros((len(u), cells), np.int64)
                 lead[:, : min(cells, dim)] = np.floor(u[:, :cells] / width)
                 cell = np.concatenate([np.full((len(u), 1), dim), lead], 1)
-                lists_ = [pa.ListArray.from_arrays(pa.array(np.arange(len(u) + 1) * w.shape[1], pa.int32()), pa.array(w.ravel())) for w in (cell, u)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *lists_], names=["cid", "n", "cell", "u"])
+                lists_ = [pa.ListArray.from_arrays(pa.array(np.arange(len(u) + 1) * w.shape[1], pa.int32()), pa.array(w.ravel())) for w in (cell, _matrix(part.column(2)))]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *lists_], names=["cid", "n", "cell", "v"])
 
-    placed = saved(classes.select("cid", "n", "embedding").mapInArrow(place, "cid long, n long, cell array<long>, u array<double>"), "placed")
+    placed = saved(classes.select("cid", "n", "embedding").mapInArrow(place, "cid long, n long, cell array<long>, v array<double>"), "placed")
     sizes = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / tile).cast("long").alias("tiles"))
     # Touching cells, each two once: steps of -1, 0, 1 along the leading axes whose first other than 0 is 1.
     steps = [s for s in product((-1, 0, 1), repeat=cells) if s >= (0,) * cells]
@@ -136,8 +150,10 @@ def embedding_links(classes: DataFrame, axes: dict[int, np.ndarray], least: floa
     moved = sizes.select(F.col("cell").alias("cell_a"), F.col("tiles").alias("tiles_a"), F.explode(near).alias("step"))
     moved = moved.withColumn("cell_b", F.zip_with("cell_a", "step", lambda a, b: a + b)).drop("step")
     met = moved.join(sizes.select(F.col("cell").alias("cell_b"), F.col("tiles").alias("tiles_b")), "cell_b")
-    every = F.transform(F.sequence(F.lit(0).cast("long"), F.col("tiles_a") - 1), lambda a: F.transform(F.sequence(F.lit(0).cast("long"), F.col("tiles_b") - 1), lambda b: F.struct(a.alias("ta"), b.alias("tb"))))
-    pairs = met.select("cell_a", "cell_b", F.inline(F.flatten(every))).filter((F.col("cell_a") != F.col("cell_b")) | (F.col("ta") <= F.col("tb")))
+    # One side, spread over the cluster, then the other: no row makes more than one cell's tiles.
+    numbers = {c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"tiles_{c}") - 1)).alias(f"t{c}") for c in "ab"}
+    pairs = met.select("cell_a", "cell_b", "tiles_b", numbers["a"]).repartition("cell_a", "ta").select("cell_a", "cell_b", "ta", numbers["b"])
+    pairs = pairs.filter((F.col("cell_a") != F.col("cell_b")) | (F.col("ta") <= F.col("tb")))
     pairs = saved(pairs.withColumn("pair", F.monotonically_increasing_id()), "tile-pairs")
     same = (F.col("cell_a") == F.col("cell_b")) & (F.col("ta") == F.col("tb"))
     sides = pairs.select("pair", F.inline(F.when(same, F.array(F.struct(F.lit(2).alias("side"), F.col("cell_a").alias("cell"), F.col("ta").alias("t")))).otherwise(F.array(
@@ -155,12 +171,13 @@ def embedding_links(classes: DataFrame, axes: dict[int, np.ndarray], least: floa
         within = side[0] == 2
         if not within and side[0] == side[-1]:
             return nothing
-        u = _matrix(table.column("u").chunk(0))
-        counts, roots = tile_links(ids, weight, u, 0 if within else int(np.searchsorted(side, 1)), least)
+        v = _matrix(table.column("v").chunk(0))
+        u = unit_rows(v) @ axes.get(v.shape[1], np.eye(v.shape[1]))
+        counts, roots = tile_links(ids, weight, u, 0 if within else int(np.searchsorted(side, 1)), least, given=v)
         found = counts > 0
         return pa.table({"cid": ids[found], "links": counts[found], "root": ids[roots[found]]})
 
-    return dealt.join(sides, ["cell", "t"]).select("pair", "side", "cid", "n", "u").groupBy("pair").applyInArrow(compare, "cid long, links long, root long")
+    return dealt.join(sides, ["cell", "t"]).select("pair", "side", "cid", "n", "v").groupBy("pair").applyInArrow(compare, "cid long, links long, root long")
 
 
 def embedding_dedup(vectors: DataFrame, least: float = 0.95, tile: int = 4096) -> DataFrame:
@@ -175,7 +192,10 @@ def embedding_dedup(vectors: DataFrame, least: float = 0.95, tile: int = 4096) -
     empty one.
 
     The number of leading axes that cut the space into cells grows with the table (one more whenever
-    it is four times larger), so tiles stay of one size and a tile meets the tiles around it.
+    it is four times larger), so tiles stay of one size and a tile meets the tiles around it. Axes are
+    computed for the eight most frequent lengths of up to 4096 components, whose moments (the square of the length)
+    fit the driver; vectors of other lengths are compared along the axes they are given in, which
+    bounds less and finds the same links. Whether two vectors link depends on these two alone.
     """
     good = F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     good = F.coalesce(good & F.exists("embedding", lambda v: v != 0), F.lit(False))
@@ -183,7 +203,6 @@ def embedding_dedup(vectors: DataFrame, least: float = 0.95, tile: int = 4096) -
     classes = rows.filter("good").groupBy("embedding").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"))
     classes = saved(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     dims = {r["d"]: r["n"] for r in classes.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).limit(8).collect()}
-    # Other lengths (beyond the eight most frequent) keep their own axes, which only bound less well.
     axes = {d: principal_axes(classes, d) for d in dims if d <= 4096}
     cell_axes = max(1, min(8, round(math.log(max(dims.values(), default=1) / tile + 1, 4))))
     found = saved(embedding_links(classes, axes, least, cell_axes, tile), "links")

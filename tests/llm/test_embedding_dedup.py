@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from hazardgrid.llm.embedding_dedup import embedding_dedup, tile_links
+from hazardgrid.llm.embedding_dedup import cosine, embedding_dedup, tile_links, unit_rows
 
 from .helpers import clashing, groups, rows
 
@@ -56,7 +56,25 @@ def test_cases(spark):
 def test_doubles_on_the_threshold(spark):
     exact = [(1, [1.0, 0.0]), (2, [0.95, np.sqrt(1 - 0.95**2)]), (3, [0.9499999, np.sqrt(1 - 0.9499999**2)])]
     found = rows(embedding_dedup(spark.createDataFrame([(i, list(map(float, v))) for i, v in exact], "vec_id long, embedding array<double>")), "vec_id", "n_links")
-    assert dict(found)[3] == 1 and dict(found)[2] >= 1
+    assert dict(found) == {1: 1, 2: 2, 3: 1}
+
+
+def test_a_tie_links_whatever_else_the_table_holds(spark):
+    # Length 20 and first component 19: the cosine is 0.95 and no rounding makes it less.
+    a, b = [1.0, 0.0, 0.0, 0.0, 0.0], [19.0, 5.0, 3.0, 2.0, 1.0]
+    assert cosine(np.array(a), np.array(b)) == 0.95 == cosine(np.array(b) * 2.0**600, np.array(a) * 2.0**-500)
+    for seed in range(50):
+        others = np.random.default_rng(seed).standard_normal((50, 5))
+        v = np.concatenate([[a, b], others])
+        u = unit_rows(v)
+        turned = u @ np.linalg.eigh(np.round(u.T @ u, 6))[1][:, ::-1]
+        counts, roots = tile_links(np.arange(len(v)), np.ones(len(v), int), turned, 0, 0.95, given=v)
+        assert roots[0] == roots[1] and counts[0] >= 1
+    for seed in range(2):
+        others = np.random.default_rng(seed).standard_normal((50, 5)).tolist()
+        table = spark.createDataFrame([(i, v) for i, v in enumerate([a, b, *others])], "vec_id long, embedding array<double>")
+        got = {r["vec_id"]: r["component_id"] for r in embedding_dedup(table).collect()}
+        assert got[0] == got[1] == 0
 
 
 def test_tiles_that_meet_give_each_pair_once():
