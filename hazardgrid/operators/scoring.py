@@ -91,15 +91,20 @@ def score_minmax(df: DataFrame, value: str, ref_scenario: str | None = None, ref
 def threshold_join(cells: DataFrame, thresholds: DataFrame, value: str = "value", scale: str = "scale") -> DataFrame:
     """Score many hazards in one pass with the bins as data.
 
-    The catalogue holds about 300 rows whatever the data size, so it is broadcast and hashed on
-    the hazard; the interval test is the residual condition. Missing values keep a NULL score.
+    The catalogue holds about 300 rows whatever the data size; grouped, it is one row per hazard and
+    scale with the bins as an array, broadcast and hashed on the hazard. The join makes a row per cell
+    and scale, and the bin is found in the array. Missing values keep a NULL score.
     """
-    bins = thresholds.select("hazard", F.col(scale).alias("scoring"), "lo", "hi", "bin", F.col("score").cast("double").alias("score"))
+    parts = [c for c in ("metric", "threshold_type") if c in thresholds.columns]
+    bins = thresholds.groupBy("hazard", F.col(scale).alias("scoring"), *parts).agg(
+        F.sort_array(F.collect_list(F.struct("bin", "lo", "hi", F.col("score").cast("double").alias("score")))).alias("_bins")
+    )
     v = F.when(~F.isnan(F.col(value)), F.col(value))
-    in_bin = (v >= F.col("lo")) & (F.col("hi").isNull() | (v < F.col("hi")))
-    missing = v.isNull() & (F.col("bin") == 0)
-    joined = cells.join(F.broadcast(bins), "hazard").filter(in_bin | missing)
-    return joined.withColumn("score", F.when(v.isNotNull(), F.col("score"))).drop("lo", "hi", "bin")
+    joined = cells.join(F.broadcast(bins.drop(*parts)), "hazard").withColumn("_v", v)
+    held = F.filter("_bins", lambda b: (F.col("_v") >= b["lo"]) & (b["hi"].isNull() | (F.col("_v") < b["hi"])))
+    joined = joined.withColumn("_bin", F.get(held, F.lit(0)))
+    # A value that no bin holds has no row, a missing one has.
+    return joined.filter(F.col("_v").isNull() | F.col("_bin").isNotNull()).withColumn("score", F.col("_bin.score")).drop("_bins", "_bin", "_v")
 
 
 def concat_scales(parts: list[DataFrame]) -> DataFrame:

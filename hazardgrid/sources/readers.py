@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,27 +71,33 @@ def read_coast(spark: SparkSession, path: str, bounds: tuple[float, float, float
 
 
 def read_hazard_stats(spark: SparkSession, base: str, level: int, codes: tuple[str, ...] = HAZARDS) -> DataFrame | None:
-    """Exported per-hazard statistics of one level, in one frame.
+    """Exported per-hazard statistics of one level, in one staged frame.
 
-    A missing table is skipped with a warning, an unreadable one with an error in the log; None
-    when none is left. Columns are matched by name, so files may lack some of them.
+    A missing table is skipped with a warning, one that can't be read with an error in the log, whether
+    that shows at its header or only at a block in an executor; None when none is left. Columns
+    are matched by name, so files may lack some of them. All tables are read in one job, whose result is
+    staged, so that nothing breaks later; only if it fails is each looked through to find the one to blame.
     """
-    frames = []
+    from hazardgrid.plans.concurrent import run_each
+    from hazardgrid.sources.stage import stage
+
+    paths = {code: f"{base}/{code}_adm{level}.csv" for code in codes}
+    there = {code: path for code, path in paths.items() if path_exists(spark, path)}
     for code in codes:
-        path = f"{base}/{code}_adm{level}.csv"
-        if not path_exists(spark, path):
-            log.warning("%s: no statistics at %s, skipped", code, path)
-            continue
+        if code not in there:
+            log.warning("%s: no statistics at %s, skipped", code, paths[code])
+    frames, _ = run_each("statistics", {code: (lambda path=path: _by_name(spark.read.options(**CSV).csv(path))) for code, path in there.items()})
+    while frames:
         try:
-            frames.append(_by_name(spark.read.options(**CSV).csv(path)))
-        except PySparkException as error:
-            log.error("%s: statistics at %s not readable, skipped: %s", code, path, error)
-    if not frames:
-        return None
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+            return stage(reduce(DataFrame.unionByName, frames.values()), f"statistics-adm{level}", reuse=False)
+        except (PySparkException, Py4JJavaError) as error:
+            log.warning("statistics of level %s can't be read together, each is tried: %s", level, str(error).splitlines()[0])
+            read = {code: (lambda df=df: df.write.format("noop").mode("overwrite").save()) for code, df in frames.items()}
+            broken = run_each("statistics", read)[1]
+            if not broken:
+                raise
+            frames = {code: df for code, df in frames.items() if code not in broken}
+    return None
 
 
 def _by_name(raw: DataFrame) -> DataFrame:

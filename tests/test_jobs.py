@@ -253,6 +253,22 @@ def test_missing_and_broken_statistics_are_skipped(spark, tmp_path, caplog):
     assert readers.read_hazard_stats(spark, str(tmp_path), 0) is None
 
 
+def test_statistics_that_break_while_they_are_read_are_skipped(spark, tmp_path, caplog):
+    import gzip
+
+    head = "gadm_id,gid0,scoring,scenario,time,score_mean,hazard,gadm_level\n"
+    for code in ("CS", "HS", "WS"):
+        lines = head + "".join(f"Z{i},B,5,RCP85,Cc,{i % 5},{code},1\n" for i in range(20000))
+        (tmp_path / f"{code}_adm1.csv").mkdir()
+        whole = gzip.compress(lines.encode(), mtime=0)
+        # The header of the torn one is there; a task finds the end missing.
+        (tmp_path / f"{code}_adm1.csv" / "part-0.csv.gz").write_bytes(whole[: len(whole) * 2 // 3] if code == "HS" else whole)
+    with caplog.at_level(logging.WARNING):
+        stats = readers.read_hazard_stats(spark, str(tmp_path), 1, ("CS", "HS", "WS"))
+    assert {r["hazard"]: r["n"] for r in stats.groupBy("hazard").agg(F.count("*").alias("n")).collect()} == {"CS": 20000, "WS": 20000}
+    assert "HS failed" in caplog.text
+
+
 def test_full_run(spark, tmp_path):
     grid = GridSpec(0.5, 1.0, 4, 0.5, 1.0, 6)
     rings = [("X.1", "X", 0, 0, [(0.0, 0.0), (3.0, 0.0), (3.0, 4.0), (0.0, 4.0)]), ("X.2", "X", 0, 0, [(3.0, 0.0), (6.0, 0.0), (6.0, 4.0), (3.0, 4.0)])]

@@ -18,8 +18,8 @@ from hazardgrid.operators.prepare import (
     select_metric,
     tidy_scored,
 )
-from hazardgrid.operators.regrid import coast_on_grid, nearest_grid, nearest_index
-from hazardgrid.operators.scoring import concat_scales, fan_out, minmax_bounds, score_scales, with_bounds
+from hazardgrid.operators.regrid import coast_on_grid, nearest_axis, nearest_grid, nearest_index
+from hazardgrid.operators.scoring import concat_scales, fan_out, minmax_bounds, score_scales, threshold_join, with_bounds
 from hazardgrid.schema import GridSpec
 
 
@@ -216,6 +216,26 @@ def test_nearest_index_prefers_the_larger_coordinate(column):
     assert column(nearest_index(v, 20.0, -10.0, 3), [15.0, 5.0, 4.9]) == [0, 1, 2]
 
 
+def test_nearest_axis_over_gaps(spark):
+    # Clusters far apart: most buckets hold no source label.
+    known = [0.0, 0.5, 1.0, 1000.0, 1000.25, 5000.0]
+    wanted = [-7.0, 0.2, 0.25, 0.75, 3.0, 499.0, 500.5, 501.0, 999.0, 1000.125, 2999.0, 3001.0, 4999.0, 9000.0]
+    source = spark.createDataFrame([(x,) for x in known], "lat double")
+    target = spark.createDataFrame(list(enumerate(wanted)), "lat_idx int, lat double")
+    got = {r["lat"]: r["src_lat"] for r in nearest_axis(target, source, "lat").collect()}
+    assert got == {x: min(known, key=lambda k: (abs(k - x), -k)) for x in wanted}
+    assert {r["src_lat"] for r in nearest_axis(target, source.filter("lat = 0.5"), "lat").collect()} == {0.5}
+
+
+def test_threshold_join_makes_a_row_per_cell_and_scale(spark):
+    from hazardgrid.catalog import threshold_table
+
+    cells = spark.range(1000).selectExpr("CASE WHEN id % 2 = 0 THEN 'HS' ELSE 'CS' END AS hazard", "id", "CASE WHEN id % 10 > 0 THEN CAST(id AS DOUBLE) / 10 END AS value")
+    bins = threshold_table(spark).filter(F.col("threshold_type").isin("scoring", "thresholds") & F.col("scale").isin("5", "10"))
+    out = threshold_join(cells, bins)
+    assert out.count() == 2000 and out.filter("score IS NULL").count() == out.filter("value IS NULL").count()
+
+
 def test_nearest_grid_on_uneven_axes(spark):
     source = spark.createDataFrame([(a, o, a * 100 + o) for a in (0.0, 3.0, 10.0) for o in (0.0, 1.0)], "lat double, lon double, mask double")
     cells = [(i, j, lat, lon) for i, lat in enumerate((-5.0, 1.5, 6.5, 6.6, 50.0)) for j, lon in enumerate((0.5, 0.4))]
