@@ -254,6 +254,28 @@ def split_hundred(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(F.col("scoring") != "100"), df.filter(F.col("scoring") == "100")
 
 
+#: Raster rows and columns of a block of cells that lie together in a file.
+BLOCK = 16
+
+
+def morton(row: Column, column: Column) -> Column:
+    """Place of a cell's block on a curve that fills the raster: the bits of both indexes in turn.
+
+    Blocks that lie near each other on the curve lie near each other on the raster, along both axes.
+    Indexes may have 31 bits; negative ones count as 0.
+    """
+
+    def spread(index: Column) -> Column:
+        x = F.floor(F.greatest(index, F.lit(0)) / BLOCK).cast("long")
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
+        return x
+
+    return F.shiftleft(spread(row), 1).bitwiseOR(spread(column))
+
+
 def sort_grid(df: DataFrame) -> DataFrame:
-    """Rows in raster order, range-partitioned by row: tight min/max statistics once written."""
-    return df.repartitionByRange("lat_idx", "lon_idx").sortWithinPartitions("lat_idx", "lon_idx")
+    """Cells along a curve that fills the raster, range-partitioned by it: once written, row groups and
+    pages span few rows and few columns, so a bounding box skips the others on both axes."""
+    z = morton(F.col("lat_idx"), F.col("lon_idx"))
+    return df.withColumn("_z", z).repartitionByRange("_z", "lat_idx", "lon_idx").sortWithinPartitions("_z", "lat_idx", "lon_idx").drop("_z")

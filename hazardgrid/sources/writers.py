@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hazardgrid.operators.prepare import morton
 from hazardgrid.schema import AREA, HAZARD_STATS, SCALE_FOLDER, SCORED, labels_of
 from hazardgrid.sources.readers import CSV
 
@@ -28,12 +29,14 @@ def write_scored(df: DataFrame, path: str) -> None:
     """Upsert scores by hazard and scale.
 
     A scale that exists is replaced, a new one is added, the files of all others stay untouched.
-    Scores are stored as FLOAT. Rows are gathered by bands of raster rows and sorted within, so
-    that row groups span few rows of the raster and bounding boxes skip the others.
+    Scores are stored as FLOAT. Rows are gathered by squares of the raster and sorted along a curve that
+    fills it, so that row groups and pages span few rows and columns and bounding boxes skip the others.
     """
-    rows = df.withColumn("score", F.col("score").cast("float")).withColumn("_band", F.floor(F.col("lat_idx") / 16))
-    ordered = _balanced(rows, "hazard", "scoring", "_band").sortWithinPartitions("hazard", "scoring", "lat_idx", "lon_idx")
-    _overwrite_partitions(ordered.drop("_band"), path, "hazard", "scoring")
+    z = morton(F.col("lat_idx"), F.col("lon_idx"))
+    rows = df.withColumn("score", F.col("score").cast("float")).withColumn("_z", z)
+    # Squares of 64 blocks; a rebalance splits and joins them by size.
+    ordered = _balanced(rows, "hazard", "scoring", F.shiftright("_z", 6)).sortWithinPartitions("hazard", "scoring", "_z", "lat_idx", "lon_idx")
+    _overwrite_partitions(ordered.drop("_z"), path, "hazard", "scoring")
 
 
 def read_scored(spark: SparkSession, path: str, hazard: str | None = None, scales: list[str] | None = None) -> DataFrame:
