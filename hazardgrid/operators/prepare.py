@@ -145,25 +145,37 @@ def dedupe_coords(df: DataFrame, by: tuple[str, ...] = ("hazard",)) -> DataFrame
 
 
 def scored_dims(df: DataFrame, labels: list[str] | None = None) -> DataFrame:
-    """What labels and axes of a table of scores hold, from one scan of it.
+    """What labels and axes of a table of scores hold, from a scan of its labels and one of its columns.
 
     One row for each combination of labels (``kind = 'labels'``) and for each latitude and longitude
     of a hazard (``kind = 'lat'`` or ``'lon'``, ``coord``, least and greatest index ``first`` and ``last``).
-    Its size is that of the axes, not of the table: stage it and answer from it.
+    Its size is that of the axes, not of the table: stage it and answer from it. Labels and latitudes are counted
+    together, which combines to a few rows per raster row, and longitudes apart.
     """
     labels = labels_of(df) if labels is None else labels
-    axes = [(c, f"{c}_idx") for c in ("lat", "lon") if c in df.columns]
-    none = {c: F.lit(None).cast("string") for c in labels}
-
-    def mark(kind: str, shown: list[str], coord: Column, index: Column) -> Column:
-        names = [F.col(c).alias(c) if c in shown else none[c].alias(c) for c in labels]
-        return F.struct(F.lit(kind).alias("kind"), *names, coord.cast("double").alias("coord"), index.cast("int").alias("at"))
-
-    nothing = F.lit(None)
-    marks = [mark("labels", labels, nothing, nothing)]
-    marks += [mark(c, [x for x in labels if x == "hazard"], F.col(c), F.col(i)) for c, i in axes]
-    rows = df.select(F.inline(F.array(*marks)))
-    return rows.groupBy("kind", *labels, "coord").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    own = [c for c in labels if c == "hazard"]
+
+    def marked(rows: DataFrame, kind: str, shown: list[str], coord: Column | None = None) -> DataFrame:
+        names = [F.col(c) if c in shown else F.lit(None).cast("string").alias(c) for c in labels]
+        ends = [F.col(c) if coord is not None else F.lit(None).cast("int").alias(c) for c in ("first", "last")]
+        place = F.lit(None).cast("double") if coord is None else coord.cast("double")
+        return rows.select(F.lit(kind).alias("kind"), *names, place.alias("coord"), *ends)
+
+    def ends(rows: DataFrame, keys: list[str], c: str) -> DataFrame:
+        index = F.col(f"{c}_idx").cast("int")
+        return rows.groupBy(*keys, F.col(c).alias("_coord")).agg(F.min(index).alias("first"), F.max(index).alias("last"))
+
+    parts = []
+    if "lat" in df.columns:
+        by_lat = ends(df, labels, "lat")
+        parts.append(marked(by_lat.groupBy(*labels).agg(F.lit(1).alias("_")), "labels", labels))
+        lats = by_lat.groupBy(*own, "_coord").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+        parts.append(marked(lats, "lat", own, F.col("_coord")))
+    else:
+        parts.append(marked(df.groupBy(*labels).agg(F.lit(1).alias("_")), "labels", labels))
+    if "lon" in df.columns:
+        parts.append(marked(ends(df, own, "lon"), "lon", own, F.col("_coord")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def tidy_scored(df: DataFrame, dims: DataFrame, order: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:

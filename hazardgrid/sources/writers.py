@@ -33,10 +33,10 @@ def write_scored(df: DataFrame, path: str) -> None:
     fills it, so that row groups and pages span few rows and columns and bounding boxes skip the others.
     """
     z = morton(F.col("lat_idx"), F.col("lon_idx"))
-    rows = df.withColumn("score", F.col("score").cast("float")).withColumn("_z", z)
     # Squares of 64 blocks; a rebalance splits and joins them by size.
-    ordered = _balanced(rows, "hazard", "scoring", F.shiftright("_z", 6)).sortWithinPartitions("hazard", "scoring", "_z", "lat_idx", "lon_idx")
-    _overwrite_partitions(ordered.drop("_z"), path, "hazard", "scoring")
+    rows = df.withColumn("score", F.col("score").cast("float")).withColumn("_z", z).withColumn("_square", F.shiftright("_z", 6))
+    ordered = _balanced(rows, "hazard", "scoring", "_square").sortWithinPartitions("hazard", "scoring", "_z", "lat_idx", "lon_idx")
+    _overwrite_partitions(ordered.drop("_z", "_square"), path, "hazard", "scoring")
 
 
 def read_scored(spark: SparkSession, path: str, hazard: str | None = None, scales: list[str] | None = None) -> DataFrame:
