@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import re
 import struct
 import uuid
 import zlib
@@ -76,6 +77,9 @@ def member(data: bytes, level: int = 4) -> bytes:
     return head + body + struct.pack("<II", zlib.crc32(data), len(data))
 
 
+_EMPTY_LINE, _LINE_END = re.compile(rb"\r?\n\r?\n"), re.compile(rb"\r?\n")
+
+
 class _Stream:
     """Bytes of one record, read as far as asked for; ``skip`` steps over the rest of it."""
 
@@ -119,6 +123,19 @@ class _Stream:
         out, self.have = self.have[:at], self.have[at + 4 :]
         return out
 
+    def http_head(self, size: int) -> tuple[bytes, int]:
+        """The HTTP head of a block of ``size`` bytes and how many bytes it takes with the empty line behind it.
+
+        Lines may end in a bare line feed. A head without an end within the block, or within its first
+        megabyte, is all there is: such a block has no payload.
+        """
+        size = min(size, 1 << 20)
+        while not (end := _EMPTY_LINE.search(self.have, 0, size)) and len(self.have) < size and self.more():
+            pass
+        stop = end.end() if end else min(size, len(self.have))
+        out, self.have = self.have[: end.start() if end else stop], self.have[stop:]
+        return out, stop
+
     def skip(self, rest: int) -> None:
         """Step over ``rest`` bytes of the block and what follows it in the record."""
         if not self.packed:
@@ -138,7 +155,7 @@ class _Stream:
 
 
 def _fields(head: bytes) -> dict[str, str]:
-    pairs = (line.partition(b":")[::2] for line in head.split(b"\r\n")[1:])
+    pairs = (line.partition(b":")[::2] for line in _LINE_END.split(head)[1:])
     return {name.decode("latin-1").strip().lower(): value.decode("utf-8", "replace").strip() for name, value in pairs}
 
 
@@ -158,16 +175,19 @@ def records(file, size: int, wanted=lambda row: True, payload: bool = False) ->
         row = {name: fields.get(field.lower()) for name, field in _FIELDS.items()}
         row["payload_digest"] = (row["payload_digest"] or "").rpartition(":")[2] or None
         row["content_length"] = row["payload_bytes"] = length
-        rest = length
+        rest, ended = length, True
         if fields.get("content-type", "").startswith("application/http") and length:
-            http = stream.head() or b""
-            rest = length - len(http) - 4
-            row["payload_bytes"] = int(_fields(http).get("content-length", rest))
+            http, taken = stream.http_head(length)
+            ended = taken > len(http)
+            rest = length - taken
+            stated = _fields(http).get("content-length", "")
+            # What an HTTP head states counts only as a number; a head without an end has no payload.
+            row["payload_bytes"] = (int(stated) if stated.isascii() and stated.isdigit() else rest) if ended else 0
         ok = wanted(row)
         body = None
         if ok and payload and row["warc_type"] != "revisit":
-            body = stream.take(rest)
-            rest = 0
+            body = stream.take(rest) if ended else b""
+            rest -= len(body)
         stream.skip(rest)
         if ok:
             yield (*[row[name] for name in HEADS], body)

@@ -86,6 +86,24 @@ def test_archives_of_any_form(data, payload):
     assert len(wanted) == 1 and wanted[0][-1] == (b"ppp" if payload else None)
 
 
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, member])
+@pytest.mark.parametrize(("block", "size", "body"), [
+    (b"HTTP/1.1 200 OK\r\nA: b", 0, b""),  # cut off within its head
+    (b"HTTP/1.1 200 OK\nContent-Length: 3\n\nabc", 3, b"abc"),
+    (b"HTTP/1.1 200 OK\r\nContent-Length: abc\r\n\r\nabcd", 4, b"abcd"),
+    (b"HTTP/1.1 200 OK\r\nContent-Length: -7\r\n\r\nab", 2, b"ab"),
+    (b"HTTP/1.1 200 OK\r\n\r\n", 0, b""),
+    (b"", 0, b""),
+    (b"no head at all " * 200000, 0, b""),
+])
+def test_odd_http_blocks(pack, block, size, body):
+    head = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <odd>\r\nContent-Type: application/http; msgtype=response\r\n" + f"Content-Length: {len(block)}\r\n\r\n"
+    data = pack(head.encode() + block + b"\r\n\r\n") + pack(archive()[1])
+    found = list(records(io.BytesIO(data), len(data), payload=True))
+    assert [(r[HEADS.index("record_id")], r[HEADS.index("payload_bytes")], r[-1]) for r in found] == [("<odd>", size, body), ("<urn:1>", 5, b"p" * 5)]
+    assert len(list(records(io.BytesIO(data), len(data)))) == 2
+
+
 def test_members_are_plain_gzip():
     data = [member(b"a" * 1000), member(b"")]
     assert gzip.decompress(data[0]) == b"a" * 1000 and gzip.decompress(b"".join(data)) == b"a" * 1000
