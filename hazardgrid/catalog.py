@@ -69,7 +69,7 @@ _CLASSES = {
 }
 _LANDSLIDE_FINAL = {
     "5_point": {"thresholds": [0, 5, 10, 15, 20, 25], "scores": _ONE_TO_FIVE},
-    "10_point": {"thresholds": list(range(10, 101, 10)), "scores": _ONE_TO_TEN},
+    "10_point": {"thresholds": [10, 20, 30, 40, 50, 60, 70, 80, 90, 100], "scores": _ONE_TO_TEN},
 }
 _FIRE = {
     "5_point": {"thresholds": [0, 1e-6, 5.2, 11.2, 21.3, 50, inf], "scores": _ZERO_TO_FIVE},
