@@ -228,29 +228,7 @@ def wide_table(wide: DataFrame, meta: DataFrame, scale: str, name: str, scenario
     return _finish(meta, rows, level, whole=name != "std" and str(scale) != "100", fill=fill)
 
 
-def all_tables(wide: DataFrame, meta: DataFrame, filled: list[tuple[str, str]], names: list[str], level: int = 1, fill: float = 0, key: str = "_table") -> DataFrame:
-    """Every ``wide_table`` in one frame: ``key`` (``scale-statistic-scenario``), metadata and the values as text.
-
-    Each zone of the metadata has a row in each table; ``filled`` lists the scales and scenarios that
-    have data. Text, because some tables hold whole numbers and some don't.
-    """
-    columns = [c for c in META_COLUMNS[level] if c in meta.columns]
-    slices = F.array(*[F.struct(F.lit(k).alias("scoring"), F.lit(s).alias("scenario")) for k, s in filled])
-    zones = meta.select(*columns, F.inline(slices)).withColumn("gadm_id", F.col(ZONE_ID[level]))
-    joined = zones.join(wide, ["gadm_id", "scoring", "scenario"], "left")
-
-    def shown(c: str, name: str) -> Column:
-        value = F.coalesce(F.col(f"{c}_{name}"), F.lit(fill))
-        if name == "std":
-            return value.cast("double").cast("string").alias(c)
-        return F.when(F.col("scoring") == "100", value.cast("double").cast("string")).otherwise(value.cast("int").cast("string")).alias(c)
-
-    tables = [F.struct(F.concat_ws("-", "scoring", F.lit(name), "scenario").alias(key), *[shown(c, name) for c in HAZARD_COLUMNS]) for name in names]
-    return joined.select(*columns, F.inline(F.array(*tables))).select(key, *columns, *HAZARD_COLUMNS)
-
-
 __all__ = [
-    "all_tables",
     "attach_metadata",
     "build_combined",
     "build_hundred",

@@ -87,26 +87,6 @@ def write_combined(df: DataFrame, base: str, scale: str, stat: str, scenario: st
     return path
 
 
-def write_tables(rows: DataFrame, key: str, paths: dict[str, str], work: str) -> None:
-    """CSV folders of many tables in one job: the rows of each value of ``key`` go to its path.
-
-    Written as partitions of ``work``, on the same file system, whose folders then take the tables' places. A
-    table without rows has no folder, and an older one at its path goes.
-    """
-    spark = rows.sparkSession
-    _balanced(rows, key).write.mode("overwrite").options(**CSV).partitionBy(key).csv(work)
-    of = spark._jvm.org.apache.hadoop.fs.Path
-    system = of(work).getFileSystem(spark._jsc.hadoopConfiguration())
-    for name, path in paths.items():
-        made = of(f"{work}/{key}={name}")
-        system.delete(of(path), True)
-        if system.exists(made):
-            system.mkdirs(of(path).getParent())
-            if not system.rename(made, of(path)):
-                raise OSError(f"{made} can't be moved to {path}")
-    system.delete(of(work), True)
-
-
 def partition_zones(zones: DataFrame, base: str, level: int) -> str:
     """Write boundaries once with one partition per country."""
     path = f"{base}/adm{level}"
