@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardgrid.functions import nonzero
-from hazardgrid.operators.geometry import cells_of
 from hazardgrid.schema import CELL, ZONE, labels_of
 
 log = logging.getLogger(__name__)
@@ -24,23 +23,22 @@ def join_cells(cells: DataFrame, zone_cells: DataFrame) -> DataFrame:
     leave a row per zone in every task. Tiles hold the same number of cells, so none is hot. The
     session must accept a partitioning by part of the join keys for that; one that doesn't is set to.
 
-    Zones as runs (``zone_runs``) are cut at the tiles, shuffled as runs and widened to cells only in
-    the task that joins them.
+    Zones as runs (``zone_runs``) are cut at the tiles and joined as runs: a cell meets the few runs of its
+    raster row within its tile, and those that hold its column stay. They are never widened to cells.
     """
     cells.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     tile = {"_row": F.floor(F.col("lat_idx") / TILE), "_column": F.floor(F.col("lon_idx") / TILE)}
     weights = zone_columns(zone_cells)
-    if "lon_end" in weights.columns:
-        tiles = F.sequence(F.floor(F.col("lon_idx") / TILE), F.floor(F.col("lon_end") / TILE))
-        cut = weights.withColumn("_row", tile["_row"]).withColumn("_column", F.explode(tiles))
-        cut = cut.withColumns({
-            "lon_idx": F.greatest(F.col("lon_idx"), (F.col("_column") * TILE).cast("int")),
-            "lon_end": F.least(F.col("lon_end"), (F.col("_column") * TILE + TILE - 1).cast("int")),
-        })
-        right = cells_of(cut.repartition(*tile))
-    else:
-        right = weights.withColumns(tile).repartition(*tile)
-    return cells.withColumns(tile).repartition(*tile).join(right, [*tile, *CELL]).drop(*tile)
+    left = cells.withColumns(tile).repartition(*tile)
+    if "lon_end" not in weights.columns:
+        return left.join(weights.withColumns(tile).repartition(*tile), [*tile, *CELL]).drop(*tile)
+    tiles = F.sequence(F.floor(F.col("lon_idx") / TILE), F.floor(F.col("lon_end") / TILE))
+    cut = weights.select(*ZONE, "coverage", F.col("lat_idx").alias("_lat"), "lon_idx", "lon_end", tile["_row"].alias("_of_row"), F.explode(tiles).alias("_of_column"))
+    start, stop = F.col("_of_column") * TILE, F.col("_of_column") * TILE + (TILE - 1)
+    runs = cut.withColumns({"_from": F.greatest(F.col("lon_idx"), start), "_to": F.least(F.col("lon_end"), stop)}).drop("lon_idx", "lon_end")
+    runs = runs.repartition("_of_row", "_of_column")
+    same = (F.col("_row") == F.col("_of_row")) & (F.col("_column") == F.col("_of_column")) & (F.col("lat_idx") == F.col("_lat"))
+    return left.join(runs, same & F.col("lon_idx").between(F.col("_from"), F.col("_to"))).drop(*tile, "_of_row", "_of_column", "_lat", "_from", "_to")
 
 
 def zone_columns(zones: DataFrame) -> DataFrame:
