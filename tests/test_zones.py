@@ -347,3 +347,16 @@ def test_floods_in_one_pass_equal_the_parts(spark, caplog):
         coastal = flood_statistics(scored, cells, "CF", combos.filter("scoring = '5'"), coast=coast)
     assert "skipped" not in caplog.text
     assert rounded(coastal) == rounded(rp_weighted(scored, cells, "CF", coast=coast))
+
+
+@pytest.mark.parametrize("mode", ["center", "all_touched", "coverage"])
+def test_edges_are_dealt_before_they_are_summed(spark, mode):
+    # An aggregate on the input splits would hold all cells that a split's edges pass.
+    plan = zone_runs(edges_of(spark, [("Z", 0, 0, star(5))]), GRID, mode)._jdf.queryExecution().executedPlan().toString()
+    assert plan.rfind("Exchange") > plan.rfind("Aggregate")
+
+
+def test_touched_runs_are_merged(spark):
+    zones = [("Z", 0, 0, [(2.5, 2.2), (9.5, 2.4), (9.5, 4.6), (2.5, 4.6)]), ("Z", 1, 0, [(10.2, 2.2), (12.4, 2.3), (12.4, 3.4)]), ("Z", 2, 0, [(20.1, 2.2), (21.4, 2.3), (21.4, 2.8)])]
+    runs = zone_runs(edges_of(spark, zones), GRID, "all_touched").filter("lat_idx = 2").sort("lon_idx").collect()
+    assert [(r["lon_idx"], r["lon_end"], r["coverage"]) for r in runs] == [(2, 12, 1.0), (20, 21, 1.0)]
