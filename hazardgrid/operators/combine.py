@@ -215,8 +215,14 @@ def stretch_hundred(long: DataFrame, names: list[str], known: DataFrame, mild: s
 
 
 def wide_statistics(long: DataFrame, names: list[str]) -> DataFrame:
-    """One row per zone, scale and scenario, with columns ``{HAZARD}_{TIME}_{statistic}`` for all 56 pairs."""
-    keyed = long.withColumn("_key", F.concat_ws("_", "hazard", "time"))
+    """One row per zone, scale and scenario, with columns ``{HAZARD}_{TIME}_{statistic}`` for all 56 pairs.
+
+    The long rows are dealt by what becomes a row. Dealt by hazard and time as well, as the pivot would, each
+    task has a few values of nearly every zone and holds (and shuffles) a wide row for them. Wide rows
+    take more memory than what is shuffled tells, so partitions stay as many as the session's.
+    """
+    parts = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = long.withColumn("_key", F.concat_ws("_", "hazard", "time")).repartition(parts, "gadm_id", "scoring", "scenario")
     wide = keyed.groupBy("gadm_id", "scoring", "scenario").pivot("_key", list(HAZARD_COLUMNS)).agg(*[F.min(c).alias(c) for c in names])
     return wide.withColumnsRenamed({c: f"{c}_{names[0]}" for c in HAZARD_COLUMNS}) if len(names) == 1 else wide
 

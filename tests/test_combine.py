@@ -10,6 +10,7 @@ from hazardgrid.operators.combine import (
     merge_hazards,
     pivot_time,
     select_stats,
+    wide_statistics,
 )
 from hazardgrid.plans import combine
 from hazardgrid.schema import HAZARD_COLUMNS, META_COLUMNS
@@ -126,3 +127,12 @@ def test_paths():
     assert combined_path("b", "100", "std", "RCP85", 0) == "b/hundred/hazard_score_country_std_85.csv"
     assert combined_path("b", "3", "max", "RCP85", 1) == "b/scale3/hazard_score_province_max_85.csv"
     assert len({combined_path("b", "5", "mean", "RCP85", level) for level in (0, 1, 2)}) == 3
+
+
+def test_long_rows_are_dealt_once_for_the_wide_ones(spark):
+    # Dealt by hazard and time, every task would hold a wide row for nearly every zone.
+    rows = [("Z1", "5", "RCP45", "HS", "Cc", 1.0), ("Z1", "5", "RCP45", "HS", "Lt", None), ("Z2", "5", "RCP45", "WS", "St", 3.0)]
+    wide = wide_statistics(spark.createDataFrame(rows, "gadm_id string, scoring string, scenario string, hazard string, time string, mean double"), ["mean"])
+    assert wide._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    found = {r["gadm_id"]: r for r in wide.collect()}
+    assert found["Z1"]["HS_Cc_mean"] == 1.0 and found["Z1"]["HS_Lt_mean"] is None and found["Z2"]["WS_St_mean"] == 3.0
