@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 import pytest
 
 from hazardgrid.operators.combine import (
@@ -7,6 +10,7 @@ from hazardgrid.operators.combine import (
     build_combined,
     build_hundred,
     hundred_bounds,
+    long_statistics,
     merge_hazards,
     pivot_time,
     select_stats,
@@ -14,7 +18,8 @@ from hazardgrid.operators.combine import (
 )
 from hazardgrid.plans import combine
 from hazardgrid.schema import HAZARD_COLUMNS, META_COLUMNS
-from hazardgrid.sources.writers import combined_path
+from hazardgrid.sources.readers import CSV
+from hazardgrid.sources.writers import combined_path, write_combined
 
 STATS = "hazard string, gadm_id string, scenario string, scoring string, time string, score_mean double"
 
@@ -136,3 +141,19 @@ def test_long_rows_are_dealt_once_for_the_wide_ones(spark):
     assert wide._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     found = {r["gadm_id"]: r for r in wide.collect()}
     assert found["Z1"]["HS_Cc_mean"] == 1.0 and found["Z1"]["HS_Lt_mean"] is None and found["Z2"]["WS_St_mean"] == 3.0
+
+
+def test_exports_are_compressed_and_read_back(spark, tmp_path):
+    table = spark.createDataFrame([("X.1", None), ("", 2)], "GID_1 string, HS_Cc int")
+    path = write_combined(table, str(tmp_path), "5", "mean", "RCP85", 1)
+    assert all(f.name.endswith(".csv.gz") for f in Path(path).glob("part-*"))
+    back = spark.read.schema(table.schema).options(**CSV).csv(path)
+    assert {tuple(r) for r in back.collect()} == {("X.1", None), ("", 2)}
+
+
+def test_long_rows_are_dealt_once(spark, heat):
+    long = long_statistics(heat, ("5",), ("RCP85",), {"mean": "score_mean"}, dealt=True)
+    wide = wide_statistics(long, ["mean"], dealt=True)
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"hashpartitioning\(", plan)) == 1
+    assert [r["HS_Cc_mean"] for r in wide.collect()] == [3.0]

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -360,3 +362,34 @@ def test_touched_runs_are_merged(spark):
     zones = [("Z", 0, 0, [(2.5, 2.2), (9.5, 2.4), (9.5, 4.6), (2.5, 4.6)]), ("Z", 1, 0, [(10.2, 2.2), (12.4, 2.3), (12.4, 3.4)]), ("Z", 2, 0, [(20.1, 2.2), (21.4, 2.3), (21.4, 2.8)])]
     runs = zone_runs(edges_of(spark, zones), GRID, "all_touched").filter("lat_idx = 2").sort("lon_idx").collect()
     assert [(r["lon_idx"], r["lon_end"], r["coverage"]) for r in runs] == [(2, 12, 1.0), (20, 21, 1.0)]
+
+
+def _zones_over_tiles(spark, sizes):
+    """Zones as cells: each one row of cells from column 0, and a score for every cell."""
+    cells = [(f"Z{k}", "N", 0, c, 0.25 + 0.5 * (c % 2)) for k, n in enumerate(sizes) for c in range(n)]
+    weights = spark.createDataFrame(cells, "gadm_id string, gid0 string, lat_idx int, lon_idx int, coverage double")
+    scores = spark.createDataFrame([(0, c, t, 1e6 + c % 7) for c in range(max(sizes)) for t in ("Cc", "Lt")], "lat_idx int, lon_idx int, time string, score double")
+    return scores, weights
+
+
+def test_moments_of_tiles_merge_to_the_zone(spark):
+    sizes = (5, 40, 200)  # within a tile, over two, over seven
+    scores, weights = _zones_over_tiles(spark, sizes)
+    for zones in (weights, runs_of(weights)):
+        got = {(r["gadm_id"], r["time"]): r for r in zonal_stats(scores.withColumn("scoring", F.lit("5")), zones).collect()}
+        assert len(got) == 2 * len(sizes)
+        for k, n in enumerate(sizes):
+            w, s = np.array([0.25 + 0.5 * (c % 2) for c in range(n)]), np.array([1e6 + c % 7 for c in range(n)])
+            mean = (w * s).sum() / w.sum()
+            for time in ("Cc", "Lt"):
+                r = got[f"Z{k}", time]
+                assert r["score_mean"] == pytest.approx(mean, rel=1e-12) and r["score_max"] == s.max()
+                assert r["score_stdev"] == pytest.approx(np.sqrt((w * (s - mean) ** 2).sum() / w.sum()), rel=1e-6)
+
+
+def test_zonal_sums_move_once(spark):
+    scores, weights = _zones_over_tiles(spark, (5, 40))
+    found = zonal_stats(scores.withColumn("scoring", F.lit("5")), weights, missing="zero")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # The cells and the zones by tile, moments and totals by zone; nothing is dealt by zone and label.
+    assert plan.count("hashpartitioning(gadm_id") == 2 and not re.search(r"hashpartitioning\(gadm_id[^)]*time", plan)
