@@ -60,3 +60,8 @@ def test_equals_sql(spark, sf_dir, database, name):
 
 def test_entry(spark, sf_dir):
     assert entry.entry(spark).limit(1).count() == 1
+
+
+def test_weighted_risk_scores_once(spark, sf_dir):
+    plan = entry.queries()["weighted_risk"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan  # labels and scores are read from the written table
