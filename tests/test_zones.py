@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from hazardgrid.fixtures import view
 from hazardgrid.operators.geometry import bbox_filter, cells_of, read_wkb, ring_edges, runs_of, write_wkb, zone_bounds, zone_cells, zone_rings, zone_runs, zones_in_bbox
 from hazardgrid.operators.quantiles import exact_quantiles
 from hazardgrid.operators.weighted import bins_of, calibrate_bins, flood_statistics, rp_weighted, weighted_risk
@@ -358,6 +359,35 @@ def test_edges_are_dealt_before_they_are_summed(spark, mode):
     assert plan.rfind("Exchange") > plan.rfind("Aggregate")
 
 
+@pytest.mark.parametrize("mode", ["center", "all_touched", "coverage"])
+def test_edges_are_dealt_before_they_are_cut_at_rows(spark, mode):
+    # The task that reads the edges must not hold a row for every raster row they cross.
+    plan = zone_runs(edges_of(spark, [("Z", 0, 0, star(5))]), GRID, mode)._jdf.queryExecution().executedPlan().toString().splitlines()
+    rows = [i for i, line in enumerate(plan) if "Generate" in line and "lat_idx" in line]
+    dealt = [i for i, line in enumerate(plan) if re.search(r"Exchange hashpartitioning\(gadm_id[^)]*_band", line)]
+    assert rows and dealt and max(rows) < max(dealt) and all("REPARTITION_BY_NUM" in plan[i] for i in dealt)
+
+
+def test_zones_are_dealt_before_their_edges_are_made(spark, sf_dir):
+    for name in ("edges_fx", "windings_fx", "district_edges_fx"):
+        edges = view(spark, sf_dir, name)
+        assert "Exchange hashpartitioning(c_custkey" in edges._jdf.queryExecution().executedPlan().toString()
+
+
+def test_zones_over_several_bands(spark):
+    tall = GridSpec(0.5, 1.0, 100, 0.5, 1.0, 40)
+    poly = [(4.2, -6.3), (33.1, 20.7), (30.6, 70.2), (36.4, 108.9), (2.9, 97.3), (11.7, 50.1)]
+    edges = edges_of(spark, [("Z", 0, 0, poly), ("Y", 0, 0, [(1.2, 30.4), (9.8, 30.4), (9.8, 33.6), (1.2, 33.6)])])
+    found = {mode: zone_cells(edges, tall, mode).collect() for mode in ("center", "all_touched", "coverage")}
+    cells = {mode: {(r["lat_idx"], r["lon_idx"]) for r in rows if r["gadm_id"] == "Z"} for mode, rows in found.items()}
+    assert all(len({(r["gadm_id"], r["lat_idx"], r["lon_idx"]) for r in rows}) == len(rows) for rows in found.values())
+    assert cells["center"] == {(r, c) for r in range(100) for c in range(40) if inside(poly, c + 0.5, r + 0.5)}
+    assert cells["center"] <= cells["all_touched"] and cells["coverage"] <= cells["all_touched"]
+    box = [r["coverage"] for r in found["coverage"] if r["gadm_id"] == "Y"]
+    assert sum(box) == pytest.approx(8.6 * 3.2, abs=1e-9)
+    assert {r["lat_idx"] for r in found["all_touched"] if r["gadm_id"] == "Y"} == {30, 31, 32, 33}
+
+
 def test_touched_runs_are_merged(spark):
     zones = [("Z", 0, 0, [(2.5, 2.2), (9.5, 2.4), (9.5, 4.6), (2.5, 4.6)]), ("Z", 1, 0, [(10.2, 2.2), (12.4, 2.3), (12.4, 3.4)]), ("Z", 2, 0, [(20.1, 2.2), (21.4, 2.3), (21.4, 2.8)])]
     runs = zone_runs(edges_of(spark, zones), GRID, "all_touched").filter("lat_idx = 2").sort("lon_idx").collect()
