@@ -369,11 +369,26 @@ def test_edges_are_dealt_before_they_are_cut_at_rows(spark, mode):
 
 
 def test_zones_are_dealt_before_their_edges_are_made(spark, sf_dir):
-    for name in ("edges_fx", "windings_fx", "district_edges_fx"):
+    for name in ("edges_fx", "windings_fx", "districts_fx", "district_edges_fx"):
         edges = view(spark, sf_dir, name)
         assert "Exchange hashpartitioning(c_custkey" in edges._jdf.queryExecution().executedPlan().toString()
 
 
+def test_tables_are_read_in_small_splits(spark, sf_dir, tmp_path):
+    # A split's groups are held by the task that reads it: at 24 MB four tasks would read six row groups.
+    rows = spark.range(3_000_000).select("id", F.xxhash64("id").alias("v")).coalesce(1)
+    rows.write.option("parquet.block.size", 4 << 20).parquet(f"{tmp_path}/part.parquet")
+    spark.conf.unset("spark.sql.files.minPartitionNum")
+    before = spark.read.parquet(f"{tmp_path}/part.parquet").rdd.getNumPartitions()
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        view(spark, sf_dir, "zones_fx")
+        assert spark.read.parquet(f"{tmp_path}/part.parquet").rdd.getNumPartitions() > before
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
 def test_zones_over_several_bands(spark):
     tall = GridSpec(0.5, 1.0, 100, 0.5, 1.0, 40)
     poly = [(4.2, -6.3), (33.1, 20.7), (30.6, 70.2), (36.4, 108.9), (2.9, 97.3), (11.7, 50.1)]
