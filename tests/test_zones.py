@@ -438,3 +438,17 @@ def test_zonal_sums_move_once(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     # The cells and the zones by tile, moments and totals by zone; nothing is dealt by zone and label.
     assert plan.count("hashpartitioning(gadm_id") == 2 and not re.search(r"hashpartitioning\(gadm_id[^)]*time", plan)
+
+
+def test_weighted_sums_keep_the_sessions_partitions(spark):
+    weights = spark.createDataFrame([("Z", "A", 0, 0, 40, 1.0)], "gadm_id string, gid0 string, lat_idx int, lon_idx int, lon_end int, coverage double")
+    scored = spark.createDataFrame([("5", 0, 3, 2.0), ("5", 0, 40, 4.0)], "scoring string, lat_idx int, lon_idx int, score double")
+    risk = weighted_risk(scored, weights)
+    plan = risk._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = [line for line in plan if "Exchange" in line and re.search(r"hashpartitioning\((_row|_of_row|_column|_of_column)#", line)]
+    moved = [line for line in plan if "Exchange" in line and "hashpartitioning(gadm_id" in line and "REPARTITION_BY_NUM" in line]
+    # Rows meet by tile and sums move by zone, in as many partitions as the session has, whatever adaptive execution would join.
+    assert len(dealt) == 2 and all("REPARTITION_BY_NUM" in line for line in dealt) and len(moved) == 1
+    # The zone's sums span two tiles.
+    whole = weighted_risk(scored.withColumn("lon_idx", F.col("lon_idx") % 32), weights).collect()
+    assert risk.collect() == whole and len(whole) == 1 and whole[0]["score_max"] == 4.0
