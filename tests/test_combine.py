@@ -15,6 +15,7 @@ from hazardgrid.operators.combine import (
     pivot_time,
     select_stats,
     wide_statistics,
+    wide_zones,
 )
 from hazardgrid.plans import combine
 from hazardgrid.schema import HAZARD_COLUMNS, META_COLUMNS
@@ -157,3 +158,28 @@ def test_long_rows_are_dealt_once(spark, heat):
     plan = wide._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"hashpartitioning\(", plan)) == 1
     assert [r["HS_Cc_mean"] for r in wide.collect()] == [3.0]
+
+
+def test_tables_of_a_run_are_scans_of_one_stage(spark, meta, heat):
+    # Each table joined its slice with the metadata anew.
+    more = heat.unionByName(heat.selectExpr("hazard", "'nowhere' AS gadm_id", "scenario", "scoring", "time", "9D AS score_mean"))
+    more = more.unionByName(hundred(spark))
+    doubled = meta.unionByName(meta.limit(1)).unionByName(meta.limit(1).selectExpr("GID_0", "COUNTRY", "CAST(NULL AS STRING) AS GID_1", "NAME_1", "ENGTYPE_1", "VARNAME_1"))
+    tables = combine({1: more}, {1: doubled}, scales=("5", "100"))
+    for table in tables.values():
+        assert not re.search(r"Exchange|Join", table._jdf.queryExecution().executedPlan().toString())
+    five = sorted((str(r["GID_1"]), r["HS_Cc"]) for r in tables[1, "5", "mean", "RCP85"].collect())
+    assert five == [("None", 0), ("X.1_1", 3), ("X.1_1", 3), ("X.2_1", 0)]
+    assert tables[1, "5", "mean", "RCP45"].count() == 0
+    for scenario, table in build_hundred(hundred(spark), doubled, "score_mean").items():
+        assert sorted(map(str, table.collect())) == sorted(map(str, tables[1, "100", "mean", scenario].collect()))
+
+
+def test_wide_rows_take_one_grouped_aggregate(spark, meta, heat):
+    # The pivot grouped by hazard and time first, then again.
+    rows = heat.unionByName(heat.withColumn("score_mean", heat.score_mean - 1))
+    long = long_statistics(rows, ("5",), ("RCP85",), {"mean": "score_mean"}, dealt=True, grouped=False)
+    wide = wide_statistics(long, ["mean"], dealt=True, zones=wide_zones(meta, ("5",), ("RCP85",)))
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate(") == 2 and "pivotfirst" not in plan.lower()  # one, in two steps
+    assert {(r["gadm_id"], r["_there"], r["HS_Cc_mean"]) for r in wide.collect()} == {("X.1_1", True, 2.0), ("X.2_1", None, None)}
