@@ -452,3 +452,22 @@ def test_weighted_sums_keep_the_sessions_partitions(spark):
     # The zone's sums span two tiles.
     whole = weighted_risk(scored.withColumn("lon_idx", F.col("lon_idx") % 32), weights).collect()
     assert risk.collect() == whole and len(whole) == 1 and whole[0]["score_max"] == 4.0
+
+
+def test_zones_and_labels_to_report_meet_the_moments_without_a_join(spark):
+    # Both sides of a join on all zones and labels were sorted by six texts.
+    cells = [("RCP85", "Cc", 0, 0, 4.0), ("RCP85", "Cc", 0, 1, 2.0), ("RCP85", "Lt", 0, 0, 1.0), (None, "Cc", 0, 0, 9.0), ("RCP45", "Cc", 0, 0, 9.0)]
+    scored = spark.createDataFrame(cells, "scenario string, time string, lat_idx int, lon_idx int, score double")
+    zones = spark.createDataFrame([("A", "X", 0, 0, 1.0), ("A", "X", 0, 1, 1.0), ("A", "X", 0, 2, 2.0), ("B", "X", 5, 5, 1.0), (None, "X", 0, 0, 1.0)], "gadm_id string, gid0 string, lat_idx int, lon_idx int, coverage double")
+    combos = spark.createDataFrame([("RCP85", "Cc"), ("RCP85", "Lt"), (None, "Cc")], "scenario string, time string")
+    stats = zonal_stats(scored, zones, missing="zero", combos=combos)
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "LeftOuter" not in plan and "_code" in plan
+    found = {(r["gadm_id"], r["scenario"], r["time"]): (r["score_mean"], r["score_max"], round(r["score_stdev"], 9)) for r in stats.collect()}
+    # Labels and zones without a name meet nothing, combinations that aren't asked for are left out.
+    nothing = (0.0, 0.0, 0.0)
+    assert found == {
+        ("A", "RCP85", "Cc"): (1.5, 4.0, round((11 / 4) ** 0.5, 9)), ("A", "RCP85", "Lt"): (0.25, 1.0, round(0.1875**0.5, 9)),
+        ("A", None, "Cc"): nothing, ("B", "RCP85", "Cc"): nothing, ("B", "RCP85", "Lt"): nothing, ("B", None, "Cc"): nothing,
+        (None, "RCP85", "Cc"): nothing, (None, "RCP85", "Lt"): nothing, (None, None, "Cc"): nothing,
+    }
