@@ -11,9 +11,9 @@ from hazardgrid.operators.prepare import scored_dims
 from hazardgrid.plans import aggregate_hazard, combine_only, full_run, score_all, score_cf, score_hazard, score_ls, score_many, score_rf, score_standard, score_sub, score_wf
 from hazardgrid.plans.aggregate import prepare_scored
 from hazardgrid.plans.full import PartialRun
-from hazardgrid.schema import GridSpec
+from hazardgrid.schema import HAZARD_STATS, GridSpec
 from hazardgrid.sources import readers, writers
-from hazardgrid.sources.stage import shared_dir, stage, stage_name, unstage
+from hazardgrid.sources.stage import CLEANUP, shared_dir, stage, stage_name, staging, unstage
 
 CELLS = "scenario string, time string, lat_idx int, lon_idx int, v double"
 STATIC = "lat_idx int, lon_idx int, p double"
@@ -315,6 +315,47 @@ def test_full_run(spark, tmp_path):
     assert {r["HS_Lt"] for r in older[1, "5", "mean", "RCP85"].collect()} == {0}
 
 
+def test_shuffle_files_of_a_run_go_with_their_query(spark):
+    # They stayed until the driver's memory was cleared of them: a run's disk held the shuffles of all its phases.
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        names = manager.getAllFiles().mkString("\n").split("\n")
+        return {n for n in names if "/shuffle_" in n and n.endswith(".data")}
+
+    def work():
+        return stage(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count(), "shuffled", reuse=False)
+
+    before = shuffled()
+    with staging(spark):
+        assert work().count() == 7
+        inside = shuffled() - before
+    work()
+    assert not inside and shuffled() - before  # outside a run nothing changes
+    assert spark.conf.get(CLEANUP) == "false"
+
+
+def test_statistics_of_many_hazards_are_written_without_a_sort(spark, tmp_path):
+    rows = [(h, 1, f"Z{i}", "X", "5", "RCP85", "Cc", float(i), 1.0, 0.5) for h in ("HS", "WS", "CF") for i in range(20)]
+    stats = spark.createDataFrame(rows, HAZARD_STATS)
+    path = str(tmp_path / "stats")
+    plans = []
+    write = writers._overwrite_partitions
+
+    def spied(df, *args, **options):
+        plans.append(int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")))
+        write(df, *args, **options)
+
+    writers._overwrite_partitions = spied
+    try:
+        writers.write_hazard_stats(stats, path)
+    finally:
+        writers._overwrite_partitions = write
+    assert plans[0] >= 14 and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    writers.write_hazard_stats(stats.filter("hazard = 'HS'").limit(3), path)
+    assert {r["hazard"]: r["count"] for r in spark.read.parquet(path).groupBy("hazard").count().collect()} == {"HS": 3, "WS": 20, "CF": 20}
+
+
 def test_clip_and_countries_leave_the_choices_to_the_whole_table(spark):
     data = [("RCP85", "Cc", s, r, c, r + 0.5, c + 0.5, float(c + (s == "mean"))) for s in ("max", "mean") for r in range(2) for c in range(6) if s == "max" or c > 2]
     data += [("RCP85", "Lt", "mean", 0, 5, 0.5, 5.5, 4.0)]
